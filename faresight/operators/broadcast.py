@@ -1,0 +1,20 @@
+"""Size-checked broadcast of dimension-like sides."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is copied to every executor; beyond this many rows we leave the join to the planner
+# (sort-merge, or AQE's runtime broadcast when the measured size is small).
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check runs a ``limit(max_rows + 1)`` count, so it never scans more than ``max_rows + 1`` rows.
+    Use for dimensions (airports, routes), whose size does not grow with the fact data.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
