@@ -123,7 +123,10 @@ def archive_offers(expired: DataFrame) -> DataFrame:
     (departure-local day), ``end_date = least(dep_date, route-day max + 1)`` (exclusive end of the
     history) and ``_prices`` (fetched_date -> fare of this offer).
     """
-    frame = bounded_broadcast(route_day_max(expired))
+    # The frame table has one row per route-day; it is an aggregate of the fare join, so a count-based
+    # size check would run that join twice. AQE measures the aggregate's shuffle output instead and
+    # turns the join into a broadcast when it is small (sort-merge otherwise).
+    frame = route_day_max(expired)
     offers = (expired.dropna(subset=list(OFFER_KEY))
               .groupBy("air_id", *ROUTE_DAY, *OFFER_KEY)
               .agg(F.min("fetched_date").alias("first_date"),
@@ -215,3 +218,25 @@ def layover_doc(segments: DataFrame) -> DataFrame:
                    F.col("segment_duration").alias("duration"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col("layover_order").alias("o"), leg.alias("leg"))))
     return segments.groupBy("air_id").agg(F.transform(ordered, lambda x: x["leg"]).alias("legs"))
+
+
+def archive_documents(flights_w: DataFrame, airports: DataFrame, fares: DataFrame, layovers: DataFrame,
+                      flights: DataFrame) -> DataFrame:
+    """One document row per archived flight: ``flight`` fields, ``prices`` (``{}`` when the flight has
+    no complete offer) and ``layover_info`` (ordered legs; null for direct flights)."""
+    expired = expired_fares(flights_w, airports, fares)
+    fl = archive_flights(flights_w, airports, fares)
+    prices = price_history_doc(expired)
+    legs = layover_doc(layover_segments(layovers, archived_flights(flights_w, fares), flights, airports))
+    doc = fl.join(prices, ["air_id", *ROUTE_DAY], "left").join(legs, "air_id", "left")
+    prices_type = prices.schema["prices"].dataType
+    flight = F.struct(*[F.col(f"`{c}`") for c in FLIGHT_FIELDS])
+    return doc.select(
+        "air_id", *ROUTE_DAY, flight.alias("flight"),
+        F.when(F.col("prices").isNull(), F.create_map().cast(prices_type))
+         .otherwise(F.col("prices")).alias("prices"),
+        F.col("legs").alias("layover_info"))
+
+
+FLIGHT_FIELDS = ("depart_time(utc)", "depart_time(dep)", "arrival_time(utc)", "arrival_time(arr)",
+                 "depart_airport", "arrival_airport", "is_layover", "journey_time")

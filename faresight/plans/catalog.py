@@ -191,3 +191,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layover_segments": q_layover_segments,
     "layover_doc": q_layover_doc,
 }
+
+
+# --- sinks and streaming ------------------------------------------------------------------------
+
+def q_archive_sink(spark, base):
+    """Write the archive documents (JSON under route/day folders), read them back, summarise per flight."""
+    from faresight.sources import sinks
+    t, fw, _ = _expired(spark, base)
+    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights)
+    path = scratch_path(spark, "archive")
+    sinks.write_archive(docs, path)
+    schema = docs.drop(*sinks.PARTS).schema
+    back = sinks.read_archive(spark, path, schema)
+    days = F.flatten(F.transform(F.map_values("prices"), lambda v: v["price_history"]))
+    return back.select(
+        "air_id", "route_key", "window_date",
+        F.col("flight.is_layover").alias("is_layover"),
+        F.col("flight.journey_time").alias("journey_time"),
+        F.size(F.map_keys("prices")).cast("bigint").alias("n_options"),
+        F.size(days).cast("bigint").alias("n_days"),
+        F.size(F.filter(days, lambda h: h["is_available"])).cast("bigint").alias("n_available"),
+        F.aggregate(days, F.lit(0).cast("bigint"),
+                    lambda acc, h: acc + F.coalesce(h["price"].cast("bigint"), F.lit(0))).alias("price_sum"),
+        F.when(F.col("layover_info").isNull(), F.lit(0)).otherwise(F.size("layover_info"))
+         .cast("bigint").alias("n_legs"))
+
+
+def q_stream_ingest(spark, base):
+    """Land the landing table's rows through the streaming file source (``availableNow``) and read
+    the landed rows back. The source files are written from the derived landing table, standing in
+    for the crawler's output folder ``{date}/international``."""
+    from faresight.streaming import ingest
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "stream")
+    src = f"{root}/source/{D}/international"
+    t.landing.write.option("maxRecordsPerFile", 5000).json(src)
+    q = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/checkpoint/{D}",
+                            rejects_path=f"{root}/rejects", available_now=True)
+    q.awaitTermination()
+    return ingest.read_landing(spark, f"{root}/landing").select(
+        "batch_id", "air_id", "seat_class", "agt_code", "adult_fare", "fetched_date", "fare_class")
+
+
+QUERIES["archive_sink"] = q_archive_sink
+QUERIES["stream_ingest"] = q_stream_ingest

@@ -276,4 +276,22 @@ ORACLE: dict[str, str] = {
                       || segment_arrival || ':' || coalesce(CAST(connect_time AS VARCHAR), '-'), ','
                       ORDER BY layover_order) AS legs_text
     FROM legs GROUP BY air_id""", [_EXPIRED, _LEGS]),
+    "archive_sink": with_views("""
+    SELECT f.air_id, f.route_key, f.window_date, f.is_layover, f.journey_time,
+           CAST(coalesce(p.n_options, 0) AS BIGINT) AS n_options,
+           CAST(coalesce(p.n_days, 0) AS BIGINT) AS n_days,
+           CAST(coalesce(p.n_available, 0) AS BIGINT) AS n_available,
+           CAST(coalesce(p.price_sum, 0) AS BIGINT) AS price_sum,
+           CAST(coalesce(l.n_legs, 0) AS BIGINT) AS n_legs
+    FROM (SELECT air_id, route_key, window_date,
+                 CASE WHEN bool_and(is_layover) THEN 'True' ELSE 'False' END AS is_layover,
+                 min(journey_time) AS journey_time
+          FROM expired GROUP BY air_id, route_key, window_date) f
+    LEFT JOIN (SELECT o.air_id, count(DISTINCT o.option_id) AS n_options, count(h.air_id) AS n_days,
+                      count(h.price) AS n_available, sum(h.price) AS price_sum
+               FROM offers o LEFT JOIN history h ON o.air_id = h.air_id AND o.option_id = h.option_id
+               GROUP BY o.air_id) p ON p.air_id = f.air_id
+    LEFT JOIN (SELECT air_id, count(*) AS n_legs FROM legs GROUP BY air_id) l ON l.air_id = f.air_id""",
+        [_EXPIRED, _FRAME, _OFFERS, _DAYS, _HISTORY, _LEGS]),
+    "stream_ingest": with_views("SELECT * FROM temp_fare_info"),
 }
