@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faresight.functions.keys import airline_or_placeholder, route_key
 from faresight.functions.time import local_time
-from faresight.operators.broadcast import bounded_broadcast
+from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 
 def fare_daily_agg(landing: DataFrame, flights: DataFrame, airports: DataFrame, day=None) -> DataFrame:
@@ -25,7 +25,9 @@ def fare_daily_agg(landing: DataFrame, flights: DataFrame, airports: DataFrame,
         fa = fa.where(F.col("fetched_date") == F.lit(day).cast("date"))
     fl = flights.select("air_id", "is_layover", "airline", "depart_airport", "arrival_airport",
                         "depart_timestamp")
-    dims = bounded_broadcast(airports.select("airport_code", "time_zone"))
+    dims = airports.select("airport_code", "time_zone")
+    if bounded_rows(airports, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
+        dims = F.broadcast(dims)
     dep = dims.select(F.col("airport_code").alias("depart_airport"), F.col("time_zone").alias("dep_zone"))
     arr = dims.select(F.col("airport_code").alias("arrival_airport"))
     joined = (fa.join(fl, "air_id")

@@ -22,7 +22,7 @@ from faresight.constants import BUSINESS_ZONE, OFFER_KEY
 from faresight.functions.keys import bool_text, option_id, route_key
 from faresight.functions.time import (in_day_window, iso_date_text, local_date, local_time, ts_text,
                                       weekday_kr)
-from faresight.operators.broadcast import bounded_broadcast
+from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_rows
 
 ROUTE_DAY = ["route_key", "window_date"]
 
@@ -44,7 +44,9 @@ def flights_in_window(flights: DataFrame, routes: DataFrame, day=None, days: int
 
 
 def _airport_dims(airports: DataFrame):
-    dims = bounded_broadcast(airports.select("airport_code", "name", "country", "time_zone"))
+    dims = airports.select("airport_code", "name", "country", "time_zone")
+    if bounded_rows(airports, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
+        dims = F.broadcast(dims)
     dep = dims.select(*[F.col(c).alias(f"_dep_{c}") for c in dims.columns])
     arr = dims.select(*[F.col(c).alias(f"_arr_{c}") for c in dims.columns])
     return dep, arr
@@ -117,27 +119,63 @@ def route_day_max(expired: DataFrame) -> DataFrame:
     return expired.groupBy(*ROUTE_DAY).agg(F.max("fetched_date").alias("max_fetched"))
 
 
-def archive_offers(expired: DataFrame) -> DataFrame:
-    """One row per offer (flight x seat class x airline x agency x fare class), rows with a null part
-    dropped. Columns: option_id, the four parts, ``first_date`` (first collection), ``dep_date``
-    (departure-local day), ``end_date = least(dep_date, route-day max + 1)`` (exclusive end of the
-    history) and ``_prices`` (fetched_date -> fare of this offer).
+def count_frames(flights_w: DataFrame) -> int:
+    """Exact upper bound on the number of route-day frames: distinct (route, day) of windowed flights.
+
+    An aggregate over the flight dimension only (not the fare fact), used to prove the route-day
+    table small enough to broadcast.
     """
-    # The frame table has one row per route-day; it is an aggregate of the fare join, so a count-based
-    # size check would run that join twice. AQE measures the aggregate's shuffle output instead and
-    # turns the join into a broadcast when it is small (sort-merge otherwise).
+    return flights_w.select(*ROUTE_DAY).distinct().count()
+
+
+def _frames(expired: DataFrame, max_frames: int | None) -> DataFrame:
     frame = route_day_max(expired)
-    offers = (expired.dropna(subset=list(OFFER_KEY))
-              .groupBy("air_id", *ROUTE_DAY, *OFFER_KEY)
-              .agg(F.min("fetched_date").alias("first_date"),
-                   F.min("depart_date").alias("dep_date"),
-                   F.map_from_entries(F.collect_list(F.struct("fetched_date", "fare"))).alias("_prices")))
-    return (offers.join(frame, ROUTE_DAY)
+    if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
+        return F.broadcast(frame)
+    # Unknown or large: AQE measures the aggregate at run time and broadcasts it if small,
+    # sort-merge join otherwise.
+    return frame
+
+
+def _complete(keys=OFFER_KEY) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: bool,
+                  carry: dict[str, Column] | None = None) -> DataFrame:
+    """Group frame rows to offers and attach ``end_date`` (see :func:`archive_offers`).
+
+    ``complete_only=False`` keeps offers with a null part (pandas-style group-by drops them from the
+    price listing, but their flight is still documented); their price map is left empty.
+    """
+    src = expired.where(_complete()) if complete_only else expired
+    aggs = [F.min("fetched_date").alias("first_date"),
+            F.min("depart_date").alias("dep_date"),
+            F.map_from_entries(F.collect_list(F.when(_complete(), F.struct("fetched_date", "fare"))))
+             .alias("_prices")]
+    aggs += [F.min(c).alias(n) for n, c in (carry or {}).items()]
+    offers = src.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
+    return (offers.join(_frames(expired, max_frames), ROUTE_DAY)
             .withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1)))
             .withColumn("option_id", option_id(*OFFER_KEY))
             .drop("max_fetched"))
 
 
+def archive_offers(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+    """One row per offer (flight x seat class x airline x agency x fare class), rows with a null part
+    dropped. Columns: option_id, the four parts, ``first_date`` (first collection), ``dep_date``
+    (departure-local day), ``end_date = least(dep_date, route-day max + 1)`` (exclusive end of the
+    history) and ``_prices`` (fetched_date -> fare of this offer).
+
+    ``max_frames`` (from :func:`count_frames`) lets the route-day table be broadcast; the grouping
+    runs on the partitioning of the fare join (its keys start with ``air_id``), so it adds no shuffle.
+    """
+    return _offer_groups(expired, max_frames, complete_only=True)
+
+
 def history_array(first="first_date", end="end_date", dep="dep_date", prices="_prices") -> Column:
     """Daily entries from ``first`` to the day before ``end``; empty when ``first >= end``.
 
@@ -157,24 +195,28 @@ def history_array(first="first_date", end="end_date", dep="dep_date", prices="_p
     return F.when(F.col(first) < F.col(end), F.transform(days, entry)).otherwise(empty)
 
 
-def offers_with_history(expired: DataFrame) -> DataFrame:
-    return archive_offers(expired).withColumn("price_history", history_array()).drop("_prices")
+def offers_with_history(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+    return archive_offers(expired, max_frames).withColumn("price_history", history_array()).drop("_prices")
 
 
-def price_history(expired: DataFrame) -> DataFrame:
+def price_history(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
     """Flat gap-filled history: one row per offer and day."""
-    return (offers_with_history(expired)
+    return (offers_with_history(expired, max_frames)
             .select("air_id", *ROUTE_DAY, "option_id", F.inline("price_history")))
 
 
-def price_history_doc(expired: DataFrame) -> DataFrame:
-    """Per flight: ``prices`` map option_id -> {metadata, price_history}, options in key order."""
-    o = offers_with_history(expired)
-    entry = F.struct(F.col("option_id").alias("key"), F.struct(
+def _price_entry() -> Column:
+    return F.struct(F.col("option_id").alias("key"), F.struct(
         F.struct("seat_class", "airline", F.col("agt_code").alias("agency"), "fare_class").alias("metadata"),
-        F.col("price_history")).alias("value"))
+        history_array().alias("price_history")).alias("value"))
+
+
+def price_history_doc(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+    """Per flight with a complete offer: ``prices`` map option_id -> {metadata, price_history},
+    options in key order. Flight-level grouping reuses the offers' ``air_id`` partitioning."""
+    o = archive_offers(expired, max_frames)
     return (o.groupBy("air_id", *ROUTE_DAY)
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("prices")))
+            .agg(F.map_from_entries(F.array_sort(F.collect_list(_price_entry()))).alias("prices")))
 
 
 def layover_segments(layovers: DataFrame, archived: DataFrame, flights: DataFrame,
@@ -220,22 +262,38 @@ def layover_doc(segments: DataFrame) -> DataFrame:
     return segments.groupBy("air_id").agg(F.transform(ordered, lambda x: x["leg"]).alias("legs"))
 
 
+_FLIGHT_RAW = {
+    "_dep_utc": "depart_time(utc)", "_dep_local": "depart_time(dep)", "_arr_utc": "arrival_time(utc)",
+    "_arr_local": "arrival_time(arr)", "_dep_code": "airport_code(dep)", "_arr_code": "airport_code(arr)",
+    "_is_layover": "is_layover", "_journey": "journey_time",
+}
+
+
 def archive_documents(flights_w: DataFrame, airports: DataFrame, fares: DataFrame, layovers: DataFrame,
-                      flights: DataFrame) -> DataFrame:
+                      flights: DataFrame, max_frames: int | None = None) -> DataFrame:
     """One document row per archived flight: ``flight`` fields, ``prices`` (``{}`` when the flight has
-    no complete offer) and ``layover_info`` (ordered legs; null for direct flights)."""
+    no complete offer) and ``layover_info`` (ordered legs; null for direct flights).
+
+    Plan: fares are shuffled once by ``air_id`` (join with the windowed flights); the offer and
+    flight aggregates both run on that partitioning, carrying the flight attributes along (they
+    depend on ``air_id`` only). Legs are computed for the windowed layover flights and left-joined.
+    """
     expired = expired_fares(flights_w, airports, fares)
-    fl = archive_flights(flights_w, airports, fares)
-    prices = price_history_doc(expired)
-    legs = layover_doc(layover_segments(layovers, archived_flights(flights_w, fares), flights, airports))
-    doc = fl.join(prices, ["air_id", *ROUTE_DAY], "left").join(legs, "air_id", "left")
-    prices_type = prices.schema["prices"].dataType
-    flight = F.struct(*[F.col(f"`{c}`") for c in FLIGHT_FIELDS])
-    return doc.select(
-        "air_id", *ROUTE_DAY, flight.alias("flight"),
-        F.when(F.col("prices").isNull(), F.create_map().cast(prices_type))
-         .otherwise(F.col("prices")).alias("prices"),
-        F.col("legs").alias("layover_info"))
+    carry = {n: F.col(f"`{c}`") for n, c in _FLIGHT_RAW.items()}
+    offers = _offer_groups(expired, max_frames, complete_only=False, carry=carry)
+    entry = F.when(_complete(), _price_entry())
+    per_flight = (offers.groupBy("air_id", *ROUTE_DAY)
+                  .agg(*[F.min(n).alias(n) for n in _FLIGHT_RAW],
+                       F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("prices")))
+    legs = layover_doc(layover_segments(layovers, flights_w, flights, airports))
+    doc = per_flight.join(legs, "air_id", "left")
+    flight = F.struct(
+        ts_text("_dep_utc").alias("depart_time(utc)"), ts_text("_dep_local").alias("depart_time(dep)"),
+        ts_text("_arr_utc").alias("arrival_time(utc)"), ts_text("_arr_local").alias("arrival_time(arr)"),
+        F.col("_dep_code").alias("depart_airport"), F.col("_arr_code").alias("arrival_airport"),
+        bool_text("_is_layover").alias("is_layover"), F.col("_journey").alias("journey_time"))
+    return doc.select("air_id", *ROUTE_DAY, flight.alias("flight"), "prices",
+                      F.col("legs").alias("layover_info"))
 
 
 FLIGHT_FIELDS = ("depart_time(utc)", "depart_time(dep)", "arrival_time(utc)", "arrival_time(arr)",

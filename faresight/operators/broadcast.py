@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,22 @@ from pyspark.sql import functions as F
 # (sort-merge, or AQE's runtime broadcast when the measured size is small).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
+_checked: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> int:
+    """Row count of ``df`` capped at ``max_rows + 1`` (a ``limit`` count; remembered per DataFrame)."""
+    n = _checked.get(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+        _checked[df] = n
+    return n
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check runs a ``limit(max_rows + 1)`` count, so it never scans more than ``max_rows + 1`` rows.
-    Use for dimensions (airports, routes), whose size does not grow with the fact data.
+    The check counts at most ``max_rows + 1`` rows. Use for dimensions (airports, routes), whose size
+    does not grow with the fact data.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bounded_rows(df, max_rows) <= max_rows else df

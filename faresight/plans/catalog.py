@@ -27,11 +27,24 @@ def _round_agg(df: DataFrame) -> DataFrame:
                        for c in AGG_COLUMNS])
 
 
+_REGION_MAPS: dict[tuple[str, str], str] = {}
+
+
+def region_map_path(spark: SparkSession, base: str, airports: DataFrame | None = None) -> str:
+    """Region-map document of the test tables' airports, written once per application and base folder
+    (it plays the part of the job's configuration file)."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _REGION_MAPS:
+        airports = airports if airports is not None else fixtures.airport_info(spark, base)
+        path = scratch_path(spark, "region-map")
+        region_map.write_region_map(airports, path)
+        _REGION_MAPS[key] = path
+    return _REGION_MAPS[key]
+
+
 def fixture_routes(spark: SparkSession, base: str, airports: DataFrame | None = None) -> DataFrame:
-    """Routes of the test tables, going through the region-map document (write, then read back)."""
-    airports = airports if airports is not None else fixtures.airport_info(spark, base)
-    path = scratch_path(spark, "region-map")
-    region_map.write_region_map(airports, path)
+    """Routes of the test tables, read through the region-map document (S2)."""
+    path = region_map_path(spark, base, airports)
     return build_routes(region_map.read_region_map(spark, path), fixtures.FIXTURE_DEPARTURES,
                         arrivals=fixtures.FIXTURE_ARRIVALS)
 
@@ -42,6 +55,10 @@ def _expired(spark: SparkSession, base: str):
     return t, fw, archive.expired_fares(fw, t.airports, t.fares)
 
 
+def _frames_bound(fw: DataFrame) -> int:
+    return archive.count_frames(fw)
+
+
 # --- daily aggregate and merge -------------------------------------------------------------------
 
 def q_fare_daily_agg(spark, base):
@@ -126,15 +143,18 @@ def q_archive_flights(spark, base):
 
 
 def q_archive_options(spark, base):
-    return archive.archive_offers(_expired(spark, base)[2]).drop("_prices")
+    _, fw, ex = _expired(spark, base)
+    return archive.archive_offers(ex, _frames_bound(fw)).drop("_prices")
 
 
 def q_price_history(spark, base):
-    return archive.price_history(_expired(spark, base)[2])
+    _, fw, ex = _expired(spark, base)
+    return archive.price_history(ex, _frames_bound(fw))
 
 
 def q_price_history_doc(spark, base):
-    doc = archive.price_history_doc(_expired(spark, base)[2])
+    _, fw, ex = _expired(spark, base)
+    doc = archive.price_history_doc(ex, _frames_bound(fw))
     opts = F.map_entries("prices")
     days = F.flatten(F.transform(opts, lambda e: e["value"]["price_history"]))
     text = F.array_join(F.transform(opts, lambda e: F.concat(
@@ -199,7 +219,7 @@ def q_archive_sink(spark, base):
     """Write the archive documents (JSON under route/day folders), read them back, summarise per flight."""
     from faresight.sources import sinks
     t, fw, _ = _expired(spark, base)
-    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights)
+    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights, _frames_bound(fw))
     path = scratch_path(spark, "archive")
     sinks.write_archive(docs, path)
     schema = docs.drop(*sinks.PARTS).schema

@@ -46,13 +46,14 @@ def airport_info(spark: SparkSession, base: str) -> DataFrame:
                     F.col("r_name").alias("country"), zone.alias("time_zone")))
 
 
-def flight_info(spark: SparkSession, base: str) -> DataFrame:
+def _flights_keyed(spark: SparkSession, base: str) -> DataFrame:
     orders = read_table(spark, base, "orders", ["o_orderkey", "o_custkey"])
     customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
     k = F.col("o_orderkey")
     dep = F.to_timestamp_ntz(F.lit(T0)) + _hours(k % 480)
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .select(F.concat(F.lit("F"), k.cast("string")).alias("air_id"),
+            .select(k.alias("_k"),
+                    F.concat(F.lit("F"), k.cast("string")).alias("air_id"),
                     (k % 5 == 0).alias("is_layover"),
                     _code(F.col("c_nationkey") % 3).alias("depart_airport"),
                     _code(3 + F.col("c_custkey") % 4).alias("arrival_airport"),
@@ -63,17 +64,23 @@ def flight_info(spark: SparkSession, base: str) -> DataFrame:
                     (60 * (1 + k % 11)).cast("int").alias("journey_time")))
 
 
-def fare_raw(spark: SparkSession, base: str, flights: DataFrame | None = None) -> DataFrame:
-    """Every lineitem as a fare observation of its order's flight (helper for both fare tables)."""
+def flight_info(spark: SparkSession, base: str) -> DataFrame:
+    return _flights_keyed(spark, base).drop("_k")
+
+
+def fare_raw(spark: SparkSession, base: str) -> DataFrame:
+    """Every lineitem as a fare observation of its order's flight (helper for both fare tables).
+
+    Joined on the numeric order key (same rows as joining on ``air_id = 'F' || l_orderkey``).
+    """
     li = read_table(spark, base, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                               "l_extendedprice", "l_returnflag", "l_linestatus"])
-    fl = (flights if flights is not None else flight_info(spark, base)).select("air_id", "depart_timestamp")
-    li = li.withColumn("air_id", F.concat(F.lit("F"), F.col("l_orderkey").cast("string")))
+    fl = _flights_keyed(spark, base).select("_k", "air_id", "depart_timestamp")
     seat = (F.when(F.col("l_returnflag") == "A", "Y").when(F.col("l_returnflag") == "N", "C")
             .otherwise("F"))
     batch_id = (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 10000
                 + F.col("l_suppkey"))
-    return (li.join(fl, "air_id")
+    return (li.join(fl, li.l_orderkey == fl._k)
             .select("air_id", seat.alias("seat_class"),
                     F.concat(F.lit("AGT"), (F.col("l_suppkey") % 2).cast("string")).alias("agt_code"),
                     F.floor("l_extendedprice").cast("int").alias("adult_fare"),
@@ -121,7 +128,6 @@ class FareTables:
 
 
 def load(spark: SparkSession, base: str) -> FareTables:
-    flights = flight_info(spark, base)
-    raw = fare_raw(spark, base, flights)
-    return FareTables(airports=airport_info(spark, base), flights=flights, fares=fare_info(spark, base, raw),
+    raw = fare_raw(spark, base)
+    return FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base), fares=fare_info(spark, base, raw),
                       landing=temp_fare_info(spark, base, raw), layovers=layover_info(spark, base))
