@@ -18,6 +18,7 @@ from faresight.operators import aggregate, archive, merge
 from faresight.operators.routes import routes as build_routes
 from faresight.session import scratch_path
 from faresight.sources import fixtures, region_map
+from faresight.sources.tables import read_table
 
 D = fixtures.RUN_DATE
 
@@ -119,7 +120,7 @@ def q_routes(spark, base):
 
 
 def q_business_date(spark, base):
-    ev = spark.read.parquet(f"{base.rstrip('/')}/events.parquet").select("event_id", "ts")
+    ev = read_table(spark, base, "events", ["event_id", "ts"])
     return ev.select("event_id", business_date_col("ts").alias("business_date"))
 
 

@@ -127,7 +127,64 @@ class FareTables:
     layovers: DataFrame
 
 
-def load(spark: SparkSession, base: str) -> FareTables:
+def derive(spark: SparkSession, base: str) -> FareTables:
+    """The fare tables as lazy derivations of the test tables (nothing is written)."""
     raw = fare_raw(spark, base)
-    return FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base), fares=fare_info(spark, base, raw),
-                      landing=temp_fare_info(spark, base, raw), layovers=layover_info(spark, base))
+    return FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
+                      fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),
+                      layovers=layover_info(spark, base))
+
+
+# Stored layout of the fare tables: the facts are partitioned by fetched_date (date filters prune
+# partitions), dimensions are plain parquet. Schemas are declared, so reads start no inference job.
+STORED_SCHEMAS = {
+    "airport_info": "airport_code string, name string, country string, time_zone string",
+    "flight_info": ("air_id string, is_layover boolean, depart_airport string, arrival_airport string, "
+                    "airline string, depart_timestamp timestamp_ntz, arrival_timestamp timestamp_ntz, "
+                    "journey_time int"),
+    "fare_info": ("air_id string, seat_class string, agt_code string, adult_fare int, fare_class string, "
+                  "fetched_date date"),
+    "temp_fare_info": ("batch_id bigint, air_id string, seat_class string, agt_code string, adult_fare int, "
+                       "fare_class string, fetched_date date"),
+    "layover_info": "air_id string, segment_id string, layover_order int, connect_time int",
+}
+PARTITIONED = {"fare_info": "fetched_date", "temp_fare_info": "fetched_date"}
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def write_tables(t: FareTables, root: str) -> None:
+    """Write the fare tables under ``root`` in the stored layout."""
+    frames = {"airport_info": t.airports, "flight_info": t.flights, "fare_info": t.fares,
+              "temp_fare_info": t.landing, "layover_info": t.layovers}
+    for name, df in frames.items():
+        part = PARTITIONED.get(name)
+        if part:
+            # rebalance: AQE sizes the write tasks (a heavy day is split, light days are packed)
+            df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def read_tables(spark: SparkSession, root: str) -> FareTables:
+    def rd(name):
+        return spark.read.schema(STORED_SCHEMAS[name]).parquet(f"{root}/{name}")
+    return FareTables(airports=rd("airport_info"), flights=rd("flight_info"), fares=rd("fare_info"),
+                      landing=rd("temp_fare_info"), layovers=rd("layover_info"))
+
+
+def load(spark: SparkSession, base: str) -> FareTables:
+    """The fare tables of ``base`` in their stored layout.
+
+    They are derived from the test tables and written once per application into the shared folder
+    (``spark.checkpoint.dir``), standing in for the tables a deployment already has; later calls read
+    the written tables.
+    """
+    from faresight.session import scratch_path
+    key = (spark.sparkContext.applicationId, base)
+    root = _STORED.get(key)
+    if root is None:
+        root = scratch_path(spark, "fare-tables")
+        write_tables(derive(spark, base), root)
+        _STORED[key] = root
+    return read_tables(spark, root)
