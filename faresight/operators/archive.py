@@ -62,10 +62,10 @@ def expired_fares(flights_w: DataFrame, airports: DataFrame, fares: DataFrame) -
     dep, arr = _airport_dims(airports)
     fw = (flights_w.join(dep, F.col("depart_airport") == F.col("_dep_airport_code"))
           .join(arr, F.col("arrival_airport") == F.col("_arr_airport_code")))
-    fa = fares.select("air_id", "seat_class", "agt_code", "adult_fare", "fare_class", "fetched_date")
-    j = fw.join(fa, "air_id")
     dz, az = F.col("_dep_time_zone"), F.col("_arr_time_zone")
-    return j.select(
+    # Flight-level columns (zone conversions included) are computed once per flight, before the
+    # fare join multiplies the rows.
+    per_flight = fw.select(
         "air_id", "is_layover", "route_key", "window_date",
         F.col("_dep_airport_code").alias("airport_code(dep)"),
         F.col("_dep_name").alias("depart_airport"),
@@ -80,9 +80,11 @@ def expired_fares(flights_w: DataFrame, airports: DataFrame, fares: DataFrame) -
         local_time("arrival_timestamp", dz).alias("arrival_time(dep)"),
         local_time("depart_timestamp", az).alias("depart_time(arr)"),
         local_time("arrival_timestamp", az).alias("arrival_time(arr)"),
-        "seat_class", "agt_code", F.col("adult_fare").alias("fare"), "fare_class", "journey_time",
-        "fetched_date",
-        F.to_date(local_time("depart_timestamp", dz)).alias("depart_date"))
+        "journey_time")
+    per_flight = per_flight.withColumn("depart_date", F.to_date(F.col("`depart_time(dep)`")))
+    fa = fares.select("air_id", "seat_class", "agt_code", F.col("adult_fare").alias("fare"), "fare_class",
+                      "fetched_date")
+    return per_flight.join(fa, "air_id")
 
 
 def archived_flights(flights_w: DataFrame, fares: DataFrame) -> DataFrame:
@@ -128,15 +130,6 @@ def count_frames(flights_w: DataFrame) -> int:
     return flights_w.select(*ROUTE_DAY).distinct().count()
 
 
-def _frames(expired: DataFrame, max_frames: int | None) -> DataFrame:
-    frame = route_day_max(expired)
-    if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
-        return F.broadcast(frame)
-    # Unknown or large: AQE measures the aggregate at run time and broadcasts it if small,
-    # sort-merge join otherwise.
-    return frame
-
-
 def _complete(keys=OFFER_KEY) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -148,20 +141,28 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
                   carry: dict[str, Column] | None = None) -> DataFrame:
     """Group frame rows to offers and attach ``end_date`` (see :func:`archive_offers`).
 
-    ``complete_only=False`` keeps offers with a null part (pandas-style group-by drops them from the
-    price listing, but their flight is still documented); their price map is left empty.
+    All rows are grouped (offers with a null part included), and the route-day maximum is taken
+    from these groups' own maxima: the frame table and the offers then read the same shuffle output
+    (exchange reuse), so the fare join runs once. ``complete_only`` drops offers with a null part
+    afterwards (pandas-style group-by leaves them out of the price listing, but their dates still
+    count in the route-day maximum and their flight is still documented).
     """
-    src = expired.where(_complete()) if complete_only else expired
     aggs = [F.min("fetched_date").alias("first_date"),
+            F.max("fetched_date").alias("_last_fetched"),
             F.min("depart_date").alias("dep_date"),
             F.map_from_entries(F.collect_list(F.when(_complete(), F.struct("fetched_date", "fare"))))
              .alias("_prices")]
     aggs += [F.min(c).alias(n) for n, c in (carry or {}).items()]
-    offers = src.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
-    return (offers.join(_frames(expired, max_frames), ROUTE_DAY)
-            .withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1)))
-            .withColumn("option_id", option_id(*OFFER_KEY))
-            .drop("max_fetched"))
+    offers = expired.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
+    frame = offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched"))
+    if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
+        frame = F.broadcast(frame)
+    # (unknown or large frame count: AQE broadcasts the frame table at run time if it is small)
+    out = (offers.join(frame, ROUTE_DAY)
+           .withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1)))
+           .withColumn("option_id", option_id(*OFFER_KEY))
+           .drop("max_fetched", "_last_fetched"))
+    return out.where(_complete()) if complete_only else out
 
 
 def archive_offers(expired: DataFrame, max_frames: int | None = None) -> DataFrame:

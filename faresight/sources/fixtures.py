@@ -163,7 +163,7 @@ def write_tables(t: FareTables, root: str) -> None:
             # rebalance: AQE sizes the write tasks (a heavy day is split, light days are packed)
             df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{root}/{name}")
         else:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
+            df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def read_tables(spark: SparkSession, root: str) -> FareTables:
