@@ -153,7 +153,10 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
             F.map_from_entries(F.collect_list(F.when(_complete(), F.struct("fetched_date", "fare"))))
              .alias("_prices")]
     aggs += [F.min(c).alias(n) for n, c in (carry or {}).items()]
-    offers = expired.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
+    # Cluster by flight once: the offer aggregate, the flight-level aggregate and the join with the
+    # legs all run on this partitioning. After a sort-merge join on air_id the planner drops this
+    # repartition as redundant; after a broadcast join it is the only shuffle of the fare rows.
+    offers = expired.repartition("air_id").groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
     frame = offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched"))
     if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
         frame = F.broadcast(frame)
