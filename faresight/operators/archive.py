@@ -121,6 +121,21 @@ def route_day_max(expired: DataFrame) -> DataFrame:
     return expired.groupBy(*ROUTE_DAY).agg(F.max("fetched_date").alias("max_fetched"))
 
 
+def frame_max(flights_w: DataFrame, airports: DataFrame, fares: DataFrame) -> DataFrame:
+    """Route-day maximum of ``fetched_date`` without the wide fare join.
+
+    Fares are reduced to one ``max(fetched_date)`` per flight (two columns read, partial aggregation
+    on the map side), joined to the windowed flights (with the same airport joins as the frame rows)
+    and maximised per route-day. Equal to :func:`route_day_max` of :func:`expired_fares`.
+    """
+    dep, arr = _airport_dims(airports)
+    fl = (flights_w.join(dep.select("_dep_airport_code"), F.col("depart_airport") == F.col("_dep_airport_code"))
+          .join(arr.select("_arr_airport_code"), F.col("arrival_airport") == F.col("_arr_airport_code"))
+          .select("air_id", *ROUTE_DAY))
+    last = fares.groupBy("air_id").agg(F.max("fetched_date").alias("_last"))
+    return fl.join(last, "air_id").groupBy(*ROUTE_DAY).agg(F.max("_last").alias("max_fetched"))
+
+
 def count_frames(flights_w: DataFrame) -> int:
     """Exact upper bound on the number of route-day frames: distinct (route, day) of windowed flights.
 
@@ -138,12 +153,12 @@ def _complete(keys=OFFER_KEY) -> Column:
 
 
 def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: bool,
-                  carry: dict[str, Column] | None = None) -> DataFrame:
+                  carry: dict[str, Column] | None = None, frames: DataFrame | None = None) -> DataFrame:
     """Group frame rows to offers and attach ``end_date`` (see :func:`archive_offers`).
 
-    All rows are grouped (offers with a null part included), and the route-day maximum is taken
-    from these groups' own maxima: the frame table and the offers then read the same shuffle output
-    (exchange reuse), so the fare join runs once. ``complete_only`` drops offers with a null part
+    All rows are grouped (offers with a null part included). The route-day maximum comes from
+    ``frames`` (see :func:`frame_max`, the cheap form) or else from these groups' own maxima.
+    ``complete_only`` drops offers with a null part
     afterwards (pandas-style group-by leaves them out of the price listing, but their dates still
     count in the route-day maximum and their flight is still documented).
     """
@@ -157,7 +172,8 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
     # legs all run on this partitioning. After a sort-merge join on air_id the planner drops this
     # repartition as redundant; after a broadcast join it is the only shuffle of the fare rows.
     offers = expired.repartition("air_id").groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
-    frame = offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched"))
+    frame = (frames if frames is not None
+             else offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched")))
     if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
         frame = F.broadcast(frame)
     # (unknown or large frame count: AQE broadcasts the frame table at run time if it is small)
@@ -168,7 +184,8 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
     return out.where(_complete()) if complete_only else out
 
 
-def archive_offers(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+def archive_offers(expired: DataFrame, max_frames: int | None = None,
+                   frames: DataFrame | None = None) -> DataFrame:
     """One row per offer (flight x seat class x airline x agency x fare class), rows with a null part
     dropped. Columns: option_id, the four parts, ``first_date`` (first collection), ``dep_date``
     (departure-local day), ``end_date = least(dep_date, route-day max + 1)`` (exclusive end of the
@@ -177,7 +194,7 @@ def archive_offers(expired: DataFrame, max_frames: int | None = None) -> DataFra
     ``max_frames`` (from :func:`count_frames`) lets the route-day table be broadcast; the grouping
     runs on the partitioning of the fare join (its keys start with ``air_id``), so it adds no shuffle.
     """
-    return _offer_groups(expired, max_frames, complete_only=True)
+    return _offer_groups(expired, max_frames, complete_only=True, frames=frames)
 
 
 def history_array(first="first_date", end="end_date", dep="dep_date", prices="_prices") -> Column:
@@ -199,13 +216,16 @@ def history_array(first="first_date", end="end_date", dep="dep_date", prices="_p
     return F.when(F.col(first) < F.col(end), F.transform(days, entry)).otherwise(empty)
 
 
-def offers_with_history(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
-    return archive_offers(expired, max_frames).withColumn("price_history", history_array()).drop("_prices")
+def offers_with_history(expired: DataFrame, max_frames: int | None = None,
+                        frames: DataFrame | None = None) -> DataFrame:
+    return (archive_offers(expired, max_frames, frames)
+            .withColumn("price_history", history_array()).drop("_prices"))
 
 
-def price_history(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+def price_history(expired: DataFrame, max_frames: int | None = None,
+                  frames: DataFrame | None = None) -> DataFrame:
     """Flat gap-filled history: one row per offer and day."""
-    return (offers_with_history(expired, max_frames)
+    return (offers_with_history(expired, max_frames, frames)
             .select("air_id", *ROUTE_DAY, "option_id", F.inline("price_history")))
 
 
@@ -215,10 +235,11 @@ def _price_entry() -> Column:
         history_array().alias("price_history")).alias("value"))
 
 
-def price_history_doc(expired: DataFrame, max_frames: int | None = None) -> DataFrame:
+def price_history_doc(expired: DataFrame, max_frames: int | None = None,
+                      frames: DataFrame | None = None) -> DataFrame:
     """Per flight with a complete offer: ``prices`` map option_id -> {metadata, price_history},
     options in key order. Flight-level grouping reuses the offers' ``air_id`` partitioning."""
-    o = archive_offers(expired, max_frames)
+    o = archive_offers(expired, max_frames, frames)
     return (o.groupBy("air_id", *ROUTE_DAY)
             .agg(F.map_from_entries(F.array_sort(F.collect_list(_price_entry()))).alias("prices")))
 
@@ -284,7 +305,8 @@ def archive_documents(flights_w: DataFrame, airports: DataFrame, fares: DataFram
     """
     expired = expired_fares(flights_w, airports, fares)
     carry = {n: F.col(f"`{c}`") for n, c in _FLIGHT_RAW.items()}
-    offers = _offer_groups(expired, max_frames, complete_only=False, carry=carry)
+    offers = _offer_groups(expired, max_frames, complete_only=False, carry=carry,
+                           frames=frame_max(flights_w, airports, fares))
     entry = F.when(_complete(), _price_entry())
     per_flight = (offers.groupBy("air_id", *ROUTE_DAY)
                   .agg(*[F.min(n).alias(n) for n in _FLIGHT_RAW],

@@ -60,6 +60,12 @@ def _frames_bound(fw: DataFrame) -> int:
     return archive.count_frames(fw)
 
 
+def _archive_inputs(spark: SparkSession, base: str):
+    """Frame rows, the bound on route-day frames and the cheap route-day maximum."""
+    t, fw, ex = _expired(spark, base)
+    return ex, _frames_bound(fw), archive.frame_max(fw, t.airports, t.fares)
+
+
 # --- daily aggregate and merge -------------------------------------------------------------------
 
 def q_fare_daily_agg(spark, base):
@@ -144,18 +150,15 @@ def q_archive_flights(spark, base):
 
 
 def q_archive_options(spark, base):
-    _, fw, ex = _expired(spark, base)
-    return archive.archive_offers(ex, _frames_bound(fw)).drop("_prices")
+    return archive.archive_offers(*_archive_inputs(spark, base)).drop("_prices")
 
 
 def q_price_history(spark, base):
-    _, fw, ex = _expired(spark, base)
-    return archive.price_history(ex, _frames_bound(fw))
+    return archive.price_history(*_archive_inputs(spark, base))
 
 
 def q_price_history_doc(spark, base):
-    _, fw, ex = _expired(spark, base)
-    doc = archive.price_history_doc(ex, _frames_bound(fw))
+    doc = archive.price_history_doc(*_archive_inputs(spark, base))
     opts = F.map_entries("prices")
     days = F.flatten(F.transform(opts, lambda e: e["value"]["price_history"]))
     text = F.array_join(F.transform(opts, lambda e: F.concat(
