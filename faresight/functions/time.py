@@ -89,7 +89,8 @@ def weekday_kr(d) -> Column:
 
 
 def iso_date_text(d) -> Column:
-    return F.date_format(_col(d), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text of a date (a plain cast, cheaper per row than a format pattern)."""
+    return _col(d).cast("string")
 
 
 def ts_text(ts) -> Column:
