@@ -245,10 +245,12 @@ def price_history_doc(expired: DataFrame, max_frames: int | None = None,
 
 
 def layover_segments(layovers: DataFrame, archived: DataFrame, flights: DataFrame,
-                     airports: DataFrame) -> DataFrame:
+                     airports: DataFrame, ordered: bool = False) -> DataFrame:
     """Legs of the archived layover flights with each leg's own flight data and local times.
 
     ``archived`` carries ``air_id`` and ``is_layover``; a null flag does not select a flight.
+    ``ordered=True`` sorts the rows by (air_id, layover_order) — a range-partitioned global sort, only
+    worth it for a row listing; nested leg lists are ordered by :func:`layover_doc` without it.
     """
     sel = archived.where(F.col("is_layover")).select("air_id")
     legs = layovers.join(sel, "air_id", "left_semi")
@@ -265,7 +267,7 @@ def layover_segments(layovers: DataFrame, archived: DataFrame, flights: DataFram
          .join(arr.select("_arr_airport_code", "_arr_time_zone"),
                F.col("segment_arrival") == F.col("_arr_airport_code")))
     dz, az = F.col("_dep_time_zone"), F.col("_arr_time_zone")
-    return j.select(
+    out = j.select(
         "air_id", "segment_id", "layover_order", "connect_time", "segment_airline", "segment_depart",
         "segment_arrival", "segment_depart_time_utc", "segment_arrival_time_utc",
         local_time("segment_depart_time_utc", dz).alias("segment_depart_time_in_dep"),
@@ -273,6 +275,7 @@ def layover_segments(layovers: DataFrame, archived: DataFrame, flights: DataFram
         local_time("segment_depart_time_utc", az).alias("segment_depart_time_in_arr"),
         local_time("segment_arrival_time_utc", az).alias("segment_arrival_time_in_arr"),
         "segment_duration")
+    return out.orderBy("air_id", "layover_order") if ordered else out
 
 
 def layover_doc(segments: DataFrame) -> DataFrame:

@@ -65,3 +65,13 @@ def test_overwrite_partitions_touches_only_listed(spark):
     sinks.overwrite_partitions(spark.createDataFrame([(9, "a")], "v int, p string"), path, "p")
     got = sorted((r.v, r.p) for r in spark.read.parquet(path).collect())
     assert got == [(2, "b"), (9, "a")]
+
+
+def test_ordered_leg_rows(spark, tables):
+    from faresight.operators import archive
+    from faresight.plans import catalog
+    t, fw, _ = catalog._expired(spark, "/root/testdata/sf0.001")
+    rows = archive.layover_segments(t.layovers, archive.archived_flights(fw, t.fares), t.flights, t.airports,
+                                    ordered=True).select("air_id", "layover_order").collect()
+    keys = [(r.air_id, r.layover_order) for r in rows]
+    assert keys == sorted(keys) and len(keys) == 554

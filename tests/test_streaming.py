@@ -72,3 +72,13 @@ def test_replayed_epoch_overwrites_its_own_partition(spark, tables):
     write(batch, 0)
     write(batch, 0)  # the same epoch again after a failure
     assert ingest.read_landing(spark, f"{root}/landing").count() == 10
+
+
+def test_processing_time_trigger_stops_when_idle(spark, tables):
+    root = scratch_path(spark, "stream-idle")
+    src = _write_json_files(tables, root, 2)
+    q = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/ckpt",
+                            trigger="1 second")
+    ingest.run_until_idle(q, idle_seconds=3, poll_seconds=1, max_seconds=120)
+    assert not q.isActive
+    assert ingest.read_landing(spark, f"{root}/landing").count() == tables.landing.count()
