@@ -1,6 +1,5 @@
 """Stream ingest: bounded micro-batches, replay-safe landing, restart adds nothing, rejects kept."""
 
-import glob
 import json
 import os
 
