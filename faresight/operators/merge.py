@@ -43,10 +43,19 @@ def upsert(current: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
 
     ``changes`` must be key-unique (see :func:`latest_per_key`). Equality is SQL ``=``: null keys never
     conflict, so those change rows are added as new rows.
+
+    Written as one full outer join on the key, so the change set is read once (an anti join plus a
+    union would evaluate it twice); when both sides are already partitioned by the key — as
+    aggregates on that key are — the join adds no shuffle.
     """
     cols = current.columns
-    kept = current.join(changes.select(*key), on=key, how="left_anti")
-    return kept.unionByName(changes.select(*cols))
+    rest = [c for c in cols if c not in key]
+    new = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in rest],
+                         F.lit(True).alias("_is_new"))
+    j = current.join(new, on=key, how="full_outer")
+    return j.select(*[F.col(c) if c in key else
+                      F.when(F.col("_is_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+                      for c in cols])
 
 
 def upsert_partitions(current: DataFrame, changes: DataFrame, key: list[str], partition_col: str,
