@@ -185,6 +185,13 @@ def load(spark: SparkSession, base: str) -> FareTables:
     root = _STORED.get(key)
     if root is None:
         root = scratch_path(spark, "fare-tables")
-        write_tables(derive(spark, base), root)
+        raw = fare_raw(spark, base).persist()  # feeds both fare tables; dropped after the writes
+        t = FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
+                       fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),
+                       layovers=layover_info(spark, base))
+        try:
+            write_tables(t, root)
+        finally:
+            raw.unpersist()
         _STORED[key] = root
     return read_tables(spark, root)
