@@ -136,39 +136,35 @@ def derive(spark: SparkSession, base: str) -> FareTables:
 
 
 # Stored layout of the fare tables: the facts are partitioned by fetched_date (date filters prune
-# partitions), dimensions are plain parquet. Schemas are declared, so reads start no inference job.
-STORED_SCHEMAS = {
-    "airport_info": "airport_code string, name string, country string, time_zone string",
-    "flight_info": ("air_id string, is_layover boolean, depart_airport string, arrival_airport string, "
-                    "airline string, depart_timestamp timestamp_ntz, arrival_timestamp timestamp_ntz, "
-                    "journey_time int"),
-    "fare_info": ("air_id string, seat_class string, agt_code string, adult_fare int, fare_class string, "
-                  "fetched_date date"),
-    "temp_fare_info": ("batch_id bigint, air_id string, seat_class string, agt_code string, adult_fare int, "
-                       "fare_class string, fetched_date date"),
-    "layover_info": "air_id string, segment_id string, layover_order int, connect_time int",
-}
+# partitions); facts, flights and layovers are bucketed by air_id with one bucket count, so the
+# fare-flight joins and the per-flight aggregates read co-partitioned data without a shuffle.
 PARTITIONED = {"fare_info": "fetched_date", "temp_fare_info": "fetched_date"}
+BUCKETED = ("flight_info", "fare_info", "temp_fare_info", "layover_info")
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], dict[str, str]] = {}
 
 
-def write_tables(t: FareTables, root: str) -> None:
-    """Write the fare tables under ``root`` in the stored layout."""
+def write_tables(t: FareTables, root: str, buckets: int, prefix: str) -> dict[str, str]:
+    """Write the fare tables as catalog tables stored under ``root``; returns name -> table name."""
     frames = {"airport_info": t.airports, "flight_info": t.flights, "fare_info": t.fares,
               "temp_fare_info": t.landing, "layover_info": t.layovers}
+    names = {}
     for name, df in frames.items():
-        part = PARTITIONED.get(name)
-        if part:
-            # rebalance: AQE sizes the write tasks (a heavy day is split, light days are packed)
-            df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{root}/{name}")
-        else:
-            df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
-
-
-def read_tables(spark: SparkSession, root: str) -> FareTables:
+        table = f"{prefix}_{name}"
+        w = (df.repartition(buckets, "air_id") if name in BUCKETED else df.hint("rebalance")).write
+        w = w.mode("overwrite").option("path", f"{root}/{name}")
+        if name in PARTITIONED:
+            w = w.partitionBy(PARTITIONED[name])
+        if name in BUCKETED:
+            w = w.bucketBy(buckets, "air_id").sortBy("air_id")
+        w.saveAsTable(table)
+        names[name] = table
+    return names
+
+
+def read_tables(spark: SparkSession, names: dict[str, str]) -> FareTables:
     def rd(name):
-        return spark.read.schema(STORED_SCHEMAS[name]).parquet(f"{root}/{name}")
+        return spark.table(names[name])
     return FareTables(airports=rd("airport_info"), flights=rd("flight_info"), fares=rd("fare_info"),
                       landing=rd("temp_fare_info"), layovers=rd("layover_info"))
 
@@ -176,22 +172,24 @@ def read_tables(spark: SparkSession, root: str) -> FareTables:
 def load(spark: SparkSession, base: str) -> FareTables:
     """The fare tables of ``base`` in their stored layout.
 
-    They are derived from the test tables and written once per application into the shared folder
-    (``spark.checkpoint.dir``), standing in for the tables a deployment already has; later calls read
-    the written tables.
+    They are derived from the test tables and written once per application as catalog tables stored in
+    the shared folder (``spark.checkpoint.dir``), standing in for the tables a deployment already has;
+    later calls read the written tables. The bucket count is the session's shuffle partition count.
     """
     from faresight.session import scratch_path
     key = (spark.sparkContext.applicationId, base)
-    root = _STORED.get(key)
-    if root is None:
+    names = _STORED.get(key)
+    if names is None:
         root = scratch_path(spark, "fare-tables")
+        prefix = "fs_" + root.rstrip("/").rsplit("-", 1)[-1]
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         raw = fare_raw(spark, base).persist()  # feeds both fare tables; dropped after the writes
         t = FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
                        fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),
                        layovers=layover_info(spark, base))
         try:
-            write_tables(t, root)
+            names = write_tables(t, root, buckets, prefix)
         finally:
             raw.unpersist()
-        _STORED[key] = root
-    return read_tables(spark, root)
+        _STORED[key] = names
+    return read_tables(spark, names)
