@@ -20,16 +20,28 @@ from faresight.functions.keys import null_safe_true
 from faresight.functions.time import in_day_window
 
 
-def latest_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, key: list[str], order: list[str],
+                   null_keys_distinct: bool = True) -> DataFrame:
     """One row per ``key``: the row that is greatest by ``order``, then by the remaining columns.
 
-    Written as ``max(struct(order..., rest...))`` per key: a hash aggregate with a partial (map-side)
+    Written as ``max(struct(order..., rest...))`` per key: an aggregate with a partial (map-side)
     step, so a hot key is reduced on every map task before the shuffle instead of being sorted whole
     in one task as a ``row_number`` window would. The trailing columns make ties deterministic.
+
+    With ``null_keys_distinct`` (SQL unique-key semantics) a row with a null key part conflicts with
+    nothing and is kept as is: such rows get their own group through an extra grouping value (their
+    non-key columns; a landing row's ``batch_id`` makes it unique), in the same single aggregation.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
-    return df.groupBy(*key).agg(packed).select(*key, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
+    group = [F.col(k) for k in key]
+    if null_keys_distinct:
+        complete = F.lit(True)
+        for k in key:
+            complete = complete & F.col(k).isNotNull()
+        group.append(F.when(complete, F.lit(None))
+                     .otherwise(F.struct(*[F.col(c) for c in order + rest])).alias("_disc"))
+    return df.groupBy(*group).agg(packed).select(*key, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
 
 
 def batch_bounds(landing: DataFrame, day: str | dt.date) -> DataFrame:
