@@ -174,7 +174,8 @@ def load(spark: SparkSession, base: str) -> FareTables:
 
     They are derived from the test tables and written once per application as catalog tables stored in
     the shared folder (``spark.checkpoint.dir``), standing in for the tables a deployment already has;
-    later calls read the written tables. The bucket count is the session's shuffle partition count.
+    later calls read the written tables. The bucket count follows the shuffle partition count
+    (capped at two per core).
     """
     from faresight.session import scratch_path
     key = (spark.sparkContext.applicationId, base)
@@ -182,7 +183,10 @@ def load(spark: SparkSession, base: str) -> FareTables:
     if names is None:
         root = scratch_path(spark, "fare-tables")
         prefix = "fs_" + root.rstrip("/").rsplit("-", 1)[-1]
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # One bucket per shuffle partition, at most two per core: enough parallelism per scan
+        # without a flood of tiny files when the session keeps a large default partition count.
+        buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                             2 * spark.sparkContext.defaultParallelism))
         raw = fare_raw(spark, base).persist()  # feeds both fare tables; dropped after the writes
         t = FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
                        fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),
