@@ -3,7 +3,8 @@
 - file source with an explicit schema; malformed lines go to a rejects table (never dropped silently)
 - ``maxFilesPerTrigger`` bounds each micro-batch (60 files), processing-time trigger (1 minute)
 - ``foreachBatch`` writes each epoch to its own ``epoch_id=N`` partition with overwrite, so a replayed
-  epoch (after a failure between write and commit) replaces its own output instead of duplicating it
+  epoch (after a failure between write and commit) replaces its own output instead of duplicating it;
+  inside it rows are partitioned by ``fetched_date`` so daily reads prune
 - landing rows carry ``epoch_id``, ``source_file`` and ``file_modification_time``: with the record's
   ``batch_id`` (when the files carry one) these order rows for latest-wins merging
 - checkpoint per run date; a restart resumes from the checkpoint and adds nothing already landed
@@ -51,15 +52,20 @@ def read_fare_stream(spark: SparkSession, path: str, schema: T.StructType = FARE
                      F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 
-def _landing_writer(landing_path: str, rejects_path: str | None, columns: list[str]):
+def _landing_writer(landing_path: str, rejects_path: str | None, columns: list[str],
+                    partition_col: str | None = "fetched_date"):
     def write(batch: DataFrame, epoch_id: int) -> None:
         b = batch.withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
         has_corrupt = CORRUPT in batch.columns
         if has_corrupt:
             b = b.persist()
         good = b.where(F.col(CORRUPT).isNull()) if has_corrupt else b
-        (good.select(*columns, "source_file", "file_modification_time")
-         .write.mode("overwrite").parquet(f"{landing_path}/epoch_id={epoch_id}"))
+        # epoch_id=N/fetched_date=D/…: a replayed epoch replaces its own folder, and readers of the
+        # landing root discover both columns, so a date filter still prunes to one day's files.
+        w = good.select(*columns, "source_file", "file_modification_time").write.mode("overwrite")
+        if partition_col and partition_col in columns:
+            w = w.partitionBy(partition_col)
+        w.parquet(f"{landing_path}/epoch_id={epoch_id}")
         if has_corrupt:
             if rejects_path:
                 (b.where(F.col(CORRUPT).isNotNull())
@@ -71,10 +77,11 @@ def _landing_writer(landing_path: str, rejects_path: str | None, columns: list[s
 
 def start_ingest(stream: DataFrame, landing_path: str, checkpoint: str, rejects_path: str | None = None,
                  columns: list[str] | None = None, trigger: str | None = TRIGGER_INTERVAL,
-                 available_now: bool = False, name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, name: str | None = None,
+                 partition_col: str | None = "fetched_date") -> StreamingQuery:
     """Start the landing query; ``available_now`` drains what is there and stops (tests, backfills)."""
     cols = columns or [f.name for f in FARE_RECORD.fields]
-    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, cols))
+    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, cols, partition_col))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -97,6 +104,12 @@ def run_until_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: flo
             break
 
 
-def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
-    """The landed rows (``epoch_id`` comes back as a partition column)."""
-    return spark.read.parquet(landing_path)
+def read_landing(spark: SparkSession, landing_path: str, schema: T.StructType = FARE_RECORD) -> DataFrame:
+    """The landed rows; ``epoch_id`` and ``fetched_date`` come back as partition columns.
+
+    Partition values are typed from ``schema`` (``fetched_date`` a date, ``epoch_id`` a bigint) rather
+    than inferred."""
+    fields = list(schema.fields) + [T.StructField("source_file", T.StringType()),
+                                    T.StructField("file_modification_time", T.TimestampType()),
+                                    T.StructField("epoch_id", T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(landing_path)

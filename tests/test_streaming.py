@@ -26,6 +26,9 @@ def test_json_batches_of_two_files_then_restart_adds_nothing(spark, tables):
     assert len(sizes) == 3  # files per batch: 2, 2, 1
     landed = ingest.read_landing(spark, landing)
     assert landed.count() == tables.landing.count()
+    one_day = landed.where(F.col("fetched_date") == F.lit("2024-01-28").cast("date"))
+    assert "PartitionFilters: [isnotnull(fetched_date" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == tables.landing.where(F.col("fetched_date") == F.lit("2024-01-28").cast("date")).count()
     assert landed.select("epoch_id").distinct().count() == 3
     cols = [c for c in tables.landing.columns]
     assert landed.select(*cols).exceptAll(tables.landing.select(*cols)).count() == 0
@@ -60,7 +63,7 @@ def test_parquet_source_from_test_table(spark):
     cols = [f.name for f in schema.fields]
     q = ingest.start_ingest(stream, f"{root}/landing", f"{root}/ckpt", columns=cols, available_now=True)
     q.awaitTermination()
-    assert ingest.read_landing(spark, f"{root}/landing").count() == 1000
+    assert ingest.read_landing(spark, f"{root}/landing", schema=schema).count() == 1000
 
 
 def test_replayed_epoch_overwrites_its_own_partition(spark, tables):

@@ -56,3 +56,26 @@ def test_business_date_column(spark):
 def test_weekday_kr(spark):
     got = [_one(spark, T.weekday_kr("x"), f"2024-01-{d:02d}", "date") for d in range(8, 15)]
     assert got == ["월", "화", "수", "목", "금", "토", "일"]
+
+
+def test_multi_day_window_matches_sql(spark, duck, tables):
+    from faresight.operators import archive
+    from faresight.plans.catalog import fixture_routes
+    from faresight.plans.oracle import with_views
+    fw = archive.flights_in_window(tables.flights, fixture_routes(spark, "/root/testdata/sf0.001"),
+                                   day="2024-01-27", days=2)
+    got = sorted((r.air_id, str(r.window_date)) for r in fw.select("air_id", "window_date").collect())
+    want = duck.execute(with_views("""
+        SELECT fi.air_id, CAST(CAST(timezone('Asia/Seoul', timezone('UTC', fi.depart_timestamp)) AS DATE) AS VARCHAR)
+        FROM flight_info fi JOIN routes r USING (depart_airport, arrival_airport)
+        WHERE fi.depart_timestamp >= TIMESTAMP '2024-01-26 15:00:00'
+          AND fi.depart_timestamp < TIMESTAMP '2024-01-28 15:00:00'""")).fetchall()
+    assert got == sorted(want)
+    assert {d for _, d in got} == {"2024-01-27", "2024-01-28"}
+
+
+def test_jdbc_reader_requires_complete_partitioning(spark):
+    import pytest
+    from faresight.sources.tables import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:postgresql://unused/db", "fare_info", partition_column="batch_id")
