@@ -224,9 +224,22 @@ def offers_with_history(expired: DataFrame, max_frames: int | None = None,
 
 def price_history(expired: DataFrame, max_frames: int | None = None,
                   frames: DataFrame | None = None) -> DataFrame:
-    """Flat gap-filled history: one row per offer and day."""
-    return (offers_with_history(expired, max_frames, frames)
-            .select("air_id", *ROUTE_DAY, "option_id", F.inline("price_history")))
+    """Flat gap-filled history: one row per offer and day.
+
+    The days are exploded first and each field is a plain column expression (code-generated), instead
+    of building the per-offer array with a lambda (higher-order functions run interpreted).
+    """
+    o = archive_offers(expired, max_frames, frames)
+    days = F.when(F.col("first_date") < F.col("end_date"),
+                  F.sequence(F.col("first_date"), F.date_sub(F.col("end_date"), 1)))
+    d = F.col("_day")
+    return (o.select("air_id", *ROUTE_DAY, "option_id", "dep_date", "_prices", F.explode(days).alias("_day"))
+            .select("air_id", *ROUTE_DAY, "option_id",
+                    iso_date_text(d).alias("collected_date"),
+                    weekday_kr(d).alias("collected_day"),
+                    F.datediff(F.col("dep_date"), d).alias("days_to_departure"),
+                    F.try_element_at(F.col("_prices"), d).cast("int").alias("price"),
+                    F.map_contains_key(F.col("_prices"), d).alias("is_available")))
 
 
 def _price_entry() -> Column:
