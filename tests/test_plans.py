@@ -52,3 +52,23 @@ def test_archive_job(spark, tables):
     assert res.removed - res.removed_unarchived == res.archived
     assert res.archived == with_fare.where(F.col("depart_timestamp").between("2024-01-27 15:00:00",
                                                                                "2024-01-28 14:59:59")).count()
+
+
+def test_first_run_creates_aggregate_table(spark, tables):
+    t = _copy_tables(spark, tables)
+    fresh_path = scratch_path(spark, "agg-new")
+    t0 = merge_job.Tables(t.airports, t.flights, t.fares, t.landing, fresh_path)
+    dates = merge_job.aggregate_and_upsert(spark, t0, D, agg_exists=False)
+    assert dates == [D]
+    assert spark.read.parquet(fresh_path).count() == 147  # the run date's groups (fare_daily_agg)
+
+
+def test_rerun_of_migration_changes_nothing(spark, tables):
+    t = _copy_tables(spark, tables)
+    merge_job.migrate(spark, t, D)
+    first = spark.read.parquet(t.fares).select("air_id", "seat_class", "agt_code", "fetched_date",
+                                                 "fare_class", "adult_fare").collect()
+    merge_job.migrate(spark, t, D)
+    second = spark.read.parquet(t.fares).select("air_id", "seat_class", "agt_code", "fetched_date",
+                                                  "fare_class", "adult_fare").collect()
+    assert sorted(map(tuple, first), key=repr) == sorted(map(tuple, second), key=repr)
