@@ -158,9 +158,8 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
 
     All rows are grouped (offers with a null part included). The route-day maximum comes from
     ``frames`` (see :func:`frame_max`, the cheap form) or else from these groups' own maxima.
-    ``complete_only`` drops offers with a null part
-    afterwards (pandas-style group-by leaves them out of the price listing, but their dates still
-    count in the route-day maximum and their flight is still documented).
+    ``complete_only`` drops offers with a null part afterwards: they are left out of the price
+    listing, but their dates still count in the route-day maximum and their flight is documented.
     """
     aggs = [F.min("fetched_date").alias("first_date"),
             F.max("fetched_date").alias("_last_fetched"),
