@@ -1,0 +1 @@
+"""Jobs and the registered query catalogue (with its SQL oracle)."""
