@@ -156,7 +156,7 @@ def write_tables(t: FareTables, root: str, buckets: int, prefix: str) -> dict[st
         if name in PARTITIONED:
             w = w.partitionBy(PARTITIONED[name])
         if name in BUCKETED:
-            w = w.bucketBy(buckets, "air_id").sortBy("air_id")
+            w = w.bucketBy(buckets, "air_id")
         w.saveAsTable(table)
         names[name] = table
     return names
