@@ -2,8 +2,8 @@
 
 Tables are parquet folders; the fact tables are partitioned by ``fetched_date``. Upserts rewrite only
 the partitions they touch (dynamic partition overwrite, staged first because a job cannot overwrite
-the files it is reading); deletes write a new snapshot folder (an emptied partition cannot be removed
-by a partition overwrite), and the job returns the folders of the new table versions.
+the files it is reading). The retention and purge deletes remove whole ``fetched_date`` partitions, so
+they overwrite just those partition folders with zero rows instead of rewriting the table.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.constants import AGG_COLUMNS, AGG_KEY, FARE_COLUMNS, FARE_KEY
+from faresight.constants import AGG_COLUMNS, AGG_KEY, FARE_COLUMNS, FARE_KEY, RETENTION_DAYS
 from faresight.operators import aggregate, merge
 from faresight.session import scratch_path
-from faresight.sources.sinks import overwrite_partitions, write_snapshot
+from faresight.sources.sinks import empty_partitions, overwrite_partitions, partition_values
 
 PART = "fetched_date"
 
@@ -72,11 +72,14 @@ def aggregate_and_upsert(spark: SparkSession, t: Tables, day, agg_exists: bool =
 
 
 def retention(spark: SparkSession, t: Tables, day) -> tuple[str, int]:
-    """New aggregate snapshot without rows fetched on or before ``day - 2``; returns (folder, removed)."""
-    obs = Observation("agg_retention")
-    kept = merge.retain_recent(_read(spark, t.agg), day, observation=obs)
-    path = write_snapshot(kept, scratch_path(spark, "agg"), PART)
-    return path, int(obs.get.get("removed", 0))
+    """Drop the aggregate partitions fetched on or before ``day - 2``; returns (folder, removed rows).
+
+    The delete predicate is on the partition column, so whole partitions go (rows with a null date
+    live in the default partition and stay, as SQL keeps rows whose predicate is null).
+    """
+    cutoff = dt.date.fromisoformat(str(day)) - dt.timedelta(days=RETENTION_DAYS)
+    old = [v for v in partition_values(spark, t.agg, PART) if v is not None and v <= cutoff]
+    return t.agg, empty_partitions(spark, t.agg, PART, old)
 
 
 def migrate(spark: SparkSession, t: Tables, day) -> list:
@@ -93,11 +96,10 @@ def migrate(spark: SparkSession, t: Tables, day) -> list:
 
 
 def purge(spark: SparkSession, t: Tables, day) -> tuple[str, int]:
-    """New landing snapshot without the rows fetched on ``day``; returns (folder, removed)."""
-    obs = Observation("landing_purge")
-    kept = merge.purge_landing(_read(spark, t.landing), day, observation=obs)
-    path = write_snapshot(kept, scratch_path(spark, "landing"), PART)
-    return path, int(obs.get.get("removed", 0))
+    """Drop the landing partition of ``day``; returns (folder, removed rows)."""
+    d = dt.date.fromisoformat(str(day))
+    hit = [v for v in partition_values(spark, t.landing, PART) if v == d]
+    return t.landing, empty_partitions(spark, t.landing, PART, hit)
 
 
 def run_daily_merge(spark: SparkSession, t: Tables, day: str | dt.date, agg_exists: bool = True) -> MergeResult:
