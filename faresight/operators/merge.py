@@ -29,8 +29,10 @@ def latest_per_key(df: DataFrame, key: list[str], order: list[str],
     in one task as a ``row_number`` window would. The trailing columns make ties deterministic.
 
     With ``null_keys_distinct`` (SQL unique-key semantics) a row with a null key part conflicts with
-    nothing and is kept as is: such rows get their own group through an extra grouping value (their
-    non-key columns; a landing row's ``batch_id`` makes it unique), in the same single aggregation.
+    nothing and is kept as is, even next to an identical row: such rows get their own group through an
+    extra grouping value, a row id, in the same single aggregation. The id only has to be unique within
+    one evaluation (each such row is its own group whatever its id), so recomputation cannot change the
+    result.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
@@ -39,8 +41,8 @@ def latest_per_key(df: DataFrame, key: list[str], order: list[str],
         complete = F.lit(True)
         for k in key:
             complete = complete & F.col(k).isNotNull()
-        group.append(F.when(complete, F.lit(None))
-                     .otherwise(F.struct(*[F.col(c) for c in order + rest])).alias("_disc"))
+        group.append(F.when(complete, F.lit(None).cast("bigint"))
+                     .otherwise(F.monotonically_increasing_id()).alias("_disc"))
     return df.groupBy(*group).agg(packed).select(*key, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
 
 
