@@ -22,7 +22,7 @@ from faresight.constants import BUSINESS_ZONE, OFFER_KEY
 from faresight.functions.keys import bool_text, option_id, route_key
 from faresight.functions.time import (in_day_window, iso_date_text, local_date, local_time, ts_text,
                                       weekday_kr)
-from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_rows
+from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 ROUTE_DAY = ["route_key", "window_date"]
 
@@ -37,7 +37,9 @@ def flights_in_window(flights: DataFrame, routes: DataFrame, day=None, days: int
     fl = flights
     if day is not None:
         fl = fl.where(in_day_window("depart_timestamp", day, zone, days))
-    r = bounded_broadcast(routes.select("depart_airport", "arrival_airport").distinct())
+    r = routes.select("depart_airport", "arrival_airport").distinct()
+    if bounded_rows(routes, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
+        r = F.broadcast(r)  # the route table bounds its distinct pairs
     return (fl.join(r, ["depart_airport", "arrival_airport"])
             .withColumn("route_key", route_key())
             .withColumn("window_date", local_date("depart_timestamp", zone)))

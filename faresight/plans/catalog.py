@@ -43,8 +43,19 @@ def region_map_path(spark: SparkSession, base: str, airports: DataFrame | None =
     return _REGION_MAPS[key]
 
 
+_ROUTES: dict[tuple[str, str], DataFrame] = {}
+
+
 def fixture_routes(spark: SparkSession, base: str, airports: DataFrame | None = None) -> DataFrame:
-    """Routes of the test tables, read through the region-map document (S2)."""
+    """Routes of the test tables, read through the region-map document (S2); one lazy definition per
+    application and folder."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _ROUTES:
+        _ROUTES[key] = _build_routes(spark, base, airports)
+    return _ROUTES[key]
+
+
+def _build_routes(spark: SparkSession, base: str, airports: DataFrame | None) -> DataFrame:
     path = region_map_path(spark, base, airports)
     return build_routes(region_map.read_region_map(spark, path), fixtures.FIXTURE_DEPARTURES,
                         arrivals=fixtures.FIXTURE_ARRIVALS)

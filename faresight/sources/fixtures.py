@@ -142,6 +142,7 @@ PARTITIONED = {"fare_info": "fetched_date", "temp_fare_info": "fetched_date"}
 BUCKETED = ("flight_info", "fare_info", "temp_fare_info", "layover_info")
 
 _STORED: dict[tuple[str, str], dict[str, str]] = {}
+_LOADED: dict[tuple[str, str], "FareTables"] = {}
 
 
 def write_tables(t: FareTables, root: str, buckets: int, prefix: str) -> dict[str, str]:
@@ -196,4 +197,8 @@ def load(spark: SparkSession, base: str) -> FareTables:
         finally:
             raw.unpersist()
         _STORED[key] = names
-    return read_tables(spark, names)
+    if key not in _LOADED:
+        # The same lazy DataFrame definitions are handed out on every call, so size checks made on
+        # them (see operators.broadcast) are remembered for the session.
+        _LOADED[key] = read_tables(spark, names)
+    return _LOADED[key]
