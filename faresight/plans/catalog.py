@@ -244,6 +244,9 @@ def q_archive_sink(spark, base):
         "air_id", "route_key", "window_date",
         F.col("flight.is_layover").alias("is_layover"),
         F.col("flight.journey_time").alias("journey_time"),
+        F.col("flight.`depart_time(utc)`").alias("depart_time_utc"),
+        F.col("flight.`arrival_time(arr)`").alias("arrival_time_arr"),
+        F.array_join(F.array_sort(F.map_keys("prices")), ",").alias("options"),
         F.size(F.map_keys("prices")).cast("bigint").alias("n_options"),
         F.size(days).cast("bigint").alias("n_days"),
         F.size(F.filter(days, lambda h: h["is_available"])).cast("bigint").alias("n_available"),

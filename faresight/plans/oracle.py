@@ -278,6 +278,7 @@ ORACLE: dict[str, str] = {
     FROM legs GROUP BY air_id""", [_EXPIRED, _LEGS]),
     "archive_sink": with_views("""
     SELECT f.air_id, f.route_key, f.window_date, f.is_layover, f.journey_time,
+           f.depart_time_utc, f.arrival_time_arr, coalesce(p.options, '') AS options,
            CAST(coalesce(p.n_options, 0) AS BIGINT) AS n_options,
            CAST(coalesce(p.n_days, 0) AS BIGINT) AS n_days,
            CAST(coalesce(p.n_available, 0) AS BIGINT) AS n_available,
@@ -285,9 +286,12 @@ ORACLE: dict[str, str] = {
            CAST(coalesce(l.n_legs, 0) AS BIGINT) AS n_legs
     FROM (SELECT air_id, route_key, window_date,
                  CASE WHEN bool_and(is_layover) THEN 'True' ELSE 'False' END AS is_layover,
-                 min(journey_time) AS journey_time
+                 min(journey_time) AS journey_time,
+                 strftime(min("depart_time(utc)"), '%Y-%m-%d %H:%M:%S') AS depart_time_utc,
+                 strftime(min("arrival_time(arr)"), '%Y-%m-%d %H:%M:%S') AS arrival_time_arr
           FROM expired GROUP BY air_id, route_key, window_date) f
     LEFT JOIN (SELECT o.air_id, count(DISTINCT o.option_id) AS n_options, count(h.air_id) AS n_days,
+                      string_agg(DISTINCT o.option_id, ',' ORDER BY o.option_id) AS options,
                       count(h.price) AS n_available, sum(h.price) AS price_sum
                FROM offers o LEFT JOIN history h ON o.air_id = h.air_id AND o.option_id = h.option_id
                GROUP BY o.air_id) p ON p.air_id = f.air_id
