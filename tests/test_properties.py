@@ -1,9 +1,10 @@
-"""Property tests: the set-based upsert equals applying changes one by one to a dict (SQL semantics)."""
+"""Property tests: upserts against a sequential SQL model; exact results for a hot group."""
 
 import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from faresight.operators import merge
 
@@ -63,3 +64,38 @@ def test_retention_boundary(spark):
     df = spark.createDataFrame([(d - dt.timedelta(days=i),) for i in range(4)] + [(None,)], "fetched_date date")
     kept = sorted((r.fetched_date for r in merge.retain_recent(df, d).collect()), key=repr)
     assert kept == sorted([d, d - dt.timedelta(days=1), None], key=repr)  # D-2 and older removed
+
+
+def test_hot_group_exact_results(spark):
+    """One key holds a third of the rows (spread over every input partition): exact median, mean,
+    count and latest-wins are unaffected by the partial (map-side) aggregation."""
+    import statistics
+
+    from faresight.operators import aggregate
+    n = 30000
+    hot = spark.range(0, n, numPartitions=8).select(
+        F.lit("HOT").alias("air_id"), (F.col("id") % 997).cast("int").alias("adult_fare"),
+        F.col("id").alias("batch_id"))
+    cold = spark.range(0, 2 * n, numPartitions=8).select(
+        F.concat(F.lit("C"), (F.col("id") % 500).cast("string")).alias("air_id"),
+        (F.col("id") % 13).cast("int").alias("adult_fare"), (F.col("id") + n).alias("batch_id"))
+    landing = hot.unionByName(cold).select(
+        "batch_id", "air_id", F.lit("Y").alias("seat_class"), F.lit("AGT0").alias("agt_code"), "adult_fare",
+        F.lit(dt.date(2024, 1, 28)).alias("fetched_date"), F.lit("F").alias("fare_class"))
+    ids = [r.air_id for r in landing.select("air_id").distinct().collect()]
+    flights = spark.createDataFrame(
+        [(a, False, "A00", "A03", "AL1", dt.datetime(2024, 1, 30, 1), dt.datetime(2024, 1, 30, 3), 60)
+         for a in ids],
+        "air_id string, is_layover boolean, depart_airport string, arrival_airport string, airline string, "
+        "depart_timestamp timestamp_ntz, arrival_timestamp timestamp_ntz, journey_time int")
+    airports = spark.createDataFrame([("A00", "n0", "c0", "Asia/Seoul"), ("A03", "n3", "c3", "Asia/Tokyo")],
+                                     "airport_code string, name string, country string, time_zone string")
+    # every flight shares one group key here, so the aggregate has a single group of 3n rows
+    r = aggregate.fare_daily_agg(landing, flights, airports, "2024-01-28").collect()
+    fares = [i % 997 for i in range(n)] + [i % 13 for i in range(2 * n)]
+    assert len(r) == 1 and r[0].ticket_count == 3 * n
+    assert r[0].median_price == float(statistics.median(fares))
+    assert abs(r[0].mean_price - sum(fares) / len(fares)) < 1e-9
+    latest = {x.air_id: x.adult_fare for x in merge.fare_latest(landing).collect()}
+    assert latest["HOT"] == (n - 1) % 997
+    assert len(latest) == 501
