@@ -163,16 +163,24 @@ def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: boo
     ``complete_only`` drops offers with a null part afterwards: they are left out of the price
     listing, but their dates still count in the route-day maximum and their flight is documented.
     """
+    carry = carry or {}
+    # Cluster by flight once: the day, offer and flight-level aggregates and the join with the legs
+    # all run on this partitioning. After a sort-merge join on air_id the planner drops this
+    # repartition as redundant; after a broadcast join it is the only shuffle of the fare rows.
+    # One row per offer and day first (the fare key makes it unique already; should a duplicate
+    # appear, the highest fare is kept instead of failing the map build).
+    per_day = (expired.repartition("air_id")
+               .groupBy("air_id", *ROUTE_DAY, *OFFER_KEY, "fetched_date")
+               .agg(F.max("fare").alias("fare"), F.min("depart_date").alias("depart_date"),
+                    *[F.min(c).alias(n) for n, c in carry.items()]))
+    priced = _complete() & F.col("fetched_date").isNotNull()
     aggs = [F.min("fetched_date").alias("first_date"),
             F.max("fetched_date").alias("_last_fetched"),
             F.min("depart_date").alias("dep_date"),
-            F.map_from_entries(F.collect_list(F.when(_complete(), F.struct("fetched_date", "fare"))))
+            F.map_from_entries(F.collect_list(F.when(priced, F.struct("fetched_date", "fare"))))
              .alias("_prices")]
-    aggs += [F.min(c).alias(n) for n, c in (carry or {}).items()]
-    # Cluster by flight once: the offer aggregate, the flight-level aggregate and the join with the
-    # legs all run on this partitioning. After a sort-merge join on air_id the planner drops this
-    # repartition as redundant; after a broadcast join it is the only shuffle of the fare rows.
-    offers = expired.repartition("air_id").groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
+    aggs += [F.min(n).alias(n) for n in carry]
+    offers = per_day.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
     frame = (frames if frames is not None
              else offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched")))
     if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:

@@ -66,3 +66,10 @@ def test_history_days_are_consecutive_and_available_match(tables, spark):
     s = ph.agg(F.count("*").alias("rows"), F.sum(F.col("is_available").cast("int")).alias("avail"),
                F.sum("price").alias("price_sum")).first()
     assert (s.rows, s.avail, s.price_sum) == (14224, 2291, 119391870)  # FIXTURES.md section 4
+
+
+def test_duplicate_fare_key_keeps_highest_fare(spark):
+    """A duplicated fare key (outside the table's invariant) picks the highest fare instead of failing."""
+    rows = [("X", "AL1", "2024-01-05", 100, "2024-01-07"), ("X", "AL1", "2024-01-05", 130, "2024-01-07"),
+            ("X", "AL1", "2024-01-06", 90, "2024-01-07")]
+    assert _history(spark, rows) == [("2024-01-05", "금", 2, 130, True), ("2024-01-06", "토", 1, 90, True)]
