@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from faresight.llm import chat, packing
+from faresight.llm import bpe, chat, packing, search, secrets
 
 QUERIES = {
+    "op1_search": search.op1_search,
     "op2_packing": packing.op2_packing,
+    "op7_secrets": secrets.op7_secrets,
+    "op8_bpe": bpe.op8_bpe,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
-ORACLE = {"op10_chat_formatting": chat.ORACLE_SQL}
+ORACLE = {"op1_search": search.ORACLE_SQL, "op10_chat_formatting": chat.ORACLE_SQL}
