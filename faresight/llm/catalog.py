@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from faresight.llm import bpe, chat, language, packing, quality, search, secrets
+from faresight.llm import bpe, chat, language, neardup, packing, quality, search, secrets
 
 QUERIES = {
     "op1_search": search.op1_search,
     "op2_packing": packing.op2_packing,
     "op3_language": language.op3_language,
     "op4_quality": quality.op4_quality,
+    "op5_near_duplicates": neardup.op5_near_duplicates,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
     "op10_chat_formatting": chat.op10_chat_formatting,
