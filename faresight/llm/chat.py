@@ -58,10 +58,10 @@ def collapse_and_render(conversations: DataFrame) -> DataFrame:
         F.max("pos").alias("n_turns"),
         F.max(F.when(F.col("is_last"), F.col("h1"))).alias("h1"), F.max(F.when(F.col("is_last"), F.col("h2"))).alias("h2"),
         F.array_sort(F.collect_list(F.struct("pos", render_turn(F.col("role"), F.col("text")).alias("piece")))).alias("pieces"))
-    whole = whole.join(prefixes, ["n_turns", "h1", "h2"], "left_anti")
+    # Identical conversations are combined before the shuffle, so a very common one is a row of each task.
     best = F.min(F.struct(F.col("conv_id"), F.concat_ws("", F.col("pieces.piece")).alias("rendered")))
-    return whole.groupBy("n_turns", "h1", "h2").agg(best.alias("best"), F.count(F.lit(1)).alias("n_copies")) \
-                .select("best.conv_id", "n_turns", "n_copies", "best.rendered")
+    distinct = whole.groupBy("n_turns", "h1", "h2").agg(best.alias("best"), F.count(F.lit(1)).alias("n_copies"))
+    return distinct.join(prefixes, ["n_turns", "h1", "h2"], "left_anti").select("best.conv_id", "n_turns", "n_copies", "best.rendered")
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
