@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faresight.llm import bpe, chat, language, neardup, packing, quality, search, secrets
+from faresight.llm import bpe, chat, language, neardup, packing, quality, search, secrets, substring
 
 QUERIES = {
     "op1_search": search.op1_search,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language": language.op3_language,
     "op4_quality": quality.op4_quality,
     "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_substring": substring.op6_substring,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
     "op10_chat_formatting": chat.op10_chat_formatting,
