@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faresight.llm import bpe, chat, language, neardup, packing, quality, search, secrets, substring
+from faresight.llm import bpe, chat, language, lm, neardup, packing, quality, search, secrets, substring
 
 QUERIES = {
     "op1_search": search.op1_search,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring": substring.op6_substring,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
+    "op9_lm": lm.op9_lm,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
