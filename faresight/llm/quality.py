@@ -227,7 +227,7 @@ def quality(documents: DataFrame) -> DataFrame:
     levelled = good.select("row", *xs, F.explode(F.array(*keys)).alias("g")).join(used, "g", "left_semi")
     found = estimates(levelled)
     judged = rows.withColumn("pair", _key(0, "lang", "source")).join(groups, "pair", "left").join(found, "g", "left")
-    distance = F.sqrt(F.greatest(_distance(), F.lit(0.0)))
+    distance = F.when(F.col("m0").isNotNull(), F.sqrt(F.greatest(_distance(), F.lit(0.0))))
     return judged.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
         (~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).alias("kept"))
