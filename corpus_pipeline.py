@@ -1,24 +1,56 @@
-"""Corpus pipeline: documents to packed training sequences, in stages that each read what the one before wrote."""
+"""Corpus pipeline: documents to packed training sequences, in stages that each read what the one before wrote.
+
+Every stage works on all rows it is given, and what it decides takes effect: texts without a language
+go, one document of each group of near duplicates stays, passages that repeat are cut out, secrets are
+masked, and what is left is packed. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faresight.llm import packing
+from faresight.llm import language, neardup, packing, secrets, substring
 from faresight.session import scratch_path
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language. The classifiers learn from all labelled rows of docs; texts without a letter go."""
+    return language.with_language(docs, language.train(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (shingles of five words, similarity 0.8) the document with the smallest doc_id.
+
+    Documents without a word are in no group and stay. Rows that share the kept doc_id are that document and stay;
+    rows without a doc_id stay where their whole group has none.
+    """
+    kept = neardup.near_duplicates(docs, words=5, percent=80).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of passages of 35 words or more that also stand elsewhere; other texts are unchanged."""
+    return substring.without_repeats(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret replaced by ``[SECRET]``; other texts are unchanged."""
+    return secrets.redact_documents(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack every document that is left into power-of-two sequences."""
+    """Every document in power-of-two sequences, with the token ids of each."""
     import public_tokenizers
     return packing.decompose(docs, public_tokenizers.path(packing.VOCABULARY)).drop("bucket")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", pack)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", identify_language), ("near_duplicates", drop_near_duplicates), ("substring", cut_repeats), ("secrets", mask_secrets), ("packing", pack)]
 
-#: No stage of the pipeline can be said in SQL as a whole; tests/llm compares it with a brute-force version.
+#: No stage can be said in SQL as a whole; tests/llm compares the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
