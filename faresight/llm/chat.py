@@ -20,14 +20,19 @@ def _turn_hash(position: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), position, F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text"))
 
 
+def _key() -> Column:
+    """conv_id as a text, empty for null, so that rows without one meet in a join."""
+    return F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
+
+
 def numbered_turns(conversations: DataFrame) -> DataFrame:
     """Turns numbered from 1 within their conversation, with the two 64-bit names of the prefix that ends there.
 
     Order: turn, then role, then text, nulls first. A turn that repeats the one before it in every one of
     these is a double log entry and is left out.
     """
-    rows = conversations.select("conv_id", "turn", "role", "text")
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = conversations.select(_key().alias("key"), "conv_id", "turn", "role", "text")
+    order = Window.partitionBy("key").orderBy("turn", "role", "text")
     same = F.lit(True)
     for c in ("turn", "role", "text"):
         same = same & F.lag(F.struct(c)).over(order)[c].eqNullSafe(F.col(c))
@@ -54,14 +59,12 @@ def collapse_and_render(conversations: DataFrame) -> DataFrame:
     """
     turns = numbered_turns(conversations)
     prefixes = turns.filter(~F.col("is_last")).select(F.col("pos").alias("n_turns"), "h1", "h2").distinct()
-    whole = turns.groupBy("conv_id").agg(
-        F.max("pos").alias("n_turns"),
-        F.max(F.when(F.col("is_last"), F.col("h1"))).alias("h1"), F.max(F.when(F.col("is_last"), F.col("h2"))).alias("h2"),
-        F.array_sort(F.collect_list(F.struct("pos", render_turn(F.col("role"), F.col("text")).alias("piece")))).alias("pieces"))
-    # Identical conversations are combined before the shuffle, so a very common one is a row of each task.
-    best = F.min(F.struct(F.col("conv_id"), F.concat_ws("", F.col("pieces.piece")).alias("rendered")))
-    distinct = whole.groupBy("n_turns", "h1", "h2").agg(best.alias("best"), F.count(F.lit(1)).alias("n_copies"))
-    return distinct.join(prefixes, ["n_turns", "h1", "h2"], "left_anti").select("best.conv_id", "n_turns", "n_copies", "best.rendered")
+    whole = turns.filter("is_last").groupBy(F.col("pos").alias("n_turns"), "h1", "h2").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_copies"))
+    maximal = whole.join(prefixes, ["n_turns", "h1", "h2"], "left_anti").withColumn("key", _key())
+    # Texts are dealt out by conversation once, for the numbering, and rendered where they lie.
+    pieces = turns.select("key", "pos", render_turn(F.col("role"), F.col("text")).alias("piece")).join(maximal.select("key"), "key", "left_semi")
+    rendered = pieces.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("pieces"))
+    return maximal.join(rendered, "key").select("conv_id", "n_turns", "n_copies", F.concat_ws("", F.col("pieces.piece")).alias("rendered"))
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
