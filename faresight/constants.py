@@ -23,7 +23,6 @@ REFERENCE_ARRIVAL_REGIONS = ("일본", "동남아", "중국", "유럽", "미주"
 RETENTION_DAYS = 2
 MAX_FILES_PER_TRIGGER = 60
 TRIGGER_INTERVAL = "1 minute"
-MIGRATION_CHUNK = 30000
 
 # Business keys.
 FARE_KEY = ("air_id", "seat_class", "agt_code", "fetched_date", "fare_class")

@@ -33,11 +33,6 @@ def local_date(ts_utc, zone=BUSINESS_ZONE) -> Column:
     return F.to_date(local_time(ts_utc, zone))
 
 
-def to_utc(ts_local, zone) -> Column:
-    """Wall-clock time in ``zone`` -> UTC instant."""
-    return F.convert_timezone(_zone(zone), F.lit("UTC"), _col(ts_local))
-
-
 def day_window_bounds(day: dt.date | str, zone: str = BUSINESS_ZONE, days: int = 1):
     """Half-open UTC instant range ``[start, end)`` of ``days`` local days starting at ``day``.
 

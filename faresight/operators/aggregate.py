@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from faresight.functions.keys import airline_or_placeholder, route_key
 from faresight.functions.time import local_time
-from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 
 def fare_daily_agg(landing: DataFrame, flights: DataFrame, airports: DataFrame, day=None) -> DataFrame:
@@ -17,7 +16,7 @@ def fare_daily_agg(landing: DataFrame, flights: DataFrame, airports: DataFrame,
     Plan: the date filter reaches the landing scan (partition pruning when partitioned by fetched_date);
     fares join flights on ``air_id`` (co-partitioned when both are bucketed by air_id, else a shuffle
     join where AQE splits skewed ids); the flight-side group attributes are computed per flight before
-    the join; the airport dimension is broadcast after a size check, the arrival airport is an
+    the join; the airport dimension is small, so the planner broadcasts it; the arrival airport is an
     existence check (semi join). ``median`` is Spark's exact percentile, whose partial aggregate keeps a
     value->count map per group, so a hot group is combined map-side and never materialised as a row list.
     """
@@ -25,8 +24,6 @@ def fare_daily_agg(landing: DataFrame, flights: DataFrame, airports: DataFrame,
     if day is not None:
         fa = fa.where(F.col("fetched_date") == F.lit(day).cast("date"))
     dims = airports.select("airport_code", "time_zone")
-    if bounded_rows(airports, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
-        dims = F.broadcast(dims)
     dep = dims.select(F.col("airport_code").alias("depart_airport"), F.col("time_zone").alias("dep_zone"))
     arr = dims.select(F.col("airport_code").alias("arrival_airport"))
     # Group attributes of a flight are computed once per flight (zone conversion included), on the

@@ -7,22 +7,22 @@ Scale notes:
 - fares join the routed flights on ``air_id``; everything after that groups by ``air_id`` or a key that
   starts with it, so no later step re-shuffles fare rows by route.
 - the route-day maximum of ``fetched_date`` (the only cross-flight value) is a partial aggregate: a busy
-  route is combined map-side, and the result (routes x days rows) joins back by size-checked broadcast.
-- daily rows are generated *after* grouping to offers, from ``sequence(first, end - 1)``, looking prices
-  up in the offer's own date->price map (at most one entry per day, since ``fetched_date`` is part of
-  the fare key); no second shuffle is needed for the gap-fill join.
+  route is combined map-side, and the result (routes x days rows) joins back. Small sides are left to
+  the planner, which broadcasts by measured bytes.
+- daily rows are generated *after* grouping to offers. An observed day lasts until the next one of its offer
+  (or the end of the history): it is the available day with its price, the days after it are the gap. So
+  the work is linear in the daily rows, each carries only keys, and no second shuffle joins prices to days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.constants import BUSINESS_ZONE, OFFER_KEY
 from faresight.functions.keys import bool_text, option_id, route_key
 from faresight.functions.time import (in_day_window, iso_date_text, local_date, local_time, ts_text,
                                       weekday_kr)
-from faresight.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 ROUTE_DAY = ["route_key", "window_date"]
 
@@ -37,18 +37,14 @@ def flights_in_window(flights: DataFrame, routes: DataFrame, day=None, days: int
     fl = flights
     if day is not None:
         fl = fl.where(in_day_window("depart_timestamp", day, zone, days))
-    r = routes.select("depart_airport", "arrival_airport").distinct()
-    if bounded_rows(routes, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
-        r = F.broadcast(r)  # the route table bounds its distinct pairs
-    return (fl.join(r, ["depart_airport", "arrival_airport"])
+    # A semi join: a route listed twice selects its flights once, and routes without flights add nothing.
+    return (fl.join(routes.select("depart_airport", "arrival_airport"), ["depart_airport", "arrival_airport"], "left_semi")
             .withColumn("route_key", route_key())
             .withColumn("window_date", local_date("depart_timestamp", zone)))
 
 
 def _airport_dims(airports: DataFrame):
     dims = airports.select("airport_code", "name", "country", "time_zone")
-    if bounded_rows(airports, DEFAULT_MAX_BROADCAST_ROWS) <= DEFAULT_MAX_BROADCAST_ROWS:
-        dims = F.broadcast(dims)
     dep = dims.select(*[F.col(c).alias(f"_dep_{c}") for c in dims.columns])
     arr = dims.select(*[F.col(c).alias(f"_arr_{c}") for c in dims.columns])
     return dep, arr
@@ -118,17 +114,12 @@ def archive_flights(flights_w: DataFrame, airports: DataFrame, fares: DataFrame)
         "journey_time")
 
 
-def route_day_max(expired: DataFrame) -> DataFrame:
-    """Last collection date of each route-day frame (null-airline rows included)."""
-    return expired.groupBy(*ROUTE_DAY).agg(F.max("fetched_date").alias("max_fetched"))
-
-
 def frame_max(flights_w: DataFrame, airports: DataFrame, fares: DataFrame) -> DataFrame:
     """Route-day maximum of ``fetched_date`` without the wide fare join.
 
     Fares are reduced to one ``max(fetched_date)`` per flight (two columns read, partial aggregation
     on the map side), joined to the windowed flights (with the same airport joins as the frame rows)
-    and maximised per route-day. Equal to :func:`route_day_max` of :func:`expired_fares`.
+    and maximised per route-day; rows with a null airline count.
     """
     dep, arr = _airport_dims(airports)
     fl = (flights_w.join(dep.select("_dep_airport_code"), F.col("depart_airport") == F.col("_dep_airport_code"))
@@ -138,15 +129,6 @@ def frame_max(flights_w: DataFrame, airports: DataFrame, fares: DataFrame) -> Da
     return fl.join(last, "air_id").groupBy(*ROUTE_DAY).agg(F.max("_last").alias("max_fetched"))
 
 
-def count_frames(flights_w: DataFrame) -> int:
-    """Exact upper bound on the number of route-day frames: distinct (route, day) of windowed flights.
-
-    An aggregate over the flight dimension only (not the fare fact), used to prove the route-day
-    table small enough to broadcast.
-    """
-    return flights_w.select(*ROUTE_DAY).distinct().count()
-
-
 def _complete(keys=OFFER_KEY) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -154,116 +136,80 @@ def _complete(keys=OFFER_KEY) -> Column:
     return cond
 
 
-def _offer_groups(expired: DataFrame, max_frames: int | None, complete_only: bool,
-                  carry: dict[str, Column] | None = None, frames: DataFrame | None = None) -> DataFrame:
-    """Group frame rows to offers and attach ``end_date`` (see :func:`archive_offers`).
+OFFER = ["air_id", *ROUTE_DAY, *OFFER_KEY]
 
-    All rows are grouped (offers with a null part included). The route-day maximum comes from
-    ``frames`` (see :func:`frame_max`, the cheap form) or else from these groups' own maxima.
-    ``complete_only`` drops offers with a null part afterwards: they are left out of the price
-    listing, but their dates still count in the route-day maximum and their flight is documented.
+
+def _observed_days(expired: DataFrame, frames: DataFrame) -> DataFrame:
+    """One row per offer and observed day: fare, ``_next`` (the offer's next observed day), the offer's
+    ``first_date``, ``dep_date`` and ``end_date = least(dep_date, route-day max + 1)``.
+
+    The fare key makes a day unique already; should a duplicate appear, the highest fare is taken. Null
+    days of an offer are kept (they make the offer exist) but are before any other. Everything
+    runs on one partitioning: the keys all begin with the flight.
     """
-    carry = carry or {}
-    # Cluster by flight once: the day, offer and flight-level aggregates and the join with the legs
-    # all run on this partitioning. After a sort-merge join on air_id the planner drops this
-    # repartition as redundant; after a broadcast join it is the only shuffle of the fare rows.
-    # One row per offer and day first (the fare key makes it unique already; should a duplicate
-    # appear, the highest fare is kept instead of failing the map build).
-    per_day = (expired.repartition("air_id")
-               .groupBy("air_id", *ROUTE_DAY, *OFFER_KEY, "fetched_date")
-               .agg(F.max("fare").alias("fare"), F.min("depart_date").alias("depart_date"),
-                    *[F.min(c).alias(n) for n, c in carry.items()]))
-    priced = _complete() & F.col("fetched_date").isNotNull()
-    aggs = [F.min("fetched_date").alias("first_date"),
-            F.max("fetched_date").alias("_last_fetched"),
-            F.min("depart_date").alias("dep_date"),
-            F.map_from_entries(F.collect_list(F.when(priced, F.struct("fetched_date", "fare"))))
-             .alias("_prices")]
-    aggs += [F.min(n).alias(n) for n in carry]
-    offers = per_day.groupBy("air_id", *ROUTE_DAY, *OFFER_KEY).agg(*aggs)
-    frame = (frames if frames is not None
-             else offers.groupBy(*ROUTE_DAY).agg(F.max("_last_fetched").alias("max_fetched")))
-    if max_frames is not None and max_frames <= DEFAULT_MAX_BROADCAST_ROWS:
-        frame = F.broadcast(frame)
-    # (unknown or large frame count: AQE broadcasts the frame table at run time if it is small)
-    out = (offers.join(frame, ROUTE_DAY)
-           .withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1)))
-           .withColumn("option_id", option_id(*OFFER_KEY))
-           .drop("max_fetched", "_last_fetched"))
-    return out.where(_complete()) if complete_only else out
-
-
-def archive_offers(expired: DataFrame, max_frames: int | None = None,
-                   frames: DataFrame | None = None) -> DataFrame:
+    per_day = expired.groupBy(*OFFER, "fetched_date").agg(F.max("fare").alias("fare"), F.min("depart_date").alias("depart_date"))
+    offer = Window.partitionBy(*OFFER)
+    per_day = per_day.withColumns({"_next": F.lead("fetched_date").over(offer.orderBy("fetched_date")),
+                                   "first_date": F.min("fetched_date").over(offer), "dep_date": F.min("depart_date").over(offer)})
+    return per_day.join(frames, ROUTE_DAY).withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1))) \
+                  .withColumn("option_id", option_id(*OFFER_KEY)).drop("max_fetched", "depart_date")
+
+
+def _days() -> Column:
+    """The days that an observed day stands for: from itself to the day before the next one or the history's end.
+
+    ``sequence`` alone would count downward for a reversed range, hence the guard.
+    """
+    last = F.date_sub(F.least(F.col("_next"), F.col("end_date")), 1)
+    return F.when(F.col("fetched_date") <= last, F.sequence(F.col("fetched_date"), last))
+
+
+def archive_offers(expired: DataFrame, frames: DataFrame) -> DataFrame:
     """One row per offer (flight x seat class x airline x agency x fare class), rows with a null part
     dropped. Columns: option_id, the four parts, ``first_date`` (first collection), ``dep_date``
     (departure-local day), ``end_date = least(dep_date, route-day max + 1)`` (exclusive end of the
-    history) and ``_prices`` (fetched_date -> fare of this offer).
-
-    ``max_frames`` (from :func:`count_frames`) lets the route-day table be broadcast; the grouping
-    runs on the partitioning of the fare join (its keys start with ``air_id``), so it adds no shuffle.
+    history). ``frames`` is :func:`frame_max`.
     """
-    return _offer_groups(expired, max_frames, complete_only=True, frames=frames)
+    offers = expired.where(_complete()).groupBy(*OFFER).agg(F.min("fetched_date").alias("first_date"), F.min("depart_date").alias("dep_date"))
+    return (offers.join(frames, ROUTE_DAY)
+            .withColumn("end_date", F.least(F.col("dep_date"), F.date_add(F.col("max_fetched"), 1)))
+            .withColumn("option_id", option_id(*OFFER_KEY)).drop("max_fetched"))
 
 
-def history_array(first="first_date", end="end_date", dep="dep_date", prices="_prices") -> Column:
-    """Daily entries from ``first`` to the day before ``end``; empty when ``first >= end``.
+def _day_fields(d: Column, observed: Column, fare: Column, dep: Column) -> list[Column]:
+    seen = d == observed
+    return [iso_date_text(d).alias("collected_date"), weekday_kr(d).alias("collected_day"), F.datediff(dep, d).alias("days_to_departure"),
+            F.when(seen, fare).cast("int").alias("price"), seen.alias("is_available")]
 
-    ``sequence`` alone would count downward for a reversed range, hence the guard.
-    """
-    days = F.sequence(F.col(first), F.date_sub(F.col(end), 1))
 
-    def entry(d):
-        return F.struct(iso_date_text(d).alias("collected_date"),
-                        weekday_kr(d).alias("collected_day"),
-                        F.datediff(F.col(dep), d).alias("days_to_departure"),
-                        F.try_element_at(F.col(prices), d).cast("int").alias("price"),
-                        F.map_contains_key(F.col(prices), d).alias("is_available"))
+def price_history(expired: DataFrame, frames: DataFrame) -> DataFrame:
+    """Flat gap-filled history: one row per offer and day. Offers with a null part are left out."""
+    days = _observed_days(expired.where(_complete()), frames)
+    return (days.select("air_id", *ROUTE_DAY, "option_id", "dep_date", "fetched_date", "fare", F.explode(_days()).alias("_day"))
+            .select("air_id", *ROUTE_DAY, "option_id", *_day_fields(F.col("_day"), F.col("fetched_date"), F.col("fare"), F.col("dep_date"))))
 
-    empty = F.array().cast("array<struct<collected_date:string,collected_day:string,"
-                           "days_to_departure:int,price:int,is_available:boolean>>")
-    return F.when(F.col(first) < F.col(end), F.transform(days, entry)).otherwise(empty)
 
+_HISTORY = "array<struct<collected_date:string,collected_day:string,days_to_departure:int,price:int,is_available:boolean>>"
 
-def offers_with_history(expired: DataFrame, max_frames: int | None = None,
-                        frames: DataFrame | None = None) -> DataFrame:
-    return (archive_offers(expired, max_frames, frames)
-            .withColumn("price_history", history_array()).drop("_prices"))
 
+def _offer_entries(expired: DataFrame, frames: DataFrame) -> DataFrame:
+    """One row per offer: its flight, and ``entry`` (key, {metadata, price_history}); null for offers with a null part."""
+    days = _observed_days(expired, frames)
+    part = F.transform(_days(), lambda d: F.struct(*_day_fields(d, F.col("fetched_date"), F.col("fare"), F.col("dep_date"))))
+    parts = F.array_sort(F.collect_list(F.when(_complete(), F.struct(F.col("fetched_date"), F.coalesce(part, F.array().cast(_HISTORY)).alias("part")))))
+    offers = days.groupBy(*OFFER, "option_id").agg(F.flatten(F.transform(parts, lambda x: x["part"])).alias("price_history"))
+    metadata = F.struct("seat_class", "airline", F.col("agt_code").alias("agency"), "fare_class").alias("metadata")
+    return offers.withColumn("entry", F.when(_complete(), F.struct(F.col("option_id").alias("key"), F.struct(metadata, "price_history").alias("value"))))
 
-def price_history(expired: DataFrame, max_frames: int | None = None,
-                  frames: DataFrame | None = None) -> DataFrame:
-    """Flat gap-filled history: one row per offer and day.
 
-    The days are exploded first and each field is a plain column expression (code-generated), instead
-    of building the per-offer array with a lambda (higher-order functions run interpreted).
-    """
-    o = archive_offers(expired, max_frames, frames)
-    days = F.when(F.col("first_date") < F.col("end_date"),
-                  F.sequence(F.col("first_date"), F.date_sub(F.col("end_date"), 1)))
-    d = F.col("_day")
-    return (o.select("air_id", *ROUTE_DAY, "option_id", "dep_date", "_prices", F.explode(days).alias("_day"))
-            .select("air_id", *ROUTE_DAY, "option_id",
-                    iso_date_text(d).alias("collected_date"),
-                    weekday_kr(d).alias("collected_day"),
-                    F.datediff(F.col("dep_date"), d).alias("days_to_departure"),
-                    F.try_element_at(F.col("_prices"), d).cast("int").alias("price"),
-                    F.map_contains_key(F.col("_prices"), d).alias("is_available")))
-
-
-def _price_entry() -> Column:
-    return F.struct(F.col("option_id").alias("key"), F.struct(
-        F.struct("seat_class", "airline", F.col("agt_code").alias("agency"), "fare_class").alias("metadata"),
-        history_array().alias("price_history")).alias("value"))
-
-
-def price_history_doc(expired: DataFrame, max_frames: int | None = None,
-                      frames: DataFrame | None = None) -> DataFrame:
+def _prices() -> Column:
+    return F.map_from_entries(F.array_sort(F.collect_list("entry"))).alias("prices")
+
+
+def price_history_doc(expired: DataFrame, frames: DataFrame) -> DataFrame:
     """Per flight with a complete offer: ``prices`` map option_id -> {metadata, price_history},
     options in key order. Flight-level grouping reuses the offers' ``air_id`` partitioning."""
-    o = archive_offers(expired, max_frames, frames)
-    return (o.groupBy("air_id", *ROUTE_DAY)
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(_price_entry()))).alias("prices")))
+    return _offer_entries(expired.where(_complete()), frames).groupBy("air_id", *ROUTE_DAY).agg(_prices())
 
 
 def layover_segments(layovers: DataFrame, archived: DataFrame, flights: DataFrame,
@@ -312,40 +258,18 @@ def layover_doc(segments: DataFrame) -> DataFrame:
     return segments.groupBy("air_id").agg(F.transform(ordered, lambda x: x["leg"]).alias("legs"))
 
 
-_FLIGHT_RAW = {
-    "_dep_utc": "depart_time(utc)", "_dep_local": "depart_time(dep)", "_arr_utc": "arrival_time(utc)",
-    "_arr_local": "arrival_time(arr)", "_dep_code": "airport_code(dep)", "_arr_code": "airport_code(arr)",
-    "_is_layover": "is_layover", "_journey": "journey_time",
-}
-
-
 def archive_documents(flights_w: DataFrame, airports: DataFrame, fares: DataFrame, layovers: DataFrame,
-                      flights: DataFrame, max_frames: int | None = None) -> DataFrame:
+                      flights: DataFrame) -> DataFrame:
     """One document row per archived flight: ``flight`` fields, ``prices`` (``{}`` when the flight has
     no complete offer) and ``layover_info`` (ordered legs; null for direct flights).
 
-    Plan: fares are shuffled once by ``air_id`` (join with the windowed flights); the offer and
-    flight aggregates both run on that partitioning, carrying the flight attributes along (they
-    depend on ``air_id`` only). Legs are computed for the windowed layover flights and left-joined.
+    Fares are shuffled once by flight at most; offers and flights group on that partitioning. The
+    flight fields come from the flight table, the legs of the windowed layover flights are left-joined.
     """
-    expired = expired_fares(flights_w, airports, fares)
-    carry = {n: F.col(f"`{c}`") for n, c in _FLIGHT_RAW.items()}
-    offers = _offer_groups(expired, max_frames, complete_only=False, carry=carry,
-                           frames=frame_max(flights_w, airports, fares))
-    entry = F.when(_complete(), _price_entry())
-    per_flight = (offers.groupBy("air_id", *ROUTE_DAY)
-                  .agg(*[F.min(n).alias(n) for n in _FLIGHT_RAW],
-                       F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("prices")))
+    frames = frame_max(flights_w, airports, fares)
+    prices = _offer_entries(expired_fares(flights_w, airports, fares), frames).groupBy("air_id", *ROUTE_DAY).agg(_prices())
     legs = layover_doc(layover_segments(layovers, flights_w, flights, airports))
-    doc = per_flight.join(legs, "air_id", "left")
-    flight = F.struct(
-        ts_text("_dep_utc").alias("depart_time(utc)"), ts_text("_dep_local").alias("depart_time(dep)"),
-        ts_text("_arr_utc").alias("arrival_time(utc)"), ts_text("_arr_local").alias("arrival_time(arr)"),
-        F.col("_dep_code").alias("depart_airport"), F.col("_arr_code").alias("arrival_airport"),
-        bool_text("_is_layover").alias("is_layover"), F.col("_journey").alias("journey_time"))
-    return doc.select("air_id", *ROUTE_DAY, flight.alias("flight"), "prices",
-                      F.col("legs").alias("layover_info"))
-
-
-FLIGHT_FIELDS = ("depart_time(utc)", "depart_time(dep)", "arrival_time(utc)", "arrival_time(arr)",
-                 "depart_airport", "arrival_airport", "is_layover", "journey_time")
+    fields = archive_flights(flights_w, airports, fares)
+    flight = F.struct(*[c for c in fields.columns if c not in ("air_id", *ROUTE_DAY)]).alias("flight")
+    return (fields.select("air_id", *ROUTE_DAY, flight).join(prices, ["air_id", *ROUTE_DAY]).join(legs, "air_id", "left")
+            .select("air_id", *ROUTE_DAY, "flight", "prices", F.col("legs").alias("layover_info")))

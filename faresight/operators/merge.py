@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -19,31 +20,43 @@ from faresight.constants import AGG_KEY, FARE_COLUMNS, FARE_KEY, RETENTION_DAYS
 from faresight.functions.keys import null_safe_true
 from faresight.functions.time import in_day_window
 
+LEAST = -(1 << 63)                            # stands for a null batch id: below any
+
+
+def _complete(key: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in key:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
 
 def latest_per_key(df: DataFrame, key: list[str], order: list[str],
                    null_keys_distinct: bool = True) -> DataFrame:
     """One row per ``key``: the row that is greatest by ``order``, then by the remaining columns.
 
-    Written as ``max(struct(order..., rest...))`` per key: an aggregate with a partial (map-side)
-    step, so a hot key is reduced on every map task before the shuffle instead of being sorted whole
-    in one task as a ``row_number`` window would. The trailing columns make ties deterministic.
+    An aggregate with a partial (map-side) step, so a hot key is reduced on every map task before the
+    shuffle instead of being sorted whole in one task as a ``row_number`` window would. Nulls are the least.
+    With two ordering columns and no others it is a maximum by key and first column, then the maximum by that
+    column: primitive buffers, hence hash aggregates. Otherwise it is ``max(struct(order..., rest...))``;
+    the trailing columns make ties deterministic.
 
     With ``null_keys_distinct`` (SQL unique-key semantics) a row with a null key part conflicts with
-    nothing and is kept as is, even next to an identical row: such rows get their own group through an
-    extra grouping value, a row id, in the same single aggregation. The id only has to be unique within
-    one evaluation (each such row is its own group whatever its id), so recomputation cannot change the
-    result.
+    nothing: such rows are kept as they are, beside the aggregate.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
-    group = [F.col(k) for k in key]
-    if null_keys_distinct:
-        complete = F.lit(True)
-        for k in key:
-            complete = complete & F.col(k).isNotNull()
-        group.append(F.when(complete, F.lit(None).cast("bigint"))
-                     .otherwise(F.monotonically_increasing_id()).alias("_disc"))
-    return df.groupBy(*group).agg(packed).select(*key, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
+    keyed = df.where(_complete(key)) if null_keys_distinct else df
+    if len(order) == 2 and not rest and dict(df.dtypes)[order[0]] == "bigint":
+        first, second = order
+        best = keyed.withColumn(first, F.coalesce(first, F.lit(LEAST))).groupBy(*key, first).agg(F.max(second).alias(second)) \
+            .groupBy(*key).agg(F.max(first).alias(first), F.max_by(second, first).alias(second)) \
+            .withColumn(first, F.when(F.col(first) != LEAST, F.col(first)))
+    else:
+        packed = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
+        best = keyed.groupBy(*key).agg(packed).select(*key, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
+    columns = [*key, *order, *rest]
+    if not null_keys_distinct:
+        return best.select(*columns)
+    return best.select(*columns).unionByName(df.where(~_complete(key)).select(*columns))
 
 
 def batch_bounds(landing: DataFrame, day: str | dt.date) -> DataFrame:
@@ -77,19 +90,30 @@ def upsert_partitions(current: DataFrame, changes: DataFrame, key: list[str], pa
     """The rows of the ``partition_col`` partitions listed in ``values`` after :func:`upsert`.
 
     ``partition_col`` must be part of ``key``, so rows outside the listed partitions cannot conflict and
-    are left untouched; writing this result with dynamic partition overwrite rewrites only those
+    are left untouched (a null is a partition like any other); writing this result with dynamic partition overwrite rewrites only those
     partitions (the filter on ``current`` prunes the scan to them).
     """
     if partition_col not in key:
         raise ValueError("partition column must be part of the key")
-    touched = F.col(partition_col).isin(values)
+    touched = F.coalesce(F.col(partition_col).isin([v for v in values if v is not None]), F.lit(None in values))
     return upsert(current.where(touched), changes.where(touched), key)
 
 
 def fare_latest(landing: DataFrame) -> DataFrame:
-    """Landing rows reduced to the last-written row per fare key (highest batch id, then fare)."""
-    return latest_per_key(landing.select("batch_id", *FARE_COLUMNS), list(FARE_KEY),
-                          ["batch_id", "adult_fare"]).select(*FARE_COLUMNS)
+    """Landing rows reduced to the last-written row per fare key: highest batch id, then last to arrive, then fare.
+
+    Rows that the stream landed carry the order of their arrival, which decides where the files have no batch id.
+    """
+    arrival = [c for c in ("run", "epoch_id", "file_modification_time", "source_file", "position") if c in landing.columns]
+    return latest_per_key(landing.select("batch_id", *arrival, *FARE_COLUMNS), list(FARE_KEY),
+                          ["batch_id", *arrival, "adult_fare"]).select(*FARE_COLUMNS)
+
+
+def landing_range(landing: DataFrame, day, min_batch_id=None, max_batch_id=None) -> DataFrame:
+    """The landing rows that a run date migrates: its batch-id range, and its own rows without a batch id."""
+    own = F.col("batch_id").isNull() & (F.col("fetched_date") == F.lit(day).cast("date"))
+    inside = F.col("batch_id").between(F.lit(min_batch_id).cast("bigint"), F.lit(max_batch_id).cast("bigint"))
+    return landing.where(F.coalesce(inside, F.lit(False)) | F.coalesce(own, F.lit(False)))
 
 
 def migrate_landing(fares: DataFrame, landing: DataFrame, min_batch_id=None, max_batch_id=None) -> DataFrame:
@@ -113,7 +137,7 @@ def migrate_day(fares: DataFrame, landing: DataFrame, day) -> DataFrame:
     The bounds are one global min/max aggregate (a single small row) read back as job parameters.
     """
     row = batch_bounds(landing, day).first()
-    return migrate_landing(fares, landing, row["min_batch_id"], row["max_batch_id"])
+    return migrate_landing(fares, landing_range(landing, day, row["min_batch_id"], row["max_batch_id"]))
 
 
 def keep_where_not(df: DataFrame, delete_pred: Column, observation: Observation | None = None) -> DataFrame:
@@ -128,6 +152,14 @@ def keep_where_not(df: DataFrame, delete_pred: Column, observation: Observation
     return df.where(~hit)
 
 
+def observed(observation: Observation, name: str) -> int:
+    """A count that an action has recorded; 0 where Spark found the plan to be empty and so recorded none."""
+    try:
+        return int(observation.get[name])
+    except Py4JJavaError:
+        return 0
+
+
 def delete_departed(flights: DataFrame, day, zone: str = "Asia/Seoul",
                     observation: Observation | None = None) -> DataFrame:
     """Flights left after deleting those departing within the local day ``day`` (all routes)."""

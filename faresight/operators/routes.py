@@ -12,15 +12,15 @@ def routes(region_airports: DataFrame, departures: Sequence[str], arrivals: Sequ
            arrival_regions: Sequence[str] = ()) -> DataFrame:
     """``(depart_airport, arrival_airport)`` pairs, forward and reverse, without duplicates.
 
-    Arrivals are the region-map airports named in ``arrivals`` plus every airport of
-    ``arrival_regions``. Departures are a parameter list, attached to each arrival row by exploding a
-    literal array (no join): the result has ``len(departures)`` rows per arrival, bounded by the
-    configuration, not by the data.
+    Arrivals are the airports named in ``arrivals``, in the region map or not, and every airport of
+    ``arrival_regions``. Departures are a parameter list, attached to each arrival row by exploding
+    literal arrays (no join): the result has ``2 * len(departures)`` rows per arrival, bounded by the
+    configuration, not by the data. The region map is read once.
     """
-    pick = F.col("iata").isin(list(arrivals)) | F.col("region").isin(list(arrival_regions))
-    arr = region_airports.where(pick).select(F.col("iata").alias("arrival_airport"))
-    fwd = arr.select(F.explode(F.array(*[F.lit(d) for d in departures])).alias("depart_airport"),
-                     "arrival_airport")
-    rev = fwd.select(F.col("arrival_airport").alias("depart_airport"),
-                     F.col("depart_airport").alias("arrival_airport"))
-    return fwd.unionByName(rev).distinct()
+    regional = region_airports.where(F.col("region").isin(list(arrival_regions))).select(F.col("iata").alias("arrival"))
+    named = region_airports.sparkSession.createDataFrame([(a,) for a in arrivals], "arrival string")
+    departure = F.explode(F.array(*[F.lit(d) for d in departures])).alias("departure")
+    pairs = regional.unionByName(named).distinct().select("arrival", departure)
+    both = F.array(F.struct(F.col("departure").alias("depart_airport"), F.col("arrival").alias("arrival_airport")),
+                   F.struct(F.col("arrival").alias("depart_airport"), F.col("departure").alias("arrival_airport")))
+    return pairs.select(F.inline(both)).distinct()

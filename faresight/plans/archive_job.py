@@ -15,10 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.constants import BUSINESS_ZONE
-from faresight.functions.keys import null_safe_true
-from faresight.functions.time import in_day_window
 from faresight.operators import archive, merge
-from faresight.session import scratch_path
 from faresight.sources import sinks
 
 
@@ -35,22 +32,16 @@ def build_documents(flights: DataFrame, airports: DataFrame, fares: DataFrame, l
                     routes: DataFrame, day=None, days: int = 1, zone: str = BUSINESS_ZONE) -> DataFrame:
     """Documents of the flights departing in the window (every departure day when ``day`` is None)."""
     fw = archive.flights_in_window(flights, routes, day, days, zone)
-    return archive.archive_documents(fw, airports, fares, layovers, flights, archive.count_frames(fw))
+    return archive.archive_documents(fw, airports, fares, layovers, flights)
 
 
 def run_archive(spark: SparkSession, flights: DataFrame, airports: DataFrame, fares: DataFrame,
-                layovers: DataFrame, routes: DataFrame, day: str | dt.date, archive_path: str,
+                layovers: DataFrame, routes: DataFrame, day: str | dt.date, archive_path: str, flights_path: str,
                 zone: str = BUSINESS_ZONE) -> ArchiveResult:
-    """Write the day's documents, then write the flight table without that day's departures."""
+    """Write the day's documents, then the flight table without that day's departures to ``flights_path``."""
+    written, removed = Observation("documents"), Observation("expired_delete")
     docs = build_documents(flights, airports, fares, layovers, routes, day, 1, zone)
-    sinks.write_archive(docs, archive_path)
-    written = spark.read.schema(docs.drop(*sinks.PARTS).schema).json(archive_path) \
-        .where(F.col("window_date") == F.lit(day).cast("date"))
-    archived = written.count()
-    obs = Observation("expired_delete")
-    kept = merge.delete_departed(flights, day, zone, observation=obs)
-    flights_path = sinks.write_snapshot(kept, scratch_path(spark, "flights"))
-    removed = int(obs.get.get("removed", 0))
-    removed_ids = flights.where(null_safe_true(in_day_window("depart_timestamp", day, zone)))
-    unarchived = removed_ids.join(written.select("air_id"), "air_id", "left_anti").count()
-    return ArchiveResult(archive_path, flights_path, archived, removed, unarchived)
+    sinks.write_archive(docs.observe(written, F.count(F.lit(1)).alias("n")), archive_path)
+    sinks.write_snapshot(merge.delete_departed(flights, day, zone, observation=removed), flights_path)
+    archived, gone = merge.observed(written, "n"), merge.observed(removed, "removed")
+    return ArchiveResult(archive_path, flights_path, archived, gone, gone - archived)

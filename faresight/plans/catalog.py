@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from faresight.constants import AGG_COLUMNS
+from faresight.constants import AGG_COLUMNS, FARE_COLUMNS
 from faresight.functions.time import business_date as business_date_col
 from faresight.operators import aggregate, archive, merge
 from faresight.operators.routes import routes as build_routes
@@ -67,14 +68,10 @@ def _expired(spark: SparkSession, base: str):
     return t, fw, archive.expired_fares(fw, t.airports, t.fares)
 
 
-def _frames_bound(fw: DataFrame) -> int:
-    return archive.count_frames(fw)
-
-
 def _archive_inputs(spark: SparkSession, base: str):
-    """Frame rows, the bound on route-day frames and the cheap route-day maximum."""
+    """Frame rows and the route-day maximum."""
     t, fw, ex = _expired(spark, base)
-    return ex, _frames_bound(fw), archive.frame_max(fw, t.airports, t.fares)
+    return ex, archive.frame_max(fw, t.airports, t.fares)
 
 
 # --- daily aggregate and merge -------------------------------------------------------------------
@@ -161,28 +158,23 @@ def q_archive_flights(spark, base):
 
 
 def q_archive_options(spark, base):
-    return archive.archive_offers(*_archive_inputs(spark, base)).drop("_prices")
+    return archive.archive_offers(*_archive_inputs(spark, base))
 
 
 def q_price_history(spark, base):
     return archive.price_history(*_archive_inputs(spark, base))
 
 
+def _option_days(doc: DataFrame, *keep) -> DataFrame:
+    """The prices of documents as rows: one for each option and day, and one for an option without days (or a flight without options)."""
+    one = doc.select(*keep, F.explode_outer(F.map_entries("prices")).alias("o"))
+    one = one.select(*keep, F.col("o.key").alias("option_id"), *[F.col(f"o.value.metadata.{c}").alias(c) for c in ("seat_class", "airline", "agency", "fare_class")],
+                     F.explode_outer("o.value.price_history").alias("d"))
+    return one.select("*", "d.*").drop("d")
+
+
 def q_price_history_doc(spark, base):
-    doc = archive.price_history_doc(*_archive_inputs(spark, base))
-    opts = F.map_entries("prices")
-    days = F.flatten(F.transform(opts, lambda e: e["value"]["price_history"]))
-    text = F.array_join(F.transform(opts, lambda e: F.concat(
-        e["key"], F.lit(":"), F.array_join(F.transform(e["value"]["price_history"], lambda h: F.concat(
-            h["collected_date"], F.lit("="), F.coalesce(h["price"].cast("string"), F.lit("-")))), ","))),
-        "|")
-    return doc.select(
-        "air_id", F.size(F.map_keys("prices")).cast("bigint").alias("n_options"),
-        F.size(days).cast("bigint").alias("n_days"),
-        F.size(F.filter(days, lambda h: h["is_available"])).cast("bigint").alias("n_available"),
-        F.aggregate(days, F.lit(0).cast("bigint"),
-                    lambda acc, h: acc + F.coalesce(h["price"].cast("bigint"), F.lit(0))).alias("price_sum"),
-        text.alias("option_days"))
+    return _option_days(archive.price_history_doc(*_archive_inputs(spark, base)), "air_id", *archive.ROUTE_DAY)
 
 
 def _segments(spark, base):
@@ -197,10 +189,7 @@ def q_layover_segments(spark, base):
 
 def q_layover_doc(spark, base):
     doc = archive.layover_doc(_segments(spark, base))
-    text = F.array_join(F.transform("legs", lambda x: F.concat(
-        x["segment_order"].cast("string"), F.lit(":"), x["segment_id"], F.lit(":"), x["from"], F.lit(">"),
-        x["to"], F.lit(":"), F.coalesce(x["connect_time"].cast("string"), F.lit("-")))), ",")
-    return doc.select("air_id", F.size("legs").cast("bigint").alias("n_legs"), text.alias("legs_text"))
+    return doc.select("air_id", F.posexplode("legs")).select("air_id", (F.col("pos") + 1).alias("place"), "col.*")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -230,30 +219,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # --- sinks and streaming ------------------------------------------------------------------------
 
-def q_archive_sink(spark, base):
-    """Write the archive documents (JSON under route/day folders), read them back, summarise per flight."""
+def _written_archive(spark, base) -> tuple[str, T.StructType]:
+    """Documents written as JSON under route/day folders: the folder, and their schema."""
     from faresight.sources import sinks
     t, fw, _ = _expired(spark, base)
-    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights, _frames_bound(fw))
+    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights)
     path = scratch_path(spark, "archive")
     sinks.write_archive(docs, path)
-    schema = docs.drop(*sinks.PARTS).schema
-    back = sinks.read_archive(spark, path, schema)
-    days = F.flatten(F.transform(F.map_values("prices"), lambda v: v["price_history"]))
-    return back.select(
-        "air_id", "route_key", "window_date",
-        F.col("flight.is_layover").alias("is_layover"),
-        F.col("flight.journey_time").alias("journey_time"),
-        F.col("flight.`depart_time(utc)`").alias("depart_time_utc"),
-        F.col("flight.`arrival_time(arr)`").alias("arrival_time_arr"),
-        F.array_join(F.array_sort(F.map_keys("prices")), ",").alias("options"),
-        F.size(F.map_keys("prices")).cast("bigint").alias("n_options"),
-        F.size(days).cast("bigint").alias("n_days"),
-        F.size(F.filter(days, lambda h: h["is_available"])).cast("bigint").alias("n_available"),
-        F.aggregate(days, F.lit(0).cast("bigint"),
-                    lambda acc, h: acc + F.coalesce(h["price"].cast("bigint"), F.lit(0))).alias("price_sum"),
-        F.when(F.col("layover_info").isNull(), F.lit(0)).otherwise(F.size("layover_info"))
-         .cast("bigint").alias("n_legs"))
+    return path, docs.drop(*sinks.PARTS).schema
+
+
+def q_archive_sink(spark, base):
+    """Write the archive documents, read them back, and list every field: a row for each option and day."""
+    from faresight.sources import sinks
+    back = sinks.read_archive(spark, *_written_archive(spark, base))
+    names = {"dep_utc": "depart_time(utc)", "dep_local": "depart_time(dep)", "arr_utc": "arrival_time(utc)", "arr_local": "arrival_time(arr)",
+             "dep_code": "depart_airport", "arr_code": "arrival_airport", "layover": "is_layover", "journey": "journey_time"}
+    leg = lambda x: F.concat_ws("|", *[F.coalesce(x[c].cast("string"), F.lit("null")) for c in (
+        "segment_id", "segment_order", "connect_time", "airline", "from", "to", "depart_time_utc", "arrival_time_utc", "duration")])
+    legs = F.coalesce(F.array_join(F.transform("layover_info", leg), ";"), F.lit("-"))
+    flat = back.select("air_id", "route_key", "window_date", *[F.col(f"flight.`{c}`").alias(n) for n, c in names.items()], legs.alias("legs"), "prices")
+    return _option_days(flat, "air_id", "route_key", "window_date", *names, "legs")
+
+
+def q_archive_text(spark, base):
+    """The written lines themselves: fields in order, and nulls written out rather than left away."""
+    line = F.col("value")
+    times = lambda text: F.size(F.split(line, text, -1)).cast("bigint") - 1
+    return spark.read.text(_written_archive(spark, base)[0]).select(
+        F.get_json_object(line, "$.air_id").alias("air_id"), F.substring_index(line, ',"depart_time(dep)"', 1).alias("begins"),
+        times('"price":null').alias("null_prices"), times('"connect_time":null').alias("null_connections"),
+        line.contains('"is_layover":null').alias("null_flag"), line.contains('"layover_info":null').alias("null_legs"))
 
 
 def q_stream_ingest(spark, base):
@@ -272,5 +268,33 @@ def q_stream_ingest(spark, base):
         "batch_id", "air_id", "seat_class", "agt_code", "adult_fare", "fetched_date", "fare_class")
 
 
+def q_landing_lifecycle(spark, base):
+    """Two ingest runs into one landing table (the second brings late rows of the first's dates), then migration and purge of the
+    run date on the stored tables: what is left in landing, the fare table, and the counts that the steps report."""
+    from faresight.plans import merge_job
+    from faresight.streaming import ingest
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "lifecycle")
+    stored = merge_job.Tables(*[f"{root}/{n}" for n in ("airports", "flights", "fares", "landing", "agg")])
+    t.fares.write.partitionBy("fetched_date").parquet(stored.fares)
+    late = F.coalesce(F.col("fetched_date") > F.lit(D).cast("date"), F.lit(False)) | (F.col("batch_id") % 10 == 3)
+    for run, rows in (("2024-01-28", t.landing.where(~late)), ("2024-01-29", t.landing.where(late))):
+        src = f"{root}/source/{run}/international"
+        rows.write.json(src)
+        ingest.start_ingest(ingest.read_fare_stream(spark, src), stored.landing, f"{root}/checkpoint/{run}", f"{root}/rejects",
+                            available_now=True).awaitTermination()
+    _, upserted = merge_job.migrate(spark, stored, D)
+    _, purged = merge_job.purge(spark, stored, D)
+    columns = ["batch_id", *FARE_COLUMNS]
+    left = ingest.read_landing(spark, stored.landing).select(F.lit("landing").alias("part"), *columns)
+    fares = spark.read.schema(left.select(*FARE_COLUMNS).schema).parquet(stored.fares) \
+        .select(F.lit("fares").alias("part"), F.lit(None).cast("bigint").alias("batch_id"), *FARE_COLUMNS)
+    counts = spark.createDataFrame([("upserted", upserted), ("purged", purged)], "part string, batch_id bigint") \
+        .select("*", *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in FARE_COLUMNS])
+    return left.unionByName(fares).unionByName(counts)
+
+
 QUERIES["archive_sink"] = q_archive_sink
+QUERIES["archive_text"] = q_archive_text
 QUERIES["stream_ingest"] = q_stream_ingest
+QUERIES["landing_lifecycle"] = q_landing_lifecycle

@@ -4,7 +4,7 @@
         --agg P --day D
     spark-submit faresight/plans/cli.py archive --airports P --flights P --fares P --layovers P \\
         --region-map P --out P --logical-date 2024-01-27T15:00:00Z
-    spark-submit faresight/plans/cli.py ingest --source P --landing P --checkpoint P --idle-stop 30
+    spark-submit faresight/plans/cli.py ingest --source P --landing P --checkpoint P --rejects P --idle-stop 30
 
 (``python -m faresight.plans.cli …`` works the same with a local session.)
 
@@ -52,22 +52,21 @@ def cmd_archive(spark: SparkSession, a) -> dict:
     rd = spark.read.parquet
     r = routes(read_region_map(spark, a.region_map), _csv(a.departures), _csv(a.arrivals), _csv(a.regions))
     res = run_archive(spark, rd(a.flights), rd(a.airports), rd(a.fares), rd(a.layovers), r, _day(a), a.out,
-                      a.zone)
+                      a.flights_out, a.zone)
     return {"day": _day(a), "archive": res.archive_path, "flights": res.flights_path, "archived": res.archived,
             "removed": res.removed, "removed_unarchived": res.removed_unarchived}
 
 
 def cmd_ingest(spark: SparkSession, a) -> dict:
     from faresight.streaming import ingest
-    stream = ingest.read_fare_stream(spark, a.source, max_files=a.max_files)
-    q = ingest.start_ingest(stream, a.landing, a.checkpoint, rejects_path=a.rejects, trigger=a.trigger,
-                            available_now=a.available_now)
+    stream, landed = ingest.read_fare_stream(spark, a.source, max_files=a.max_files), ingest.Landed()
+    q = ingest.start_ingest(stream, a.landing, a.checkpoint, a.rejects, run=a.run, trigger=a.trigger,
+                            available_now=a.available_now, landed=landed)
     if a.available_now:
         q.awaitTermination()
     else:
         ingest.run_until_idle(q, idle_seconds=a.idle_stop, max_seconds=a.max_seconds)
-    return {"landing": a.landing, "batches": len(q.recentProgress),
-            "rows": sum(p["numInputRows"] for p in q.recentProgress)}
+    return {"landing": a.landing, "batches": landed.batches, "rows": landed.rows, "rejects": landed.rejects}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -85,7 +84,7 @@ def parser() -> argparse.ArgumentParser:
     dated(m)
 
     ar = sub.add_parser("archive")
-    for f in ("airports", "flights", "fares", "layovers", "region-map", "out"):
+    for f in ("airports", "flights", "fares", "layovers", "region-map", "out", "flights-out"):
         ar.add_argument(f"--{f}", required=True)
     ar.add_argument("--departures", default=",".join(REFERENCE_DEPARTURES))
     ar.add_argument("--arrivals", default=",".join(REFERENCE_EXTRA_ARRIVALS))
@@ -94,9 +93,9 @@ def parser() -> argparse.ArgumentParser:
     dated(ar)
 
     i = sub.add_parser("ingest")
-    for f in ("source", "landing", "checkpoint"):
+    for f in ("source", "landing", "checkpoint", "rejects"):
         i.add_argument(f"--{f}", required=True)
-    i.add_argument("--rejects")
+    i.add_argument("--run", help="name of the run in the landing table (default: last part of the checkpoint's path)")
     i.add_argument("--max-files", type=int, default=MAX_FILES_PER_TRIGGER)
     i.add_argument("--trigger", default=TRIGGER_INTERVAL)
     i.add_argument("--idle-stop", type=float, default=30.0, help="seconds without input before stopping")

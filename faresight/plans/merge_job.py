@@ -2,8 +2,9 @@
 
 Tables are parquet folders; the fact tables are partitioned by ``fetched_date``. Upserts rewrite only
 the partitions they touch (dynamic partition overwrite, staged first because a job cannot overwrite
-the files it is reading). The retention and purge deletes remove whole ``fetched_date`` partitions, so
-they overwrite just those partition folders with zero rows instead of rewriting the table.
+the files it is reading). A change set is computed once: it is staged, and its dates and row count are read
+from there. The retention and purge deletes remove whole ``fetched_date`` folders. The landing table is
+the one that :mod:`faresight.streaming.ingest` writes.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from faresight.constants import AGG_COLUMNS, AGG_KEY, FARE_COLUMNS, FARE_KEY, RETENTION_DAYS
 from faresight.operators import aggregate, merge
 from faresight.session import scratch_path
-from faresight.sources.sinks import empty_partitions, overwrite_partitions, partition_values
+from faresight.sources.sinks import delete_partitions, overwrite_partitions, partition_values
+from faresight.streaming.ingest import read_landing
 
 PART = "fetched_date"
 
@@ -43,32 +45,33 @@ def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFram
     return reader.parquet(path)
 
 
-def _touched_dates(df: DataFrame) -> list:
-    """Distinct partition values of a change set (one value per day: bounded by the calendar)."""
-    return [r[0] for r in df.select(PART).distinct().collect()]
+def _upsert_in_place(spark: SparkSession, current: DataFrame | None, changes: DataFrame, key: list[str],
+                     path: str) -> tuple[list, int]:
+    """Rewrite the partitions of ``path`` that ``changes`` touches; returns their values and the changed rows.
 
-
-def _upsert_in_place(spark: SparkSession, current: DataFrame, changes: DataFrame, key: list[str],
-                     path: str) -> list:
-    """Rewrite the partitions of ``path`` that ``changes`` touches; returns their values."""
-    dates = _touched_dates(changes)
-    if not dates:
-        return []
-    merged = merge.upsert_partitions(current, changes, key, PART, dates)
-    staging = scratch_path(spark, "staging")
-    merged.write.parquet(staging)
-    overwrite_partitions(spark.read.schema(merged.schema).parquet(staging), path, PART)
-    return dates
-
-
-def aggregate_and_upsert(spark: SparkSession, t: Tables, day, agg_exists: bool = True) -> list:
-    """Aggregate landing rows of ``day`` and upsert them into the aggregate table."""
-    landing, flights, airports = _read(spark, t.landing), _read(spark, t.flights), _read(spark, t.airports)
+    The distinct dates of the staged change set reach the driver: one value per day, bounded by the calendar.
+    """
+    staged = scratch_path(spark, "changes")
+    changes.write.parquet(staged)
+    changes = spark.read.schema(changes.schema).parquet(staged)
+    touched = {r[0]: r[1] for r in changes.groupBy(PART).agg(F.count(F.lit(1))).collect()}
+    if not touched:
+        return [], 0
+    if current is None:
+        overwrite_partitions(changes, path, PART)
+    else:
+        staging = scratch_path(spark, "staging")
+        merge.upsert_partitions(current, changes, key, PART, list(touched)).write.parquet(staging)
+        overwrite_partitions(spark.read.schema(current.schema).parquet(staging), path, PART)
+    return list(touched), sum(touched.values())
+
+
+def aggregate_and_upsert(spark: SparkSession, t: Tables, day, agg_exists: bool = True) -> tuple[list, int]:
+    """Aggregate landing rows of ``day`` and upsert them into the aggregate table: dates, and rows upserted."""
+    landing, flights, airports = read_landing(spark, t.landing), _read(spark, t.flights), _read(spark, t.airports)
     fresh = aggregate.fare_daily_agg(landing, flights, airports, day).select(*AGG_COLUMNS)
-    if not agg_exists:
-        overwrite_partitions(fresh, t.agg, PART)
-        return [day]
-    return _upsert_in_place(spark, _read(spark, t.agg).select(*AGG_COLUMNS), fresh, list(AGG_KEY), t.agg)
+    current = _read(spark, t.agg).select(*AGG_COLUMNS) if agg_exists else None
+    return _upsert_in_place(spark, current, fresh, list(AGG_KEY), t.agg)
 
 
 def retention(spark: SparkSession, t: Tables, day) -> tuple[str, int]:
@@ -79,35 +82,30 @@ def retention(spark: SparkSession, t: Tables, day) -> tuple[str, int]:
     """
     cutoff = dt.date.fromisoformat(str(day)) - dt.timedelta(days=RETENTION_DAYS)
     old = [v for v in partition_values(spark, t.agg, PART) if v is not None and v <= cutoff]
-    return t.agg, empty_partitions(spark, t.agg, PART, old)
+    return t.agg, delete_partitions(spark, t.agg, PART, old)
 
 
-def migrate(spark: SparkSession, t: Tables, day) -> list:
-    """Move the landing rows of ``day``'s batch-id range into the fare table (latest wins)."""
-    landing = _read(spark, t.landing)
+def migrate(spark: SparkSession, t: Tables, day) -> tuple[list, int]:
+    """Move ``day``'s landing rows, and others in its batch-id range, into the fare table (latest wins): dates, and rows upserted."""
+    landing = read_landing(spark, t.landing)
     row = merge.batch_bounds(landing, day).first()
-    lo, hi = row["min_batch_id"], row["max_batch_id"]
-    if lo is None or hi is None:
-        return []
-    rows = landing.where(F.col("batch_id").between(F.lit(lo), F.lit(hi)))
-    changes = merge.fare_latest(rows)
+    changes = merge.fare_latest(merge.landing_range(landing, day, row["min_batch_id"], row["max_batch_id"]))
     current = _read(spark, t.fares).select(*FARE_COLUMNS)
     return _upsert_in_place(spark, current, changes, list(FARE_KEY), t.fares)
 
 
 def purge(spark: SparkSession, t: Tables, day) -> tuple[str, int]:
-    """Drop the landing partition of ``day``; returns (folder, removed rows)."""
+    """Drop the landing partition of ``day``; returns (folder, removed rows). Every row of it has been migrated: see :func:`migrate`."""
     d = dt.date.fromisoformat(str(day))
-    hit = [v for v in partition_values(spark, t.landing, PART) if v == d]
-    return t.landing, empty_partitions(spark, t.landing, PART, hit)
+    return t.landing, delete_partitions(spark, t.landing, PART, [d])
 
 
 def run_daily_merge(spark: SparkSession, t: Tables, day: str | dt.date, agg_exists: bool = True) -> MergeResult:
     """The daily job in the order of the original pipeline: aggregate + upsert, retention, migration,
     landing purge. Returns the new table folders and row counts."""
-    counts = {"agg_dates": aggregate_and_upsert(spark, t, day, agg_exists)}
+    counts: dict = {}
+    counts["agg_dates"], counts["agg_upserted"] = aggregate_and_upsert(spark, t, day, agg_exists)
     agg_path, counts["agg_removed"] = retention(spark, t, day)
-    t2 = Tables(t.airports, t.flights, t.fares, t.landing, agg_path)
-    counts["fare_dates"] = migrate(spark, t2, day)
-    landing_path, counts["landing_removed"] = purge(spark, t2, day)
+    counts["fare_dates"], counts["fare_upserted"] = migrate(spark, t, day)
+    landing_path, counts["landing_removed"] = purge(spark, t, day)
     return MergeResult(Tables(t.airports, t.flights, t.fares, landing_path, agg_path), counts)

@@ -27,14 +27,6 @@ BASE_CONF = {
 }
 
 
-# Local runs only: AQE coalesces shuffle partitions to at least 1 MB by default, which turns a small
-# local data set into one or two tasks; a smaller floor keeps all local cores busy. On a cluster the
-# partitions are far above either floor, so the default stays.
-LOCAL_CONF = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
-}
-
-
 def build_session(master: str | None = None, app_name: str = "faresight",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Return a session with the library's settings (local tests pass ``master``)."""
@@ -42,8 +34,6 @@ def build_session(master: str | None = None, app_name: str = "faresight",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    if master and master.startswith("local"):
-        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

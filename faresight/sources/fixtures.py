@@ -49,14 +49,15 @@ def airport_info(spark: SparkSession, base: str) -> DataFrame:
 def _flights_keyed(spark: SparkSession, base: str) -> DataFrame:
     orders = read_table(spark, base, "orders", ["o_orderkey", "o_custkey"])
     customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
-    k = F.col("o_orderkey")
+    k, c = F.col("o_orderkey"), F.col("c_custkey")
     dep = F.to_timestamp_ntz(F.lit(T0)) + _hours(k % 480)
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .select(k.alias("_k"),
                     F.concat(F.lit("F"), k.cast("string")).alias("air_id"),
-                    (k % 5 == 0).alias("is_layover"),
-                    _code(F.col("c_nationkey") % 3).alias("depart_airport"),
-                    _code(3 + F.col("c_custkey") % 4).alias("arrival_airport"),
+                    F.when(k % 13 != 0, k % 5 == 0).alias("is_layover"),
+                    _code(F.col("c_nationkey") % 4).alias("depart_airport"),
+                    # Some flights are on no listed route, some on a reverse one, some to an airport that no table knows.
+                    F.when(c % 29 == 0, F.lit("A98")).when(c % 9 == 0, _code(c % 3)).otherwise(_code(3 + c % 5)).alias("arrival_airport"),
                     F.when(k % 7 == 0, F.lit(None).cast("string"))
                      .otherwise(F.concat(F.lit("AL"), (k % 4).cast("string"))).alias("airline"),
                     dep.alias("depart_timestamp"),
@@ -78,14 +79,14 @@ def fare_raw(spark: SparkSession, base: str) -> DataFrame:
     fl = _flights_keyed(spark, base).select("_k", "air_id", "depart_timestamp")
     seat = (F.when(F.col("l_returnflag") == "A", "Y").when(F.col("l_returnflag") == "N", "C")
             .otherwise("F"))
+    part = F.col("l_partkey")
     batch_id = (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 10000
                 + F.col("l_suppkey"))
     return (li.join(fl, li.l_orderkey == fl._k)
             .select("air_id", seat.alias("seat_class"),
-                    F.concat(F.lit("AGT"), (F.col("l_suppkey") % 2).cast("string")).alias("agt_code"),
-                    F.floor("l_extendedprice").cast("int").alias("adult_fare"),
-                    F.date_add(F.to_date("depart_timestamp"), (2 - F.col("l_partkey") % 15).cast("int"))
-                     .alias("fetched_date"),
+                    F.when(part % 83 != 0, F.concat(F.lit("AGT"), (F.col("l_suppkey") % 2).cast("string"))).alias("agt_code"),
+                    F.when(part % 53 != 0, F.floor("l_extendedprice").cast("int")).alias("adult_fare"),
+                    F.when(part % 89 != 0, F.date_add(F.to_date("depart_timestamp"), (2 - part % 15).cast("int"))).alias("fetched_date"),
                     F.col("l_linestatus").alias("fare_class"),
                     batch_id.cast("bigint").alias("batch_id"),
                     F.col("l_linenumber").alias("ln")))
@@ -127,20 +128,14 @@ class FareTables:
     layovers: DataFrame
 
 
-def derive(spark: SparkSession, base: str) -> FareTables:
-    """The fare tables as lazy derivations of the test tables (nothing is written)."""
-    raw = fare_raw(spark, base)
-    return FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
-                      fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),
-                      layovers=layover_info(spark, base))
-
-
 # Stored layout of the fare tables: the facts are partitioned by fetched_date (date filters prune
 # partitions); facts, flights and layovers are bucketed by air_id with one bucket count, so the
 # fare-flight joins and the per-flight aggregates read co-partitioned data without a shuffle.
 PARTITIONED = {"fare_info": "fetched_date", "temp_fare_info": "fetched_date"}
 BUCKETED = ("flight_info", "fare_info", "temp_fare_info", "layover_info")
 
+BUCKET_ROWS = 25_000                          # of the test tables' fares; a deployment sizes buckets by bytes
+
 _STORED: dict[tuple[str, str], dict[str, str]] = {}
 _LOADED: dict[tuple[str, str], "FareTables"] = {}
 
@@ -175,8 +170,7 @@ def load(spark: SparkSession, base: str) -> FareTables:
 
     They are derived from the test tables and written once per application as catalog tables stored in
     the shared folder (``spark.checkpoint.dir``), standing in for the tables a deployment already has;
-    later calls read the written tables. The bucket count follows the shuffle partition count
-    (capped at two per core).
+    later calls read the written tables. The bucket count follows the number of fare rows.
     """
     from faresight.session import scratch_path
     key = (spark.sparkContext.applicationId, base)
@@ -184,10 +178,7 @@ def load(spark: SparkSession, base: str) -> FareTables:
     if names is None:
         root = scratch_path(spark, "fare-tables")
         prefix = "fs_" + root.rstrip("/").rsplit("-", 1)[-1]
-        # One bucket per shuffle partition, at most two per core: enough parallelism per scan
-        # without a flood of tiny files when the session keeps a large default partition count.
-        buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                             2 * spark.sparkContext.defaultParallelism))
+        buckets = max(1, -(-read_table(spark, base, "lineitem", ["l_orderkey"]).count() // BUCKET_ROWS))
         raw = fare_raw(spark, base).persist()  # feeds both fare tables; dropped after the writes
         t = FareTables(airports=airport_info(spark, base), flights=flight_info(spark, base),
                        fares=fare_info(spark, base, raw), landing=temp_fare_info(spark, base, raw),

@@ -2,24 +2,27 @@
 
 - file source with an explicit schema; malformed lines go to a rejects table (never dropped silently)
 - ``maxFilesPerTrigger`` bounds each micro-batch (60 files), processing-time trigger (1 minute)
-- ``foreachBatch`` writes each epoch to its own ``epoch_id=N`` partition with overwrite, so a replayed
-  epoch (after a failure between write and commit) replaces its own output instead of duplicating it;
-  inside it rows are partitioned by ``fetched_date`` so daily reads prune
-- landing rows carry ``epoch_id``, ``source_file`` and ``file_modification_time``: with the record's
-  ``batch_id`` (when the files carry one) these order rows for latest-wins merging
-- checkpoint per run date; a restart resumes from the checkpoint and adds nothing already landed
+- landing rows lie under ``fetched_date=D/run=R/epoch_id=N``: daily reads prune by date, a purge removes
+  whole ``fetched_date`` folders, and ingest, merge and purge share one table. ``foreachBatch`` overwrites just
+  the folders of its own run and epoch, so a replayed epoch (after a failure between write and commit)
+  replaces its own output and never another run's
+- landing rows carry the order they came in: run, epoch, file time, file path and position. With the
+  record's ``batch_id`` (when the files carry one) these order rows for latest-wins merging
+- one checkpoint per run; a restart resumes from the checkpoint and adds nothing already landed
 """
 
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from faresight.constants import MAX_FILES_PER_TRIGGER, TRIGGER_INTERVAL
+from faresight.operators.merge import observed
 
 CORRUPT = "_corrupt_record"
 
@@ -52,36 +55,59 @@ def read_fare_stream(spark: SparkSession, path: str, schema: T.StructType = FARE
                      F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 
-def _landing_writer(landing_path: str, rejects_path: str | None, columns: list[str],
-                    partition_col: str | None = "fetched_date"):
+ARRIVAL = ("run", "epoch_id", "file_modification_time", "source_file", "position")
+
+
+@dataclass
+class Landed:
+    """What a query has landed so far, counted batch by batch as it is written."""
+    batches: int = 0
+    rows: int = 0
+    rejects: int = 0
+
+
+def _landing_writer(landing_path: str, rejects_path: str, run: str, columns: list[str],
+                    partition_col: str = "fetched_date", landed: Landed | None = None):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
+        b = batch.withColumns({"run": F.lit(run), "epoch_id": F.lit(epoch_id).cast("bigint"),
+                               "position": F.monotonically_increasing_id()})
         has_corrupt = CORRUPT in batch.columns
         if has_corrupt:
             b = b.persist()
-        good = b.where(F.col(CORRUPT).isNull()) if has_corrupt else b
-        # epoch_id=N/fetched_date=D/…: a replayed epoch replaces its own folder, and readers of the
-        # landing root discover both columns, so a date filter still prunes to one day's files.
-        w = good.select(*columns, "source_file", "file_modification_time").write.mode("overwrite")
-        if partition_col and partition_col in columns:
-            w = w.partitionBy(partition_col)
-        w.parquet(f"{landing_path}/epoch_id={epoch_id}")
+        seen = Observation()
+        good = (b.where(F.col(CORRUPT).isNull()) if has_corrupt else b).observe(seen, F.count(F.lit(1)).alias("n"))
+        parts = [c for c in (partition_col, "run", "epoch_id") if c in good.columns]
+        (good.select(*columns, *ARRIVAL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(landing_path))
+        bad = 0
         if has_corrupt:
-            if rejects_path:
-                (b.where(F.col(CORRUPT).isNotNull())
-                 .select(CORRUPT, "source_file", "file_modification_time")
-                 .write.mode("overwrite").parquet(f"{rejects_path}/epoch_id={epoch_id}"))
+            rejected = Observation()
+            (b.where(F.col(CORRUPT).isNotNull()).observe(rejected, F.count(F.lit(1)).alias("n"))
+             .select(CORRUPT, "source_file", "file_modification_time", "run", "epoch_id")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("run", "epoch_id").parquet(rejects_path))
+            bad = observed(rejected, "n")
             b.unpersist()
+        if landed is not None:
+            landed.batches += 1
+            landed.rows += observed(seen, "n")
+            landed.rejects += bad
     return write
 
 
-def start_ingest(stream: DataFrame, landing_path: str, checkpoint: str, rejects_path: str | None = None,
+def start_ingest(stream: DataFrame, landing_path: str, checkpoint: str, rejects_path: str, run: str | None = None,
                  columns: list[str] | None = None, trigger: str | None = TRIGGER_INTERVAL,
-                 available_now: bool = False, name: str | None = None,
-                 partition_col: str | None = "fetched_date") -> StreamingQuery:
-    """Start the landing query; ``available_now`` drains what is there and stops (tests, backfills)."""
+                 available_now: bool = False, name: str | None = None, partition_col: str = "fetched_date",
+                 landed: Landed | None = None) -> StreamingQuery:
+    """Start the landing query; ``available_now`` drains what is there and stops (tests, backfills).
+
+    ``run`` names the run in the landing table: the run date, or what else the checkpoint belongs to (its last
+    path component, unless given). A new checkpoint numbers its epochs from 0 again, so it needs a
+    run of its own. Malformed lines go to ``rejects_path``. ``landed`` is filled with the true counts.
+    """
     cols = columns or [f.name for f in FARE_RECORD.fields]
-    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, cols, partition_col))
+    run = run or checkpoint.rstrip("/").rsplit("/", 1)[-1]
+    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, run, cols, partition_col, landed))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -91,13 +117,16 @@ def start_ingest(stream: DataFrame, landing_path: str, checkpoint: str, rejects_
 
 def run_until_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: float = 5.0,
                    max_seconds: float | None = None) -> None:
-    """Stop ``query`` once it has seen no input for ``idle_seconds`` (or after ``max_seconds``)."""
+    """Stop ``query`` once it has had no input for ``idle_seconds`` (or after ``max_seconds``).
+
+    A running batch, and data that the last look at the source found, count as input: the clock starts when a
+    trigger has found nothing more, however long the batch before it took.
+    """
     started = last_input = time.monotonic()
     while query.isActive:
         query.awaitTermination(poll_seconds)
-        now = time.monotonic()
-        p = query.lastProgress
-        if p and p.get("numInputRows", 0) > 0:
+        now, status = time.monotonic(), query.status
+        if status["isTriggerActive"] or status["isDataAvailable"]:
             last_input = now
         if now - last_input >= idle_seconds or (max_seconds and now - started >= max_seconds):
             query.stop()
@@ -105,11 +134,12 @@ def run_until_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: flo
 
 
 def read_landing(spark: SparkSession, landing_path: str, schema: T.StructType = FARE_RECORD) -> DataFrame:
-    """The landed rows; ``epoch_id`` and ``fetched_date`` come back as partition columns.
+    """The landed rows; ``fetched_date``, ``run`` and ``epoch_id`` come back as partition columns.
 
-    Partition values are typed from ``schema`` (``fetched_date`` a date, ``epoch_id`` a bigint) rather
-    than inferred."""
-    fields = list(schema.fields) + [T.StructField("source_file", T.StringType()),
+    Partition values are typed here rather than inferred. A landing table written otherwise, without the
+    order of arrival, has nulls there.
+    """
+    fields = list(schema.fields) + [T.StructField("run", T.StringType()), T.StructField("epoch_id", T.LongType()),
                                     T.StructField("file_modification_time", T.TimestampType()),
-                                    T.StructField("epoch_id", T.LongType())]
+                                    T.StructField("source_file", T.StringType()), T.StructField("position", T.LongType())]
     return spark.read.schema(T.StructType(fields)).parquet(landing_path)

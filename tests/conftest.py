@@ -31,6 +31,13 @@ def duck():
     con.close()
 
 
+@pytest.fixture(scope="session")
+def oracle_count(duck):
+    """Number of rows that the SQL of a registered query gives."""
+    from faresight.plans.oracle import ORACLE
+    return lambda name: duck.execute(f"SELECT count(*) FROM ({ORACLE[name]})").fetchall()[0][0]
+
+
 @pytest.fixture(scope="session")
 def tables(spark):
     from faresight.sources import fixtures

@@ -1,5 +1,6 @@
 """Stream ingest: bounded micro-batches, replay-safe landing, restart adds nothing, rejects kept."""
 
+import datetime
 import json
 import os
 
@@ -61,14 +62,15 @@ def test_parquet_source_from_test_table(spark):
     stream = ingest.read_fare_stream(spark, "/root/testdata/sf0.001", schema=schema, fmt="parquet",
                                      path_glob="events.parquet")
     cols = [f.name for f in schema.fields]
-    q = ingest.start_ingest(stream, f"{root}/landing", f"{root}/ckpt", columns=cols, available_now=True)
+    landed = ingest.Landed()
+    q = ingest.start_ingest(stream, f"{root}/landing", f"{root}/ckpt", f"{root}/rejects", columns=cols, available_now=True, landed=landed)
     q.awaitTermination()
-    assert ingest.read_landing(spark, f"{root}/landing", schema=schema).count() == 1000
+    assert ingest.read_landing(spark, f"{root}/landing", schema=schema).count() == landed.rows == 1000
 
 
 def test_replayed_epoch_overwrites_its_own_partition(spark, tables):
     root = scratch_path(spark, "stream-replay")
-    write = ingest._landing_writer(f"{root}/landing", None, [c for c in tables.landing.columns])
+    write = ingest._landing_writer(f"{root}/landing", f"{root}/rejects", "2024-01-28", [c for c in tables.landing.columns])
     batch = tables.landing.limit(10).withColumn("source_file", F.lit("f")) \
         .withColumn("file_modification_time", F.current_timestamp())
     write(batch, 0)
@@ -79,8 +81,81 @@ def test_replayed_epoch_overwrites_its_own_partition(spark, tables):
 def test_processing_time_trigger_stops_when_idle(spark, tables):
     root = scratch_path(spark, "stream-idle")
     src = _write_json_files(tables, root, 2)
-    q = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/ckpt",
+    q = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/ckpt", f"{root}/rejects",
                             trigger="1 second")
     ingest.run_until_idle(q, idle_seconds=3, poll_seconds=1, max_seconds=120)
     assert not q.isActive
     assert ingest.read_landing(spark, f"{root}/landing").count() == tables.landing.count()
+
+
+def _json_file(folder, name, rows):
+    os.makedirs(local_path(folder), exist_ok=True)
+    with open(local_path(f"{folder}/{name}"), "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in rows)
+
+
+def _record(batch_id, air_id, date, fare=10):
+    return {"batch_id": batch_id, "air_id": air_id, "seat_class": "Y", "agt_code": "A", "adult_fare": fare, "fetched_date": date, "fare_class": "F"}
+
+
+def test_two_run_dates_share_a_landing_table_with_merge_and_purge(spark):
+    """Late rows of the first date come with the second run; static overwrite mode; every row is accounted for."""
+    from faresight.plans import merge_job
+    root = scratch_path(spark, "two-runs")
+    t = merge_job.Tables(f"{root}/a", f"{root}/f", f"{root}/fares", f"{root}/landing", f"{root}/agg")
+    spark.createDataFrame([("old", "Y", "A", 5, datetime.date(2024, 1, 1), "F")], "air_id string, seat_class string, agt_code string, adult_fare int, "
+                          "fetched_date date, fare_class string").write.partitionBy("fetched_date").parquet(t.fares)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        _json_file(f"{root}/src/d1", "a.json", [_record(1, "x", "2024-01-28"), _record(2, "y", "2024-01-28"), _record(3, "null", None)])
+        _json_file(f"{root}/src/d2", "a.json", [_record(4, "z", "2024-01-29"), _record(5, "late", "2024-01-28"), _record(6, "x", "2024-01-28", 11)])
+        for run in ("d1", "d2"):
+            ingest.start_ingest(ingest.read_fare_stream(spark, f"{root}/src/{run}"), t.landing, f"{root}/ckpt/{run}", f"{root}/rejects",
+                                available_now=True).awaitTermination()
+        assert sorted(r.batch_id for r in ingest.read_landing(spark, t.landing).collect()) == [1, 2, 3, 4, 5, 6]
+        _, moved = merge_job.migrate(spark, t, "2024-01-28")
+        assert moved == 5 and merge_job.purge(spark, t, "2024-01-28") == (t.landing, 4)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert sorted(r.batch_id for r in ingest.read_landing(spark, t.landing).collect()) == [3, 4]
+    assert sorted((r.air_id, r.adult_fare) for r in spark.read.parquet(t.fares).collect()) \
+        == [("late", 10), ("null", 10), ("old", 5), ("x", 11), ("y", 10), ("z", 10)]
+
+
+def test_files_without_batch_ids_are_merged_before_the_purge(spark):
+    from faresight.plans import merge_job
+    root = scratch_path(spark, "no-batch")
+    t = merge_job.Tables(f"{root}/a", f"{root}/f", f"{root}/fares", f"{root}/landing", f"{root}/agg")
+    spark.createDataFrame([("old", "Y", "A", 5, datetime.date(2024, 1, 1), "F")], "air_id string, seat_class string, agt_code string, adult_fare int, "
+                          "fetched_date date, fare_class string").write.partitionBy("fetched_date").parquet(t.fares)
+    rows = [{k: v for k, v in _record(0, "x", "2024-01-28", fare).items() if k != "batch_id"} for fare in (30, 20)]
+    for run, row in zip(("d1", "d2"), rows):
+        _json_file(f"{root}/src/{run}", "a.json", [row])
+        ingest.start_ingest(ingest.read_fare_stream(spark, f"{root}/src/{run}"), t.landing, f"{root}/ckpt/{run}", f"{root}/rejects",
+                            available_now=True).awaitTermination()
+    assert merge_job.migrate(spark, t, "2024-01-28")[1] == 1 and merge_job.purge(spark, t, "2024-01-28")[1] == 2
+    assert sorted((r.air_id, r.adult_fare) for r in spark.read.parquet(t.fares).collect()) == [("old", 5), ("x", 20)]
+
+
+def test_a_long_batch_is_not_idle():
+    """The clock starts after the trigger that found nothing, not while a batch runs."""
+    class Query:
+        isActive, asked = True, 0
+        states = [{"isTriggerActive": True, "isDataAvailable": True}] * 5 + [{"isTriggerActive": False, "isDataAvailable": True}] * 2
+
+        def awaitTermination(self, seconds):
+            import time
+            time.sleep(seconds)
+
+        @property
+        def status(self):
+            self.asked += 1
+            return self.states[self.asked - 1] if self.asked <= 7 else {"isTriggerActive": False, "isDataAvailable": False}
+
+        def stop(self):
+            self.isActive = False
+
+    q = Query()
+    ingest.run_until_idle(q, idle_seconds=0.25, poll_seconds=0.1)
+    assert not q.isActive and q.asked >= 9
