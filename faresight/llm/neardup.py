@@ -8,9 +8,11 @@ required similarity that a link is missed with chance 1e-7. With the rarest valu
 documents share a value among the first (number of values - threshold + 1) of each: only these prefixes are merged, values
 that one document has alone are not posted at all, and documents without enough shared values are skipped.
 
-Copies are one node. In each posting list every node is first compared with the list's smallest node alone;
-lists whose nodes those links already join are skipped, and only in the others are nodes of different
-components counted against each other, in blocks. Retained pairs are confirmed on the full sets.
+Copies are one node. In each posting list every node is first compared with the list's hub, the node that
+shares most values with others. The retained pairs form families; pairs of a list that are in different
+families are counted against each other, in blocks, and the full sets of all retained pairs
+are compared. Where that leaves a family in several components, those outside the largest one are
+compared on full sets with all its nodes, again in blocks: a family of thousands of near copies never becomes a row for each pair.
 A shingle is a 64-bit hash and a node the 64-bit hash of its set.
 """
 
@@ -29,8 +31,8 @@ from faresight.llm.components import components, stored
 from faresight.llm.text import mix, slices, word_hashes, words_of
 
 COORDINATES, MISSED = 48, 1e-7
-BLOCK = 1024                                  # nodes of a long posting list that are counted against each other at once
-GROUP_ROWS = 20_000                           # postings of short lists that one call counts
+BLOCK = 1024                                  # nodes of a long posting list, or of a family, that are compared with each other at once
+GROUP_ROWS, GROUP_SETS = 20_000, 4_000        # postings of short lists, or sets of small families, that one call compares
 _ODDS = (np.random.default_rng(20_260).integers(0, 1 << 31, 2 * COORDINATES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _STEP = np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _P = np.uint64(0x9DDFEA08EB382D69)
@@ -98,12 +100,15 @@ def features(documents: DataFrame, words: int, least: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame, threshold: int) -> DataFrame:
-    """node, token: of each node with enough shared values, the rarest ones that every retained pair has one of."""
+    """node, token, weight: of each node with enough shared values, the rarest ones, of which every retained pair has one in common.
+
+    weight is the number of postings that a node's values share: the more, the nearer it is to the middle of its like.
+    """
     posted = nodes.filter("tokens IS NOT NULL").select("node", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    own = posted.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
-    return own.filter(F.size("own") >= threshold).select("node", F.explode(F.slice("own", 1, F.size("own") - threshold + 1)).alias("one")) \
-              .select("node", F.col("one.token").alias("token"))
+    own = posted.join(shared, "token").groupBy("node").agg(F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
+    return own.filter(F.size("own") >= threshold) \
+              .select("node", "weight", F.explode(F.slice("own", 1, F.size("own") - threshold + 1)).alias("one")).select("node", F.col("one.token").alias("token"), "weight")
 
 
 def retained(pairs: DataFrame, nodes: DataFrame, threshold: int, percent: int) -> DataFrame:
@@ -136,13 +141,13 @@ def full_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, shingles array<long>").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def crossing_pairs(posted: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: int, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb) that share a posting list, lie in different components and collide often enough.
+def crossing_pairs(posted: DataFrame, families: DataFrame, nodes: DataFrame, threshold: int, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) that share a posting list, lie in different families and collide often enough.
 
-    Lists within one component are skipped. A long list is dealt into blocks, and each pair of blocks is
+    Lists within one family are skipped. A long list is dealt into blocks, and each pair of blocks is
     counted by itself; only retained pairs leave a call.
     """
-    named = posted.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = posted.select("node", "token").join(families, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lists = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     named = named.join(lists.filter("low <> high").select("token", "blocks"), "token")
     named = named.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))) \
@@ -173,6 +178,50 @@ def crossing_pairs(posted: DataFrame, labels: DataFrame, nodes: DataFrame, thres
     return pairs.select(pick("a", "b").alias("a"), pick("b", "a").alias("b"), pick("na", "nb").alias("na"), pick("nb", "na").alias("nb")).distinct()
 
 
+def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Index pairs of sets of the two sides that have the similarity, by counting along the left sides' members."""
+    members = np.concatenate(left)
+    order = np.argsort(members, kind="stable")
+    values, begin = np.unique(members[order], return_index=True)
+    owner = np.repeat(np.arange(len(left)), list(map(len, left)))[order]
+    ends, sizes, out = np.append(begin[1:], len(owner)), np.array(list(map(len, left))), []
+    for j, own in enumerate(right):
+        at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+        at = at[values[at] == own]
+        many = ends[at] - begin[at]
+        places = np.repeat(begin[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        common = np.bincount(owner[places], minlength=len(left))
+        out += [(i, j) for i in np.flatnonzero(100 * common >= percent * (sizes + len(own) - common)).tolist()]
+    return out
+
+
+def family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of each family: nodes outside its largest component, in blocks, with all its nodes, in blocks."""
+    named = families.withColumnRenamed("root", "family").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = named.groupBy("family", "root").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("family").agg(F.max(F.struct("n", "root")).alias("core"), F.sum("n").alias("n")).filter("core.n < n")
+    whole = whole.select("family", F.col("core.root").alias("core"), F.ceil((F.col("n") - F.col("core.n")) / BLOCK).alias("outer"), F.ceil(F.col("n") / BLOCK).alias("all"))
+    named = named.join(whole, "family")
+    until = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    outer = named.filter("root <> core").select("family", own("outer").alias("i"), until("all").alias("j"), F.lit(True).alias("outer"), "node", "root")
+    every = named.select("family", until("outer").alias("i"), own("all").alias("j"), F.lit(False).alias("outer"), "node", "root")
+    dealt = stored(outer.union(every), "families")
+    groups = max(1, -(-dealt.count() // GROUP_SETS))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
+        for _, part in rows.groupby(["family", "i", "j"], sort=False):
+            left, right = part[part["outer"]], part[~part["outer"]]
+            if len(left) and len(right):
+                a, b, ra, rb = left["node"].to_numpy(), right["node"].to_numpy(), left["root"].to_numpy(), right["root"].to_numpy()
+                found += {(min(ra[i], rb[j]), max(ra[i], rb[j])) for i, j in linked(list(left["shingles"]), list(right["shingles"]), percent) if a[i] != b[j] and ra[i] != rb[j]}
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    full = dealt.join(sets, "node")
+    return full.groupBy(F.pmod(F.xxhash64("family", "i", "j"), F.lit(groups))).applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document; links join sets with 100 * intersection >= percent * union.
 
@@ -188,20 +237,17 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     nodes = stored(docs.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
     posted = stored(prefixes(nodes, threshold), "postings")
-    hubs = posted.groupBy("token").agg(F.min("node").alias("a"))
-    star = posted.join(hubs, "token").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    hubs = posted.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("hub")).select("token", F.col("hub.node").alias("hub"))
+    star = posted.join(hubs, "token").filter("hub <> node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     star = stored(retained(star, nodes, threshold, percent), "pairs")
-    members = stored(posted.join(posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "token", "left_semi"), "lists")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "rep")
-    sets = stored(full_sets(documents, wanted, words), "sets")
-    labels = components(confirmed(star, sets, percent))
-    rest = crossing_pairs(members, labels, nodes, threshold, percent).join(star, ["a", "b"], "left_anti")
-    more = stored(confirmed(rest, sets, percent), "more-links")
+    families = components(star)
+    pairs = stored(star.union(crossing_pairs(posted, families, nodes, threshold, percent)), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(full_sets(documents, nodes.join(wanted, "node", "left_semi").select("node", "rep"), words), "sets")
+    labels = components(confirmed(pairs, sets, percent))
+    more = stored(family_links(families, labels, sets, percent).distinct(), "more-links")
     if not more.isEmpty():
-        root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-        between = more.join(root("a"), "a", "left").join(root("b"), "b", "left") \
-                      .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-        joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        joined = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
         alone = joined.join(labels.select("root"), "root", "left_anti").select(F.col("root").alias("node"), "root")
         labels = labels.union(alone).join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     rooted = nodes.select("node", "rep").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -67,20 +67,52 @@ def test_five_words_and_small_blocks(spark, monkeypatch):
     assert run(spark, rows, 5) == brute(rows, 5)
 
 
-def test_links_beside_a_hub(spark, monkeypatch):
-    """Lists whose smallest node is linked with none, or not with all, of the others that are linked."""
-    rnd, rows, crossed = random.Random(6), [], []
+def test_near_copies_of_near_copies(spark, monkeypatch):
+    rnd, rows = random.Random(6), []
     vocabulary = [f"v{i}" for i in range(5000)]
     for _ in range(40):
         base = [rnd.choice(vocabulary) for _ in range(100)]
         for share in (0.12, 0.01, 0.12, 0.01):
             rows.append((len(rows), " ".join(base)))
             base = [rnd.choice(vocabulary) if rnd.random() < share else w for w in base]
-    plain = neardup.crossing_pairs
-    monkeypatch.setattr(neardup, "crossing_pairs", lambda *a: crossed.append(plain(*a).count()) or plain(*a))
     monkeypatch.setattr(neardup, "BLOCK", 2)
     assert run(spark, rows, 2) == brute(rows, 2)
-    assert crossed[0] > 0
+
+
+def test_links_within_a_family(spark, monkeypatch):
+    """What a hub's links leave apart is found by comparing the family's other nodes with all of it."""
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    rng = np.random.default_rng(8)
+    base = np.arange(100)
+    sets = {n: np.unique(np.where(rng.random(100) < rng.choice([0.02, 0.2]), rng.integers(1000, 9000, 100), base)) for n in range(1, 25)}
+    links = {(i, j) for i in sets for j in sets if i < j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    known = components(spark.createDataFrame([x for x in sorted(links)[:4]], "a long, b long"))
+    families = spark.createDataFrame([(n, 1) for n in sets], "node long, root long")
+    frame = spark.createDataFrame([(n, [int(x) for x in s]) for n, s in sets.items()], "node long, shingles array<long>")
+    root = {r.node: r.root for r in known.collect()}
+    got = {(r.a, r.b) for r in neardup.family_links(families, known, frame, 80).collect()}
+    core = max({root.get(n, n) for n in sets}, key=lambda r: (sum(root.get(n, n) == r for n in sets), r))
+    want = {tuple(sorted((root.get(i, i), root.get(j, j)))) for i, j in links if root.get(i, i) != root.get(j, j)}
+    assert got == want and any(core not in pair for pair in want)
+
+
+def test_links_between_families(spark):
+    """A list whose hub is like none of its nodes: the nodes' pairs are still counted."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 62, 50)
+    tokens = {1: common, 2: common, 3: np.concatenate([common[:8], rng.integers(0, 1 << 62, 42)])}
+    nodes = spark.createDataFrame([(n, 50, [int(x) for x in t[:48]]) for n, t in tokens.items()], "node long, n_shingles long, tokens array<long>")
+    posted = spark.createDataFrame([(n, int(t), 1) for n in (1, 2, 3) for t in common[:8]], "node long, token long, weight long")
+    families = spark.createDataFrame([], "node long, root long")
+    got = neardup.crossing_pairs(posted, families, nodes, 20, 80).collect()
+    assert [(r.a, r.b, r.na, r.nb) for r in got] == [(1, 2, 50, 50)]
+
+
+def test_linked_counts_all_pairs():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 12, rng.integers(1, 12)).astype(np.uint64)) for _ in range(60)]
+    want = [(i, j) for j in range(60) for i in range(30) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    assert sorted(neardup.linked(sets[:30], sets, 80)) == sorted(want)
 
 
 def test_odd_rows(spark):
