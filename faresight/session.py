@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,9 @@ BASE_CONF = {
 }
 
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def build_session(master: str | None = None, app_name: str = "faresight",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Return a session with the library's settings (local tests pass ``master``)."""
@@ -44,6 +48,22 @@ def build_session(master: str | None = None, app_name: str = "faresight",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the application's Python workers, as ``--py-files`` does for a submitted job; once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root, folder = os.path.dirname(os.path.abspath(__file__)), tempfile.TemporaryDirectory()
+    archive = os.path.join(folder.name, f"faresight-{uuid.uuid4().hex[:12]}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for where, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(where, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED[sc.applicationId] = folder  # Spark serves the file from here to the executors, until the driver ends
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors: the session's checkpoint directory.
 
