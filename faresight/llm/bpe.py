@@ -159,7 +159,7 @@ def encode_decode(documents: DataFrame, vocabulary: str, with_ids: bool = False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
-        for some in (b.slice(lo, hi - lo) for b in batches for lo, hi in slices(b, "text")):
+        for some in (b.slice(lo, hi - lo) for b in batches for lo, hi in slices(b, "text", 4 << 20)):
             rows = []
             for ids in own.encode_all([t or "" for t in some.column("text").to_pylist()]):
                 back = own.decode(ids)

@@ -24,6 +24,7 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5                               # added to each bucket's count, in shares of the mean count
 LARGEST_WEIGHT = 6.0                          # of one n-gram, in nats
 EXHAUSTIVE = 7                                # up to so many languages, every way to split them in two is a bit
+SLICE = 1 << 20                               # bytes of text whose n-grams are held at once
 AMBIGUOUS_MARGIN = 0.25                       # of the two best languages' losses
 UNKNOWN = "und"
 _tables: dict[str, np.ndarray] = {}
@@ -119,7 +120,7 @@ def train(documents: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lo, hi in slices(batch, "text"):
+            for lo, hi in slices(batch, "text", SLICE):
                 langs = np.array(batch.column("lang").slice(lo, hi - lo).to_pylist(), object)
                 grams, own = ngrams(batch.column("text").slice(lo, hi - lo).to_pylist())
                 names, code = np.unique(langs.astype(str), return_inverse=True)
@@ -157,7 +158,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch, "text"):
+            for lo, hi in slices(batch, "text", SLICE):
                 some = batch.slice(lo, hi - lo)
                 language, score, unclear = model.predict(some.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("held_out"), pa.array(language, pa.string()), pa.array(score), pa.array(unclear)],
@@ -173,7 +174,7 @@ def with_language(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch, "text"):
+            for lo, hi in slices(batch, "text", SLICE):
                 some = batch.slice(lo, hi - lo)
                 language = model.predict(some.column(place).to_pylist())[0]
                 yield some.filter(pa.array([x != UNKNOWN for x in language], pa.bool_()))

@@ -32,7 +32,7 @@ from faresight.llm.text import mix, slices, word_hashes, words_of
 WINDOW, GRAM = 35, 12
 LONGEST_RUN = 24                              # windows of a segment
 MANY_SEGMENTS = 2_000                         # distinct ones of a minimizer that is split
-SHARD_WORDS = 600_000
+SHARD_WORDS = 300_000
 _ODD = 0xD1342543DE82EF95
 
 

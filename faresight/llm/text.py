@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of ``batch`` whose texts hold about ``limit`` bytes together (one longer text stands alone)."""
     sizes = batch.column(column).cast(pa.large_string()).to_numpy(zero_copy_only=False)
     lo, held = 0, 0
