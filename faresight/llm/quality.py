@@ -28,14 +28,15 @@ SEPARATORS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Statistics with the pseudo-counts that keep a short text's from straying, and the least spread taken for usual.
-FEATURES = ("log_word_length", "log_symbol_rate", "dup_line_share", "repeat_share")
-PRIOR_WORDS, PRIOR_LENGTH, PRIOR_LINES = 100, 6.0, 10
-FLOORS = np.array([0.04, 0.35, 0.06, 0.02])
+FEATURES = ("log_word_length", "symbol_rate", "dup_line_share", "repeat_share")
+PRIOR_WORDS, PRIOR_LENGTH, PRIOR_SYMBOLS, PRIOR_LINES = 100, 6.0, 100, 10
+#: A table, with a sign between any two words, is unusual and still text; signs after every word are not.
+FLOORS = np.array([0.08, 0.02, 0.06, 0.02])
 SUBSET = 0.75                                 # share of a group that the estimate is made from
 BLOCK_ROWS, STARTS, STEPS = 2048, 8, 2
 MIN_GROUP = 200                               # smaller groups take their language's estimate, or else that of all
 BINS = 32                                     # of distance, for each doubling
-CUTOFF = 12.0                                 # rejected beyond so many robust standard deviations
+CUTOFF = 9.0                                 # rejected beyond so many robust standard deviations
 STATS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long"
 
 
@@ -87,7 +88,7 @@ def statistics(documents: DataFrame) -> DataFrame:
 def features() -> list[Column]:
     words = F.col("n_words")
     return [F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_LENGTH) / (words + PRIOR_WORDS)),
-            F.log(F.lit(0.002) + F.col("n_symbols") / (F.col("word_chars") + PRIOR_WORDS * PRIOR_LENGTH)),
+            F.col("n_symbols") / (F.col("word_chars") + PRIOR_SYMBOLS),
             F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES),
             F.col("n_repeat_words") / (words + PRIOR_WORDS)]
 
