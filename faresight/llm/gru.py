@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 HIDDEN, WIDTH, STEPS = 16, 64, 32
+TOGETHER = 16_384                             # tokens whose softmaxes are held at once
 RATE, UPDATE_TOKENS = 0.01, 2048
 END, UNKNOWN = 0, 1                           # ids; words follow
 
@@ -114,7 +115,8 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
         lanes = inputs.shape[1]
         states = _run(p, table, inputs, alive, h[:lanes], None)
         on = np.arange(lanes) < alive[:, None]
-        logp, _ = _outputs(p, states[on], targets[on], None)
+        found, wanted = states[on], targets[on]
+        logp = np.concatenate([_outputs(p, found[i:i + TOGETHER], wanted[i:i + TOGETHER], None)[0] for i in range(0, len(wanted), TOGETHER)])
         out[:lanes] += np.bincount(np.broadcast_to(np.arange(lanes), on.shape)[on], logp, lanes)
         h = states[-1]                        # lanes that go on have run every step
     result = np.empty(len(documents))

@@ -29,7 +29,7 @@ from faresight.llm.text import mix, slices, word_hashes, words_of
 
 HEAD, VOCABULARY = 131_072, 2_048             # words that every task knows the count of, and those the network knows
 TRAIN_ONE_IN, ROUNDS, TRAINER_TOKENS = 16, 2, 1_000_000
-SCORE_BYTES, TRAIN_BYTES = 24 << 20, 2 << 20  # texts that run side by side
+SCORE_BYTES, TRAIN_BYTES = 16 << 20, 2 << 20  # texts that run side by side
 EDGE = int(mix(np.array([0xE0D], np.uint64))[0])                         # stands for the end token among word hashes
 
 
@@ -81,9 +81,13 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From word counts. The head that reaches the driver has at most HEAD words."""
+    """From word counts. Of these the driver gets how many words fall in each bin of frequency, then the bins from
+    the top that hold at most HEAD words together."""
+    bin_ = F.floor(F.log2("n") * 8)
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    sizes = counts.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("words")).toPandas().sort_values("bin", ascending=False)
+    inside = sizes["bin"][sizes["words"].cumsum() <= HEAD]
+    top = counts.filter(bin_ >= int(inside.min() if len(inside) else 1 << 20)).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     rank = np.cumsum(words != EDGE) + 1                                  # ids from 2 by frequency; the end has its own
     ids = np.where(words == EDGE, gru.END, np.where(rank < VOCABULARY, rank, gru.UNKNOWN))
