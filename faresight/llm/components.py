@@ -15,6 +15,11 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return table.sparkSession.read.parquet(path)
 
 
+def _name(links: DataFrame) -> tuple:
+    """Number of links, and two sums over them that tell whether a step has changed any."""
+    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the component's smallest node) for every node in ``links`` (a, b: long, not null).
 
@@ -22,18 +27,14 @@ def components(links: DataFrame) -> DataFrame:
     neighbours, then to its smaller ones, until every link leads to its component's smallest node.
     A link is a row of fixed size throughout, and the number of rounds grows with the logarithm of the longest chain.
     """
-    links = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    while True:
-        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    links = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links")
+    before = None
+    while before != (before := _name(links)):
+        both = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        new = stored(small.distinct(), "links")
-        same = new.join(links, ["u", "v"], "left_anti").isEmpty() and new.count() == links.count()
-        links = new
-        if same:
-            break
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root")) \
-                .union(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        small = large.join(least, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
+        links = stored(small.filter("u <> v").distinct(), "links")
+    roots = links.select("v").distinct()
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
