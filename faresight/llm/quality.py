@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faresight.llm.components import stored
 from faresight.llm.text import mix, slices, word_hashes, words_of
-from faresight.session import scratch_path
 
 SEPARATORS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 WINDOW = 5
@@ -172,7 +172,8 @@ def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
 def estimates(rows: DataFrame) -> DataFrame:
     """Centre and precision of each group g of ``rows`` (g, row, x0 ...)."""
     xs = [f"x{i}" for i in range(P)]
-    blocks = rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    # Written, so that its size is known when the rows are joined: they are not dealt out by group for a table of groups.
+    blocks = stored(rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")), "blocks")
 
     def subset(block: pd.DataFrame) -> pd.DataFrame:
         x = block.sort_values("row")[xs].to_numpy()
@@ -182,14 +183,11 @@ def estimates(rows: DataFrame) -> DataFrame:
     schema = "g long, " + ", ".join(f"{s} double" for s in sums)
     dealt = rows.join(blocks, "g").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
     start = dealt.groupBy("g", "block").applyInPandas(subset, schema).groupBy("g").agg(*[F.sum(s).alias(s) for s in sums])
-    now = start.groupBy("g").applyInPandas(lambda d: _parameters(int(d["g"].iloc[0]), d[sums].to_numpy()[0]), _PARAMETER_SCHEMA)
+    now = stored(start.groupBy("g").applyInPandas(lambda d: _parameters(int(d["g"].iloc[0]), d[sums].to_numpy()[0]), _PARAMETER_SCHEMA), "mcd")
     for _ in range(STEPS):
         binned = rows.join(now, "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS))
         terms = [F.lit(1.0), *[F.col(x) for x in xs], *[F.col(f"x{i}") * F.col(f"x{j}") for i, j in PAIRS]]
-        now = binned.groupBy("g", "bin").agg(*[F.sum(t).alias(s) for t, s in zip(terms, sums)]).groupBy("g").applyInPandas(_concentrate, _PARAMETER_SCHEMA)
-        path = scratch_path(rows.sparkSession, "mcd")
-        now.write.parquet(path)
-        now = rows.sparkSession.read.parquet(path)
+        now = stored(binned.groupBy("g", "bin").agg(*[F.sum(t).alias(s) for t, s in zip(terms, sums)]).groupBy("g").applyInPandas(_concentrate, _PARAMETER_SCHEMA), "mcd")
     return now
 
 
@@ -201,12 +199,9 @@ def quality(documents: DataFrame) -> DataFrame:
     all; where all are fewer, no distance is known (null) and the base rules decide alone. Base failures
     are left out of the estimates. Repeated rows count each; an empty table gives an empty result; other columns are ignored.
     """
-    spark = documents.sparkSession
-    path = scratch_path(spark, "quality")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    statistics(documents).withColumns({"base_failed": failed, **{f"x{i}": f for i, f in enumerate(features())},
-                                       "row": F.monotonically_increasing_id()}).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = stored(statistics(documents).withColumns({"base_failed": failed, **{f"x{i}": f for i, f in enumerate(features())},
+                                                     "row": F.monotonically_increasing_id()}), "quality")
     keys = [_key(0, "lang", "source"), _key(1, "lang"), _key(2)]
     levels = ["source", "lang"], ["lang"], []
     good = rows.filter(~F.col("base_failed"))
@@ -222,8 +217,8 @@ def quality(documents: DataFrame) -> DataFrame:
     chosen = F.lit(None).cast("long")
     for i in (2, 1, 0):
         chosen = F.when(F.coalesce(F.col(f"n{i}"), F.lit(0)) >= MIN_GROUP, keys[i]).otherwise(chosen)
-    groups = groups.select(_key(0, "lang", "source").alias("pair"), chosen.alias("g"))
-    used = groups.select("g").filter(F.col("g").isNotNull()).distinct()
+    groups = stored(groups.select(_key(0, "lang", "source").alias("pair"), chosen.alias("g")), "groups")
+    used = stored(groups.select("g").filter(F.col("g").isNotNull()).distinct(), "groups")
     xs = [f"x{i}" for i in range(P)]
     levelled = good.select("row", *xs, F.explode(F.array(*keys)).alias("g")).join(used, "g", "left_semi")
     found = estimates(levelled)
