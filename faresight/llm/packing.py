@@ -8,9 +8,10 @@ crosses documents and none needs padding.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "word_bpe_49k.json"
 MAX_LENGTH, END_ID = 4096, 2
-CACHE_WORDS = 300_000                        # words whose ids a worker keeps; beyond it, it starts anew
+TOGETHER = 20_000                            # parts tokenized in one call
+CACHE_WORDS = 600_000                        # words whose ids a worker keeps; beyond it, it keeps those that it has just met again
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 _state: dict[str, tuple] = {}
@@ -27,6 +29,7 @@ _state: dict[str, tuple] = {}
 
 def _tokenizer(path: str) -> tuple:
     if path not in _state:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"                  # a Spark task is one thread; its neighbours have the other cores
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_padding()
@@ -35,21 +38,36 @@ def _tokenizer(path: str) -> tuple:
     return _state[path]
 
 
+def folded(text: str) -> str:
+    """Lower case where that is what the tokenizer does itself: its rule for U+0130 and U+03A3 is another one."""
+    return text if "\u0130" in text or "\u03a3" in text else text.lower()
+
+
+def _learn(new: set[str], path: str) -> None:
+    """Tokenize parts that are new. A letter is never merged with a full stop or comma: a word that one of them ends is the word and the sign."""
+    tokenizer, known = _tokenizer(path)
+    ended = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha() and p[-2] != "\u0130"]  # U+0130 ends in a mark when lowered
+    words = list(new.difference(ended).union(p[:-1] for p in ended).union(".,").difference(known))
+    for lo in range(0, len(words), TOGETHER):
+        some = words[lo:lo + TOGETHER]
+        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)))
+    known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
+
+
 def encode(texts: list[str | None], path: str) -> list[bytes]:
     """Token ids of whole texts, little-endian unsigned 32-bit.
 
     This tokenizer drops white space and never merges across it, so a text's ids are those of its parts
     between spaces and line feeds, and each distinct part is tokenized once.
     """
-    tokenizer, known = _tokenizer(path)
-    parts = [[] if t is None else t.replace("\n", " ").split(" ") for t in texts]
+    known = _tokenizer(path)[1]
+    parts = [[] if t is None else folded(t).replace("\n", " ").split(" ") for t in texts]
+    met = set().union(*parts)
     if len(known) > CACHE_WORDS:
+        frequent = {w: known[w] for w in met.intersection(known)}
         known.clear()
-    new = list(set(chain.from_iterable(parts)).difference(known))
-    for lo in range(0, len(new), 20_000):
-        some = new[lo:lo + 20_000]
-        for word, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False)):
-            known[word] = np.array(e.ids, "<u4").tobytes()
+        known.update(frequent)
+    _learn(met.difference(known), path)
     return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
@@ -73,7 +91,7 @@ def decompose(documents: DataFrame, vocabulary: str, longest: int = MAX_LENGTH,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from faresight.llm.text import slices
         for batch in batches:
-            for lo, hi in slices(batch, "text"):
+            for lo, hi in slices(batch, "text", 4 << 20):
                 doc_ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
                 out = []
                 for doc_id, ids in zip(doc_ids, encode(batch.column("text").slice(lo, hi - lo).to_pylist(), vocabulary)):

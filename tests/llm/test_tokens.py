@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from faresight.llm import bpe, packing
 
 ODD = ["", " ", "a  b\n\n c", "don't WE'LL it's", "été ¡ñandú! 你好　世界", "x\x1cy\x85z\xa0", "<|endoftext|>a <|endoftext|>",
-       "12345 67 ½ Ⅷ", "\t\t a\r\n b ", "🙂🙂 é ﬁ", "a" * 3000, "_" * 500 + " ", "the the the", "́abc", "İ ſ K"]
+       "12345 67 ½ Ⅷ", "\t\t a\r\n b ", "🙂🙂 é ﬁ", "a" * 3000, "_" * 500 + " ", "the the the", "́abc", "İ ſ K", "ΟΔΟΣ. Σ, σ", "İİ, Å. é. a,. b.. c)., 3. it's. ①. ²."]
 
 
 def random_texts(n=300, seed=5):
@@ -18,6 +18,15 @@ def random_texts(n=300, seed=5):
     return ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 200))) for _ in range(n)]
 
 
+def test_ids_of_words_and_signs_equal_library():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    lib, rnd = Tokenizer.from_file(path), random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzéèçñßöüœěžāÆØİΣσςıªµ.,'´<|>\u0301"
+    texts = [" ".join("".join(rnd.choices(letters, k=rnd.randint(1, 9))) for _ in range(60)) for _ in range(60)] + ["a<|endoftext|>b. <|startoftext|>, ok"]
+    for text, ids in zip(texts, packing.encode(texts, path)):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_equals_library():
     path = public_tokenizers.path(bpe.VOCABULARY)
     lib, own = Tokenizer.from_file(path), bpe.Codec(path)
