@@ -22,13 +22,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (shingles of five words, similarity 0.8) the document with the smallest doc_id.
+    """Of each group of near duplicates (shingles of five words, similarity 0.8) the row with the smallest doc_id.
 
-    Documents without a word are in no group and stay. Rows that share the kept doc_id are that document and stay;
-    rows without a doc_id stay where their whole group has none.
+    Documents without a word are in no group and stay. Rows equal to the kept one in every column are that document
+    and stay; a row without a doc_id stays where its whole group has none, and then once.
     """
-    kept = neardup.near_duplicates(docs, words=5, percent=80).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return neardup.one_of_each(docs, words=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,12 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return table.sparkSession.read.parquet(path)
 
 
+def once(rows: DataFrame, name: str) -> DataFrame:
+    """One row of ``rows`` for each value of the column ``name`` (not null). Values that occur once are not grouped."""
+    again = stored(rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(name), "again")
+    return rows.join(again, name, "left_anti").unionByName(rows.join(again, name, "left_semi").dropDuplicates([name]))
+
+
 def _name(links: DataFrame) -> tuple:
     """Number of links, and two sums over them that tell whether a step has changed any."""
     return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())

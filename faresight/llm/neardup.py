@@ -24,7 +24,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.llm.components import components, stored
@@ -83,20 +83,20 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return mix(value + _STEP).view(np.int64)
 
 
-def features(documents: DataFrame, words: int, least: int) -> DataFrame:
-    """doc_id, n_shingles, node, tokens (null below ``least`` shingles: so small sets are only like their copies)."""
+def features(documents: DataFrame, words: int, least: int, row: Column) -> DataFrame:
+    """row, doc_id, n_shingles, node, tokens (null below ``least`` shingles: so small sets are only like their copies)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text", 2 << 20):
                 some = batch.slice(lo, hi - lo)
                 sets = shingle_sets(some.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                    [some.column("row"), some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                      pa.array([signature(s) if len(s) >= least else None for s in sets], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "node", "tokens"])
+                    names=["row", "doc_id", "n_shingles", "node", "tokens"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node long, tokens array<long>")
+    return documents.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "row long, doc_id long, n_shingles long, node long, tokens array<long>")
 
 
 def prefixes(nodes: DataFrame, threshold: int) -> DataFrame:
@@ -222,20 +222,15 @@ def family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, percen
     return full.groupBy(F.pmod(F.xxhash64("family", "i", "j"), F.lit(groups))).applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document; links join sets with 100 * intersection >= percent * union.
-
-    component_id is the smallest doc_id of the documents that links reach, and kept holds for that
-    document. Null and wordless texts have no shingles and are linked with nothing. Rows with one doc_id are
-    kept alike if their component says so; rows without one are in components like others and are
-    only kept where all of the component's are. An empty table gives an empty result; other columns are ignored.
-    """
+def _rooted(documents: DataFrame, words: int, percent: int, row: Column) -> tuple[DataFrame, DataFrame]:
+    """The features of all rows, and of each node its component's root, its smallest doc_id and its first row: by doc_id, nulls last, then by ``row``."""
     threshold = match_threshold(percent)
     # Different sets of fewer shingles can't be that similar: one of n is at most n / (n + 1) like another.
     least = next(n for n in range(1, 101) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 62
-    docs = stored(features(documents, words, least), "features")
+    docs = stored(features(documents, words, least, row), "features")
     nodes = stored(docs.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
+        F.max("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
     posted = stored(prefixes(nodes, threshold), "postings")
     hubs = posted.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("hub")).select("token", F.col("hub.node").alias("hub"))
     star = posted.join(hubs, "token").filter("hub <> node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
@@ -250,7 +245,19 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         joined = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
         alone = joined.join(labels.select("root"), "root", "left_anti").select(F.col("root").alias("node"), "root")
         labels = labels.union(alone).join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    rooted = nodes.select("node", "rep").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = nodes.select("node", "rep", "first").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return docs, rooted
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document; links join sets with 100 * intersection >= percent * union.
+
+    component_id is the smallest doc_id of the documents that links reach, and kept holds for that
+    document. Null and wordless texts have no shingles and are linked with nothing. Rows with one doc_id are
+    kept alike if their component says so; rows without one are in components like others and are
+    only kept where all of the component's are. An empty table gives an empty result; other columns are ignored.
+    """
+    docs, rooted = _rooted(documents, words, percent, F.lit(0).cast("long"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_node = rooted.join(smallest, "root").select("node", "component_id", F.lit(True).alias("_in"))
     out = docs.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
@@ -258,5 +265,22 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents, of each component only the first: by doc_id, nulls last, then by a 64-bit hash of the whole row.
+
+    Rows without a word are in no component and stay. Rows equal to the first one in all columns are the same
+    document: they stay with it where they have a doc_id; of those without one a single row stays.
+    """
+    name = F.xxhash64(*[e for c in documents.columns for e in (F.col(c).isNull(), F.col(c))])
+    docs, rooted = _rooted(documents, words, percent, name)
+    first = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    copies = docs.filter("doc_id IS NULL AND node IS NOT NULL").groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = stored(copies.join(first.filter("none"), "row", "left_semi").select(F.col("row").alias("_row")), "copies")
+    kept = first.select("row").union(docs.filter("node IS NULL").select("row").distinct()).select(F.col("row").alias("_row"))
+    rows = documents.withColumn("_row", name)
+    out = rows.join(kept.join(again, "_row", "left_anti"), "_row", "left_semi")
+    return out.unionByName(rows.filter("doc_id IS NULL").join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(*documents.columns)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=2)

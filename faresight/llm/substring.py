@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.components import stored
+from faresight.llm.components import once, stored
 from faresight.llm.text import mix, slices, word_hashes, words_of
 
 WINDOW, GRAM = 35, 12
@@ -205,8 +205,8 @@ def _extract(wanted: DataFrame, window: int) -> DataFrame:
     return wanted.select("text", "parts").mapInArrow(run, "route long, unit long, minimizer long, name long, place int, times long, words string")
 
 
-def covered(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """row, spans (begin, end of words) of every row of documents that holds a repeated window."""
+def covered(documents: DataFrame, window: int = WINDOW, equal_rows_are_one: bool = False) -> DataFrame:
+    """row, spans (begin, end of words) of every row of documents that holds a repeated window. Equal rows repeat each other unless they are taken for one."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text", 2 << 20):
@@ -216,6 +216,7 @@ def covered(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                                                   pa.array(minimizer), pa.array(name), pa.array(again.astype(np.int32))], names=["row", "first", "size", "minimizer", "name", "again"])
 
     rows = documents.select(_row().alias("row"), "text").filter("text IS NOT NULL")
+    rows = once(rows, "row") if equal_rows_are_one else rows
     cuts = rows.mapInArrow(cut, "row long, first int, size int, minimizer long, name long, again int")
     shared = cuts.groupBy("minimizer").agg(F.sum(1 + F.col("again")).alias("n")).filter("n > 1").select("minimizer")
     found = stored(cuts.drop("again").join(shared, "minimizer"), "segments")
@@ -257,8 +258,8 @@ def kept_words(text: str | None, spans: list[dict] | None) -> tuple[int, list[by
     return len(words), list(compress(words, np.cumsum(edge)[:-1] == 0))
 
 
-def _with_spans(documents: DataFrame, window: int) -> DataFrame:
-    return documents.withColumn("_row", _row()).join(covered(documents, window).withColumnsRenamed({"row": "_row", "spans": "_spans"}), "_row", "left")
+def _with_spans(documents: DataFrame, window: int, equal_rows_are_one: bool = False) -> DataFrame:
+    return documents.withColumn("_row", _row()).join(covered(documents, window, equal_rows_are_one).withColumnsRenamed({"row": "_row", "spans": "_spans"}), "_row", "left")
 
 
 def repeated_words(documents: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -282,7 +283,10 @@ def repeated_words(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The same rows and columns; a text with repeated windows becomes its other words, joined by one space (empty if none is left)."""
+    """The same rows and columns; a text with repeated windows becomes its other words, joined by one space (empty if none is left).
+
+    Rows with one doc_id and one text are one document here: they lose what also stands in another one, not what they share.
+    """
     names = documents.columns
     place = names.index("text")
 
@@ -291,7 +295,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             texts = [t if not s else b" ".join(kept_words(t, s)[1]).decode() for t, s in zip(batch.column(place).to_pylist(), batch.column("_spans").to_pylist())]
             yield batch.select(names).set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return _with_spans(documents, window).select(*names, "_spans").mapInArrow(run, documents.schema)
+    return _with_spans(documents, window, equal_rows_are_one=True).select(*names, "_spans").mapInArrow(run, documents.schema)
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,20 @@ def test_run_writes_and_rereads_every_stage(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_row_of_each_group_goes_through(spark):
+    """Repeated rows and copies without an id neither stay beside their document nor take its text away."""
+    long = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"]
+    given = [(1, long[0], "en"), (1, long[0], "en"), (2, long[1], "en"), (None, long[1], "en"), (None, long[1].upper(), "en"), (None, long[2], "en"), (None, long[2], "en"),
+             (None, long[2] + " more", "en"), (4, long[3], "en"), (5, long[3] + " end", "en"), (5, long[4], "en"), (4, long[4] + " end", "en"), (None, long[5], "en"), (None, "-", "en"), (None, "", "en")]
+    docs = corpus_pipeline.drop_near_duplicates(spark, documents(spark, given), "")
+    got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=repr)
+    (third,) = {t for i, t in got if i is None and t.startswith("c")}
+    want = [(1, long[0]), (1, long[0]), (2, long[1]), (None, third), (4, long[3]), (4, long[4] + " end"), (None, long[5]), (None, "-"), (None, "")]
+    assert got == sorted(want, key=repr) and third in (long[2], long[2] + " more")
+    after = corpus_pipeline.cut_repeats(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in after.collect()), key=repr) == got
+    both = documents(spark, [(1, long[0], "en"), (1, long[0], "en"), (2, long[0] + " own", "en"), (3, long[1], "en"), (3, long[1], "en")])
+    cut = sorted((r.doc_id, r.text) for r in corpus_pipeline.cut_repeats(spark, both, "").collect())
+    assert cut == [(1, ""), (1, ""), (2, "own"), (3, long[1]), (3, long[1])]
