@@ -38,9 +38,18 @@ def _tokenizer(path: str) -> tuple:
     return _state[path]
 
 
-def folded(text: str) -> str:
-    """Lower case where that is what the tokenizer does itself: its rule for U+0130 and U+03A3 is another one."""
-    return text if "\u0130" in text or "\u03a3" in text else text.lower()
+def parts_of(text: str) -> list[str]:
+    """The parts between spaces and line feeds; in lower case, to meet fewer, where the ids are certainly the same.
+
+    That is ASCII that can't hold a special token, which is matched in its own case. Other letters are composed
+    before the tokenizer lower-cases them.
+    """
+    if text.isascii() and "<|" not in text:
+        return text.lower().replace("\n", " ").split(" ")
+    raw = text.replace("\n", " ").split(" ")
+    if "<|" in text:
+        return [p.lower() if p.isascii() and "<|" not in p else p for p in raw]
+    return [a if b.isascii() else b for a, b in zip(text.lower().replace("\n", " ").split(" "), raw)]
 
 
 def _learn(new: set[str], path: str) -> None:
@@ -61,7 +70,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
     between spaces and line feeds, and each distinct part is tokenized once.
     """
     known = _tokenizer(path)[1]
-    parts = [[] if t is None else folded(t).replace("\n", " ").split(" ") for t in texts]
+    parts = [[] if t is None else parts_of(t) for t in texts]
     met = set().union(*parts)
     if len(known) > CACHE_WORDS:
         frequent = {w: known[w] for w in met.intersection(known)}

@@ -27,6 +27,16 @@ def test_ids_of_words_and_signs_equal_library():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_capitals_equal_library():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    lib, rnd = Tokenizer.from_file(path), random.Random(10)
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|> B <|startoftext|>C", "H\u0331 T\u0308 J\u030c É E\u0301. W\u030a, A\u030aB", "ÉTÉ K İ. ΟΔΟΣ ẞ HELLO, World.", "<| ENDOFTEXT |> <|X", "H\u0331<|ENDOFTEXT|>."]
+    letters = "aBcDeHJTWYéÉÜßÆİΣςKŐǅ.,'<|>\u0301\u0308\u030a\u030c\u0331"
+    texts += ["".join(rnd.choices(letters + "  \n", k=rnd.randint(1, 60))) for _ in range(1500)]
+    for text, ids in zip(texts, packing.encode(texts, path)):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
 def test_bpe_equals_library():
     path = public_tokenizers.path(bpe.VOCABULARY)
     lib, own = Tokenizer.from_file(path), bpe.Codec(path)
