@@ -169,15 +169,22 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def with_language(documents: DataFrame, model: Model) -> DataFrame:
-    """The same rows and columns of documents whose text has a language: those without a letter go."""
+    """The same rows and columns of documents whose text has a language: those without a letter go.
+
+    Without anything to learn from no language is known, and that says nothing about a text: all with a letter stay.
+    """
     place = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text", SLICE):
                 some = batch.slice(lo, hi - lo)
-                language = model.predict(some.column(place).to_pylist())[0]
-                yield some.filter(pa.array([x != UNKNOWN for x in language], pa.bool_()))
+                texts = some.column(place).to_pylist()
+                if model.languages:
+                    stays = [x != UNKNOWN for x in model.predict(texts)[0]]
+                else:
+                    stays = [any(map(str.isalpha, t or "")) for t in texts]
+                yield some.filter(pa.array(stays, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 

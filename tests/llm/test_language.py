@@ -48,6 +48,13 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(df, one).collect()} == {"bb"}
 
 
+def test_texts_stay_where_nothing_could_be_learned(spark):
+    rows = [(1, "some words", None), (2, "é", None), (3, "12 --", None), (4, None, None), (None, "x1", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.with_language(df, language.train(df)).collect()
+    assert sorted(r.text for r in got) == ["some words", "x1", "é"]
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 7, 8, 40):
         code = language.codewords(n)
