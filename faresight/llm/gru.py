@@ -125,7 +125,7 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
 
 
 class Trainer:
-    """Adam on the sum of the gradients of at least UPDATE_TOKENS tokens."""
+    """Adam on the sum of the gradients of at least UPDATE_TOKENS tokens; ``finish`` takes in what is left."""
 
     def __init__(self, parameters: Parameters) -> None:
         self.p = {k: v.copy() for k, v in parameters.items()}
@@ -138,6 +138,10 @@ class Trainer:
         for inputs, targets, alive in _windows(documents) if documents else ():
             h = self._window(inputs, targets, alive, h[:inputs.shape[1]])
 
+    def finish(self) -> None:
+        if self.tokens:
+            self._update()
+
     def _window(self, inputs: np.ndarray, targets: np.ndarray, alive: np.ndarray, h: np.ndarray) -> np.ndarray:
         p, g, kept = self.p, self.grads, []
         states = _run(p, p["embed"] @ p["w"] + p["b"], inputs, alive, h, kept)

@@ -9,8 +9,7 @@ so that the chances of all words add up to one.
 The recurrent model is trained in rounds. In each, every trainer task starts from the same parameters and
 learns from its documents by truncated backpropagation; the mean of the trainers' parameters starts
 the next round. Their number follows the number of tokens, so training grows with the corpus and no
-task with it. Of the documents to learn from, one in TRAIN_ONE_IN (by hash, whole) trains the network;
-all of them are counted.
+task with it. Every document to learn from trains the network in one of the rounds (by hash, whole).
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from faresight.llm.components import stored
 from faresight.llm.text import mix, slices, word_hashes, words_of
 
 HEAD, VOCABULARY = 131_072, 2_048             # words that every task knows the count of, and those the network knows
-TRAIN_ONE_IN, ROUNDS, TRAINER_TOKENS = 16, 2, 1_000_000
+TRAIN_ONE_IN, ROUNDS, TRAINER_TOKENS = 1, 2, 1_000_000
 SCORE_BYTES, TRAIN_BYTES = 16 << 20, 2 << 20  # texts that run side by side
 EDGE = int(mix(np.array([0xE0D], np.uint64))[0])                         # stands for the end token among word hashes
 
@@ -101,7 +100,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def train(documents: DataFrame, vocab: Vocabulary) -> gru.Parameters:
-    """The network after ROUNDS rounds over its share of ``documents``; the driver gets one mean for each parameter."""
+    """The network after ROUNDS rounds over all ``documents``, each of them in one; the driver gets one mean for each parameter."""
     p = gru.start(vocab.by_id)
     like = {k: np.zeros_like(v) for k, v in p.items()}
     spread = F.xxhash64(F.lit("train"), "doc_id", "text")
@@ -118,6 +117,7 @@ def train(documents: DataFrame, vocab: Vocabulary) -> gru.Parameters:
                     trainer.learn(np.split(ids, first[1:-1]))
                     seen += len(ids)
             if seen:
+                trainer.finish()
                 w = gru.flat(trainer.p)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w.astype(float) * seen), pa.array(np.full(len(w), seen))], names=["i", "w", "n"])
 

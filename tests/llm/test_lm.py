@@ -85,6 +85,15 @@ def test_training_reaches_the_scores(spark, monkeypatch):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+@pytest.mark.parametrize("doc_id", [1, 2, 3])
+def test_every_document_trains_the_network(spark, doc_id):
+    """Whichever document it is, and however few tokens it has."""
+    df = spark.createDataFrame([(doc_id, "one two three one two")], "doc_id long, text string")
+    vocab = lm.vocabulary(lm.word_counts(df))
+    before, after = gru.start(vocab.by_id), lm.train(df, vocab)
+    assert any((before[k] != after[k]).any() for k in before)
+
+
 def test_odd_rows(spark, small):
     rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (3, "x " * 40_000), (4, "unseen"), (16, "unseen Unseen"), (None, None)]
     got = scored(spark, rows)
