@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faresight.llm import bpe, chat, language, lm, neardup, packing, quality, search, secrets, substring
+from faresight.llm import alignment, bpe, chat, decontamination, language, lm, neardup, packing, quality, resampling, search, secrets, substring
 
 QUERIES = {
     "op1_search": search.op1_search,
@@ -15,6 +15,10 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_lm": lm.op9_lm,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_decontamination": decontamination.op11_decontamination,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_resampling": resampling.op13_resampling,
 }
 
-ORACLE = {"op1_search": search.ORACLE_SQL, "op10_chat_formatting": chat.ORACLE_SQL}
+ORACLE = {"op1_search": search.ORACLE_SQL, "op10_chat_formatting": chat.ORACLE_SQL, "op11_decontamination": decontamination.ORACLE_SQL,
+          "op13_resampling": resampling.ORACLE_SQL}

@@ -4,7 +4,7 @@ import sys
 
 import __spark_entry__ as entry
 
-NAMES = {f"op{n}_" for n in range(1, 11)}
+NAMES = {f"op{n}_" for n in range(1, 14)}
 
 
 def test_a_query_for_each_operator():
