@@ -77,6 +77,33 @@ def business_date(ts_utc, zone: str = BUSINESS_ZONE) -> Column:
     return local_date(_col(ts_utc) + F.expr("INTERVAL 1 DAY"), zone)
 
 
+#: A date, or a date and a time of day to the microsecond, with ``Z``, an offset, or neither.
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?(?:Z|[+-]\d{2}:?\d{2})?$"
+_CLOCK = r"^\d{4}-\d{2}-\d{2}[T ]"
+
+
+def instant_of_text(text) -> Column:
+    """ISO 8601 text -> the instant as a UTC ``timestamp_ntz``; null for what is no such text, or no such day or time.
+
+    ``Z`` and offsets (``+09:00``, ``+0900``) are taken as written, a text without either as UTC, whatever the session's
+    time zone is. White space around the text is passed over.
+    """
+    t = F.trim(_col(text))
+    dated = F.when(t.rlike(ISO_TEXT), t)
+    # What the parser wants: a time of day with seconds, and an offset with a colon.
+    timed = F.when(dated.rlike(_CLOCK), dated).otherwise(F.concat(F.substring(dated, 1, 10), F.lit("T00:00"), F.substring(dated, 11, 6)))
+    timed = F.regexp_replace(timed, r"^(.{11}\d{2}:\d{2})(?=[Z+-]|$)", "$1:00")
+    zoned = F.when(timed.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), F.regexp_replace(timed, r"([+-]\d{2})(\d{2})$", "$1:$2")).otherwise(F.concat(timed, F.lit("Z")))
+    micros = F.unix_micros(zoned.try_cast("timestamp"))
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return epoch + F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
+def business_date_of_text(text, zone: str = BUSINESS_ZONE) -> Column:
+    """:func:`business_date` of ISO text: run dates as they come in data, null where the text is no instant."""
+    return business_date(instant_of_text(text), zone)
+
+
 def weekday_kr(d) -> Column:
     """Korean weekday name of a date, Monday first (``weekday`` is 0 for Monday)."""
     names = F.array(*[F.lit(n) for n in WEEKDAYS_KR])

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from faresight.constants import AGG_KEY, FARE_COLUMNS, FARE_KEY, RETENTION_DAYS
@@ -99,14 +98,39 @@ def upsert_partitions(current: DataFrame, changes: DataFrame, key: list[str], pa
     return upsert(current.where(touched), changes.where(touched), key)
 
 
+ARRIVAL_FILE = ("run", "epoch_id", "file_modification_time", "source_file")
+POSITIONS = 10 ** 19                          # more than any position (a long)
+
+
+def _arrival(landing: DataFrame) -> DataFrame:
+    """``landing`` with ``arrived``: one number for the order of arrival, a decimal of 38 digits.
+
+    Its high digits are the place of the row's file among all files (by run, epoch, time and path: one row for each
+    file is sorted), its low digits the row's position. Rows of a table that was landed without positions have their
+    fare there, which decides between rows that nothing else tells apart.
+    """
+    file = F.struct(*[F.col(c) for c in ARRIVAL_FILE if c in landing.columns])
+    rows = landing.withColumn("_file", file)
+    files = rows.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")))
+    position = F.coalesce(F.col("position").cast("decimal(19,0)"), F.col("adult_fare").cast("decimal(19,0)") + F.lit(1 << 31), F.lit(0).cast("decimal(19,0)"))
+    arrived = (F.col("_rank").cast("decimal(18,0)") * F.lit(str(POSITIONS)).cast("decimal(20,0)") + position).cast("decimal(38,0)")
+    return rows.join(files, "_file").withColumn("arrived", arrived)
+
+
 def fare_latest(landing: DataFrame) -> DataFrame:
     """Landing rows reduced to the last-written row per fare key: highest batch id, then last to arrive, then fare.
 
-    Rows that the stream landed carry the order of their arrival, which decides where the files have no batch id.
+    Rows that the stream landed carry the order of their arrival, which decides where the files have no batch id. It is
+    ranked into one number first, so that the aggregates keep buffers of fixed size and stay hash aggregates:
+    the last to arrive by key and batch, then the highest batch by key.
     """
-    arrival = [c for c in ("run", "epoch_id", "file_modification_time", "source_file", "position") if c in landing.columns]
-    return latest_per_key(landing.select("batch_id", *arrival, *FARE_COLUMNS), list(FARE_KEY),
-                          ["batch_id", *arrival, "adult_fare"]).select(*FARE_COLUMNS)
+    if "position" not in landing.columns:
+        return latest_per_key(landing.select("batch_id", *FARE_COLUMNS), list(FARE_KEY), ["batch_id", "adult_fare"]).select(*FARE_COLUMNS)
+    keyed = landing.where(_complete(list(FARE_KEY)))
+    best = _arrival(keyed).withColumn("batch_id", F.coalesce("batch_id", F.lit(LEAST))) \
+        .groupBy(*FARE_KEY, "batch_id").agg(F.max_by("adult_fare", "arrived").alias("adult_fare")) \
+        .groupBy(*FARE_KEY).agg(F.max_by("adult_fare", "batch_id").alias("adult_fare"))
+    return best.select(*FARE_COLUMNS).unionByName(landing.where(~_complete(list(FARE_KEY))).select(*FARE_COLUMNS))
 
 
 def landing_range(landing: DataFrame, day, min_batch_id=None, max_batch_id=None) -> DataFrame:
@@ -143,23 +167,16 @@ def migrate_day(fares: DataFrame, landing: DataFrame, day) -> DataFrame:
 def keep_where_not(df: DataFrame, delete_pred: Column, observation: Observation | None = None) -> DataFrame:
     """Rows a SQL ``DELETE … WHERE delete_pred`` leaves behind (null predicate = row stays).
 
-    With an ``Observation`` the removed-row count is recorded on the first action (``removed``).
+    With an ``Observation`` the first action records how many rows were ``scanned``, ``removed``, and kept because the
+    predicate is ``undecided``.
     """
     hit = null_safe_true(delete_pred)
     if observation is not None:
-        df = df.observe(observation, F.count(F.when(hit, 1)).alias("removed"),
-                        F.count(F.lit(1)).alias("scanned"))
+        df = df.observe(observation, F.count(F.when(hit, 1)).alias("removed"), F.count(F.lit(1)).alias("scanned"),
+                        F.count(F.when(delete_pred.isNull(), 1)).alias("undecided"))
     return df.where(~hit)
 
 
-def observed(observation: Observation, name: str) -> int:
-    """A count that an action has recorded; 0 where Spark found the plan to be empty and so recorded none."""
-    try:
-        return int(observation.get[name])
-    except Py4JJavaError:
-        return 0
-
-
 def delete_departed(flights: DataFrame, day, zone: str = "Asia/Seoul",
                     observation: Observation | None = None) -> DataFrame:
     """Flights left after deleting those departing within the local day ``day`` (all routes)."""

@@ -9,7 +9,8 @@ document — no fare, or not on a listed route — are counted and reported).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ class ArchiveResult:
     archived: int
     removed: int
     removed_unarchived: int
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def build_documents(flights: DataFrame, airports: DataFrame, fares: DataFrame, layovers: DataFrame,
@@ -37,11 +39,17 @@ def build_documents(flights: DataFrame, airports: DataFrame, fares: DataFrame, l
 
 def run_archive(spark: SparkSession, flights: DataFrame, airports: DataFrame, fares: DataFrame,
                 layovers: DataFrame, routes: DataFrame, day: str | dt.date, archive_path: str, flights_path: str,
-                zone: str = BUSINESS_ZONE) -> ArchiveResult:
-    """Write the day's documents, then the flight table without that day's departures to ``flights_path``."""
-    written, removed = Observation("documents"), Observation("expired_delete")
+                zone: str = BUSINESS_ZONE, step: Callable[[str], None] | None = None) -> ArchiveResult:
+    """Write the day's documents, then the flight table without that day's departures to ``flights_path``.
+
+    Run again after an interruption it writes the documents anew (their folders are replaced) and finishes the
+    flight table where it was (:func:`faresight.sources.sinks.publish_snapshot`), with the same counts:
+    documents, and flights scanned, removed, undecided (no departure) and kept, each counted in the plan that writes.
+    """
+    documents, scanned, kept = Observation("documents"), Observation("flights"), Observation("kept")
     docs = build_documents(flights, airports, fares, layovers, routes, day, 1, zone)
-    sinks.write_archive(docs.observe(written, F.count(F.lit(1)).alias("n")), archive_path)
-    sinks.write_snapshot(merge.delete_departed(flights, day, zone, observation=removed), flights_path)
-    archived, gone = merge.observed(written, "n"), merge.observed(removed, "removed")
-    return ArchiveResult(archive_path, flights_path, archived, gone, gone - archived)
+    sinks.write_archive(docs, archive_path, documents)
+    left = merge.delete_departed(flights, day, zone, observation=scanned).observe(kept, F.count(F.lit(1)).alias("kept"))
+    counts = {"documents": 0, "scanned": 0, "removed": 0, "undecided": 0, "kept": 0} | sinks.observed(documents) \
+        | sinks.publish_snapshot(left, flights_path, str(day), [scanned, kept], step)
+    return ArchiveResult(archive_path, flights_path, counts["documents"], counts["removed"], counts["removed"] - counts["documents"], counts)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from faresight.constants import AGG_COLUMNS, FARE_COLUMNS
 from faresight.functions.time import business_date as business_date_col
+from faresight.functions.time import business_date_of_text
 from faresight.operators import aggregate, archive, merge
 from faresight.operators.routes import routes as build_routes
 from faresight.session import scratch_path
@@ -217,6 +218,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+class _Lost(Exception):
+    """Stands for a driver that is lost between two steps of a job."""
+
+
+def _until(step: str, times: int = 1):
+    """Fails at the ``times``-th time that ``step`` is done."""
+    seen = []
+
+    def hear(name):
+        seen.append(name)
+        if name == step and seen.count(step) == times:
+            raise _Lost(step)
+    return hear
+
+
 # --- sinks and streaming ------------------------------------------------------------------------
 
 def _written_archive(spark, base) -> tuple[str, T.StructType]:
@@ -229,10 +245,8 @@ def _written_archive(spark, base) -> tuple[str, T.StructType]:
     return path, docs.drop(*sinks.PARTS).schema
 
 
-def q_archive_sink(spark, base):
-    """Write the archive documents, read them back, and list every field: a row for each option and day."""
-    from faresight.sources import sinks
-    back = sinks.read_archive(spark, *_written_archive(spark, base))
+def _document_rows(back: DataFrame) -> DataFrame:
+    """Every field of documents: a row for each option and day."""
     names = {"dep_utc": "depart_time(utc)", "dep_local": "depart_time(dep)", "arr_utc": "arrival_time(utc)", "arr_local": "arrival_time(arr)",
              "dep_code": "depart_airport", "arr_code": "arrival_airport", "layover": "is_layover", "journey": "journey_time"}
     leg = lambda x: F.concat_ws("|", *[F.coalesce(x[c].cast("string"), F.lit("null")) for c in (
@@ -242,6 +256,50 @@ def q_archive_sink(spark, base):
     return _option_days(flat, "air_id", "route_key", "window_date", *names, "legs")
 
 
+def q_archive_sink(spark, base):
+    """Write the archive documents, read them back, and list every field: a row for each option and day."""
+    from faresight.sources import sinks
+    return _document_rows(sinks.read_archive(spark, *_written_archive(spark, base)))
+
+
+def q_route_documents(spark, base):
+    """Write one document for each route and day (twice: the second run replaces the files), read them back, and list every field."""
+    from faresight.sources import sinks
+    t, fw, _ = _expired(spark, base)
+    docs = archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights)
+    path = scratch_path(spark, "route-documents")
+    for rows in (docs.where("air_id LIKE '%7'"), docs):
+        sinks.write_route_documents(rows, path)
+    back = sinks.read_route_documents(spark, path, docs)
+    flights = back.select("route_key", "window_date", "prices", "layover_info", F.explode("flights").alias("air_id", "flight"))
+    return _document_rows(flights.select("route_key", "window_date", "air_id", "flight", F.col("prices")[F.col("air_id")].alias("prices"),
+                                         F.col("layover_info")[F.col("air_id")].alias("layover_info")))
+
+
+def q_layover_listing(spark, base):
+    """The legs written in order (flight, then place in the journey) and read back with the position of each in the files."""
+    from faresight.sources import sinks
+    t, fw, _ = _expired(spark, base)
+    legs = archive.layover_segments(t.layovers, archive.archived_flights(fw, t.fares), t.flights, t.airports)
+    path = scratch_path(spark, "listing")
+    sinks.write_listing(legs, path, ["air_id", "layover_order"])
+    return sinks.read_listing(spark, path, ["air_id", "layover_order", "segment_id"])
+
+
+#: Texts of an event's instant as data has them: by event_id % 8, bad ones and none at all among them.
+def _instant_texts(ts):
+    iso = lambda t, zone="", between="T": F.concat(F.date_format(t, "yyyy-MM-dd"), F.lit(between), F.date_format(t, "HH:mm:ss"), F.lit(zone))
+    seoul, delhi = (F.convert_timezone(F.lit("UTC"), F.lit(z), ts) for z in ("Asia/Seoul", "Asia/Kolkata"))
+    return [iso(ts, "Z"), iso(seoul, "+09:00"), iso(delhi, "+0530", " "), iso(ts), F.date_format(ts, "yyyy-MM-dd"), F.concat(F.date_format(ts, "yyyy-MM"), F.lit("-32T00:00:00Z")),
+            F.lit("n/a"), F.lit(None).cast("string")]
+
+
+def q_business_date_text(spark, base):
+    """Run dates of instants that are ISO text in several forms."""
+    ev = read_table(spark, base, "events", ["event_id", "ts"])
+    text = F.element_at(F.array(*_instant_texts(F.col("ts"))), (F.col("event_id") % 8 + 1).cast("int"))
+    return ev.select("event_id", business_date_of_text(text).alias("business_date"))
+
 def q_archive_text(spark, base):
     """The written lines themselves: fields in order, and nulls written out rather than left away."""
     line = F.col("value")
@@ -268,6 +326,55 @@ def q_stream_ingest(spark, base):
         "batch_id", "air_id", "seat_class", "agt_code", "adult_fare", "fetched_date", "fare_class")
 
 
+def _landing_columns(spark, path):
+    from faresight.streaming import ingest
+    return ingest.read_landing(spark, path).select("batch_id", "air_id", "seat_class", "agt_code", "adult_fare", "fetched_date", "fare_class")
+
+
+def q_stream_idle_stop(spark, base):
+    """A processing-time run that stops itself: files are there when it starts, others come while it runs, then none. What it landed."""
+    from faresight.streaming import ingest
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "idle")
+    src = f"{root}/source/{D}/international"
+    late = F.col("batch_id") % 3 == 0
+    t.landing.where(~late).write.option("maxRecordsPerFile", 20_000).json(src)
+    query = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/checkpoint/{D}", f"{root}/rejects", trigger="1 second",
+                                idle_event_seconds=0.5)
+    t.landing.where(late).write.mode("append").option("maxRecordsPerFile", 20_000).json(src)
+    ingest.run_until_idle(query, idle_seconds=4, max_seconds=600, spark=spark)
+    return _landing_columns(spark, f"{root}/landing")
+
+
+def q_stream_restart(spark, base):
+    """A run that fails after its second epoch is written and before it is committed, and one more that goes on from the checkpoint:
+    what is landed, and how many epochs were written and committed."""
+    from pyspark.errors import StreamingQueryException
+
+    from faresight.streaming import ingest
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "restart")
+    src, written = f"{root}/source/{D}/international", []
+    t.landing.repartition(5).write.json(src)
+
+    def lose_second(epoch):
+        written.append(epoch)
+        if written == [0, 1]:
+            raise _Lost("between write and commit")
+
+    for attempt in (1, 2):
+        query = ingest.start_ingest(ingest.read_fare_stream(spark, src, max_files=2), f"{root}/landing", f"{root}/checkpoint/{D}", f"{root}/rejects",
+                                    available_now=True, after_write=lose_second)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if attempt == 2:
+                raise
+    rows = ingest.read_landing(spark, f"{root}/landing")
+    return rows.select("batch_id", "air_id", "seat_class", "agt_code", "adult_fare", "fetched_date", "fare_class",
+                       F.lit(",".join(map(str, written))).alias("epochs_written"), F.col("epoch_id").between(0, 2).alias("committed"))
+
+
 def q_landing_lifecycle(spark, base):
     """Two ingest runs into one landing table (the second brings late rows of the first's dates), then migration and purge of the
     run date on the stored tables: what is left in landing, the fare table, and the counts that the steps report."""
@@ -294,7 +401,94 @@ def q_landing_lifecycle(spark, base):
     return left.unionByName(fares).unionByName(counts)
 
 
+def q_landing_race(spark, base):
+    """Ingest goes on while the daily merge runs: one more epoch of the run date lands between migration and purge, and another purge
+    follows. What is left in landing, the fare table, and the counts that the steps report."""
+    from faresight.plans import merge_job
+    from faresight.streaming import ingest
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "race")
+    stored = merge_job.Tables(*[f"{root}/{n}" for n in ("airports", "flights", "fares", "landing", "agg")])
+    t.fares.write.partitionBy("fetched_date").parquet(stored.fares)
+    late = F.col("batch_id") % 5 == 2
+    src = f"{root}/source/{D}/international"
+
+    def land(rows):
+        rows.write.mode("append").json(src)
+        ingest.start_ingest(ingest.read_fare_stream(spark, src), stored.landing, f"{root}/checkpoint/{D}", f"{root}/rejects", available_now=True).awaitTermination()
+
+    land(t.landing.where(~late))
+    _, upserted = merge_job.migrate(spark, stored, D)
+    land(t.landing.where(late))
+    counts = {"upserted": upserted, "purged": merge_job.purge(spark, stored, D)[1], "purged again": merge_job.purge(spark, stored, D)[1]}
+    columns = ["batch_id", *FARE_COLUMNS]
+    left = ingest.read_landing(spark, stored.landing).select(F.lit("landing").alias("part"), *columns)
+    fares = spark.read.schema(left.select(*FARE_COLUMNS).schema).parquet(stored.fares) \
+        .select(F.lit("fares").alias("part"), F.lit(None).cast("bigint").alias("batch_id"), *FARE_COLUMNS)
+    said = spark.createDataFrame(list(counts.items()), "part string, batch_id bigint") \
+        .select("*", *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in FARE_COLUMNS])
+    return left.unionByName(fares).unionByName(said)
+
+
+def q_expired_delete_resumed(spark, base):
+    """The flight delete, interrupted after each of its steps and run again: the table that is then there, for each, and a run that
+    finds all done."""
+    from pyspark.sql import Observation
+
+    from faresight.sources import sinks
+    flights = fixtures.load(spark, base).flights.coalesce(3)
+    out = None
+    for step, times in (("written", 1), ("noted", 1), ("moved", 1), ("moved", 2), ("marked", 1)):
+        path = f"{scratch_path(spark, 'resumed')}/flights"
+        counts = []
+        for fails in (True, False, False):
+            seen = Observation()
+            left = merge.delete_departed(flights, D, observation=seen)
+            try:
+                counts.append(sinks.publish_snapshot(left, path, D, [seen], _until(step, times) if fails else None))
+            except _Lost:
+                pass
+        same = counts[0] == counts[1]
+        rows = spark.read.parquet(path).select(F.lit(f"{step} {times}").alias("interrupted"), F.lit(counts[0]["removed"]).cast("bigint").alias("removed"),
+                                               F.lit(same).alias("same_counts"), *flights.columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_job_counts(spark, base):
+    """What the archive, the flight delete, the retention and the landing purge of the run date say they wrote and removed. Every
+    job is run a second time, the flight delete after an interruption."""
+    from faresight.plans import archive_job, merge_job
+    t = fixtures.load(spark, base)
+    root = scratch_path(spark, "counts")
+    said = []
+    for attempt in (1, 2):
+        try:
+            job = archive_job.run_archive(spark, t.flights, t.airports, t.fares, t.layovers, fixture_routes(spark, base, t.airports), D, f"{root}/archive",
+                                          f"{root}/flights-next", step=_until("noted") if attempt == 1 else None)
+            said += [("archive", name, n) for name, n in job.counts.items()] + [("archive", "removed unarchived", job.removed_unarchived)]
+        except _Lost:
+            pass
+    stored = merge_job.Tables(*[f"{root}/{n}" for n in ("airports", "flights", "fares", "landing", "agg")])
+    t.airports.write.parquet(stored.airports)
+    t.flights.write.parquet(stored.flights)
+    for rows, path in ((t.fares, stored.fares), (t.landing, stored.landing), (aggregate.fare_daily_agg(t.fares, t.flights, t.airports), stored.agg)):
+        rows.write.partitionBy("fetched_date").parquet(path)
+    for attempt in (1, 2):
+        counts = merge_job.run_daily_merge(spark, stored, D).counts
+        said += [(f"merge {attempt}", name, counts[name]) for name in ("agg_upserted", "agg_removed", "fare_upserted", "landing_removed")]
+    return spark.createDataFrame(said, "job string, counted string, n bigint")
+
+
 QUERIES["archive_sink"] = q_archive_sink
 QUERIES["archive_text"] = q_archive_text
 QUERIES["stream_ingest"] = q_stream_ingest
 QUERIES["landing_lifecycle"] = q_landing_lifecycle
+QUERIES["landing_race"] = q_landing_race
+QUERIES["expired_delete_resumed"] = q_expired_delete_resumed
+QUERIES["job_counts"] = q_job_counts
+QUERIES["route_documents"] = q_route_documents
+QUERIES["layover_listing"] = q_layover_listing
+QUERIES["business_date_text"] = q_business_date_text
+QUERIES["stream_idle_stop"] = q_stream_idle_stop
+QUERIES["stream_restart"] = q_stream_restart

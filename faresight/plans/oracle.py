@@ -203,6 +203,10 @@ def _fare_upsert_sql(where: str) -> str:
     return with_views(_MIGRATED, [(_LATEST[0], _LATEST[1].format(where=where))])
 
 
+_DEPARTED = ("departed", """
+    SELECT air_id FROM flight_info
+    WHERE depart_timestamp >= TIMESTAMP '2024-01-27 15:00:00' AND depart_timestamp < TIMESTAMP '2024-01-28 15:00:00'""")
+
 _BOUNDS_WHERE = f"""WHERE batch_id BETWEEN
     (SELECT min(batch_id) FROM temp_fare_info WHERE fetched_date = DATE '{D}')
     AND (SELECT max(batch_id) FROM temp_fare_info WHERE fetched_date = DATE '{D}')"""
@@ -301,4 +305,41 @@ ORACLE: dict[str, str] = {
     UNION ALL SELECT 'upserted', (SELECT count(*) FROM latest), NULL, NULL, NULL, NULL, NULL, NULL
     UNION ALL SELECT 'purged', (SELECT count(*) FROM temp_fare_info WHERE fetched_date = DATE '{D}'), NULL, NULL, NULL, NULL, NULL, NULL""",
         [(_LATEST[0], _LATEST[1].format(where=_BOUNDS_WHERE)), ("migrated", _MIGRATED)]),
+    # One row in five lands after the migration, whose bounds are those of the rows that it saw.
+    "landing_race": with_views(f"""
+    SELECT 'landing' AS part, batch_id, air_id, seat_class, agt_code, adult_fare, fetched_date, fare_class
+    FROM temp_fare_info WHERE fetched_date IS DISTINCT FROM DATE '{D}' OR batch_id % 5 = 2
+    UNION ALL SELECT 'fares', NULL, * FROM migrated
+    UNION ALL SELECT 'upserted', (SELECT count(*) FROM latest), NULL, NULL, NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'purged', (SELECT count(*) FROM early WHERE fetched_date = DATE '{D}'), NULL, NULL, NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'purged again', 0, NULL, NULL, NULL, NULL, NULL, NULL""",
+        [("early", "SELECT * FROM temp_fare_info WHERE batch_id % 5 <> 2"),
+         (_LATEST[0], _LATEST[1].replace("temp_fare_info", "early").format(where=_BOUNDS_WHERE.replace("temp_fare_info", "early"))), ("migrated", _MIGRATED)]),
+    "expired_delete_resumed": with_views("""
+    SELECT s.interrupted, (SELECT count(*) FROM departed) AS removed, true AS same_counts, f.*
+    FROM (SELECT * FROM flight_info f ANTI JOIN departed d ON d.air_id = f.air_id) f,
+         (VALUES ('written 1'), ('noted 1'), ('moved 1'), ('moved 2'), ('marked 1')) s(interrupted)""", [_DEPARTED]),
+    # The second merge finds no landing rows of the run date, so it aggregates, migrates and removes nothing more.
+    "job_counts": with_views(f"""
+    SELECT * FROM (
+    SELECT 'archive' AS job, unnest(['documents', 'scanned', 'removed', 'undecided', 'kept', 'removed unarchived']) AS counted,
+           unnest([documents, scanned, removed, 0, scanned - removed, removed - documents]) AS n
+    FROM (SELECT (SELECT count(*) FROM flight_info) AS scanned, (SELECT count(*) FROM departed) AS removed,
+                 (SELECT count(DISTINCT e.air_id) FROM expired e SEMI JOIN departed d ON d.air_id = e.air_id) AS documents)
+    UNION ALL SELECT 'merge 1', 'agg_upserted', (SELECT count(*) FROM agg_new)
+    UNION ALL SELECT 'merge 1', 'agg_removed', (SELECT count(*) FROM upserted WHERE fetched_date <= DATE '{D}' - INTERVAL 2 DAY)
+    UNION ALL SELECT 'merge 1', 'fare_upserted', (SELECT count(*) FROM latest)
+    UNION ALL SELECT 'merge 1', 'landing_removed', (SELECT count(*) FROM temp_fare_info WHERE fetched_date = DATE '{D}')
+    UNION ALL SELECT 'merge 2', unnest(['agg_upserted', 'agg_removed', 'fare_upserted', 'landing_removed']), 0)""", [
+        _DEPARTED, _EXPIRED, ("agg_current", _agg_sql("fare_info", "")), ("agg_new", _agg_sql("temp_fare_info", f"WHERE fetched_date = DATE '{D}'")),
+        _UPSERTED, (_LATEST[0], _LATEST[1].format(where=_BOUNDS_WHERE))]),
+    "layover_listing": with_views("""
+    SELECT row_number() OVER (ORDER BY air_id, layover_order) AS position, air_id, layover_order, segment_id FROM legs""", [_EXPIRED, _KNOWN, _LEGS]),
+    "business_date_text": """
+    SELECT event_id, CASE WHEN event_id % 8 < 4 THEN CAST(timezone('Asia/Seoul', timezone('UTC', ts + INTERVAL 1 DAY)) AS DATE)
+                          WHEN event_id % 8 = 4 THEN CAST(ts AS DATE) + 1 END AS business_date
+    FROM events""",
+    "stream_idle_stop": with_views("SELECT * FROM temp_fare_info"),
+    "stream_restart": with_views("SELECT *, '0,1,1,2' AS epochs_written, true AS committed FROM temp_fare_info"),
 }
+ORACLE["route_documents"] = ORACLE["archive_sink"]

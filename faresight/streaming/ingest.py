@@ -13,16 +13,18 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from faresight.constants import MAX_FILES_PER_TRIGGER, TRIGGER_INTERVAL
-from faresight.operators.merge import observed
+from faresight.sources.sinks import observed
 
 CORRUPT = "_corrupt_record"
 
@@ -67,7 +69,7 @@ class Landed:
 
 
 def _landing_writer(landing_path: str, rejects_path: str, run: str, columns: list[str],
-                    partition_col: str = "fetched_date", landed: Landed | None = None):
+                    partition_col: str = "fetched_date", landed: Landed | None = None, after_write: Callable[[int], None] | None = None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         b = batch.withColumns({"run": F.lit(run), "epoch_id": F.lit(epoch_id).cast("bigint"),
                                "position": F.monotonically_increasing_id()})
@@ -86,51 +88,99 @@ def _landing_writer(landing_path: str, rejects_path: str, run: str, columns: lis
              .select(CORRUPT, "source_file", "file_modification_time", "run", "epoch_id")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run", "epoch_id").parquet(rejects_path))
-            bad = observed(rejected, "n")
+            bad = observed(rejected).get("n", 0)
             b.unpersist()
         if landed is not None:
             landed.batches += 1
-            landed.rows += observed(seen, "n")
+            landed.rows += observed(seen).get("n", 0)
             landed.rejects += bad
+        if after_write is not None:
+            after_write(epoch_id)
     return write
 
 
 def start_ingest(stream: DataFrame, landing_path: str, checkpoint: str, rejects_path: str, run: str | None = None,
                  columns: list[str] | None = None, trigger: str | None = TRIGGER_INTERVAL,
                  available_now: bool = False, name: str | None = None, partition_col: str = "fetched_date",
-                 landed: Landed | None = None) -> StreamingQuery:
+                 landed: Landed | None = None, after_write: Callable[[int], None] | None = None, idle_event_seconds: float = 1.0) -> StreamingQuery:
     """Start the landing query; ``available_now`` drains what is there and stops (tests, backfills).
 
     ``run`` names the run in the landing table: the run date, or what else the checkpoint belongs to (its last
     path component, unless given). A new checkpoint numbers its epochs from 0 again, so it needs a
-    run of its own. Malformed lines go to ``rejects_path``. ``landed`` is filled with the true counts.
+    run of its own. Malformed lines go to ``rejects_path``. ``landed`` is filled with the true counts. ``after_write`` is called
+    with the number of each epoch when it is written and before it is committed: should it fail, the query fails, and
+    a restart replays that epoch over its own output. A query without input says so every ``idle_event_seconds`` at most.
     """
     cols = columns or [f.name for f in FARE_RECORD.fields]
     run = run or checkpoint.rstrip("/").rsplit("/", 1)[-1]
-    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, run, cols, partition_col, landed))
+    w = (stream.writeStream.foreachBatch(_landing_writer(landing_path, rejects_path, run, cols, partition_col, landed, after_write))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    return w.start()
+    conf, before = stream.sparkSession.conf, stream.sparkSession.conf.get(IDLE_EVENTS)
+    conf.set(IDLE_EVENTS, f"{int(1000 * idle_event_seconds)}ms")          # a query keeps the settings of its start
+    try:
+        return w.start()
+    finally:
+        conf.set(IDLE_EVENTS, before)
 
 
-def run_until_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: float = 5.0,
-                   max_seconds: float | None = None) -> None:
-    """Stop ``query`` once it has had no input for ``idle_seconds`` (or after ``max_seconds``).
+IDLE_EVENTS = "spark.sql.streaming.noDataProgressEventInterval"
 
-    A running batch, and data that the last look at the source found, count as input: the clock starts when a
-    trigger has found nothing more, however long the batch before it took.
+
+class IdleWatch(StreamingQueryListener):
+    """Sets ``done`` when the query of ``run_id`` has had no input for ``idle_seconds``, or has ended.
+
+    It goes by the query's own events: a batch with input reports its progress when it ends, a trigger that found
+    nothing reports that the query is idle. While a batch runs there is neither, so it is never taken for idle
+    however long it takes; the clock starts with the last batch that had input.
+    """
+
+    def __init__(self, run_id: str, idle_seconds: float, clock: Callable[[], float] = time.monotonic) -> None:
+        self.run_id, self.idle_seconds, self.clock = str(run_id), idle_seconds, clock
+        self.done, self.last_input, self.rows = threading.Event(), clock(), 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) == self.run_id:
+            if event.progress.numInputRows > 0:
+                self.last_input, self.rows = self.clock(), self.rows + event.progress.numInputRows
+            else:
+                self._idle()
+
+    def onQueryIdle(self, event) -> None:
+        if str(event.runId) == self.run_id:
+            self._idle()
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.run_id:
+            self.done.set()
+
+    def _idle(self) -> None:
+        if self.clock() - self.last_input >= self.idle_seconds:
+            self.done.set()
+
+
+def run_until_idle(query: StreamingQuery, idle_seconds: float, max_seconds: float | None = None, spark: SparkSession | None = None) -> int:
+    """Stop ``query`` once it has had no input for ``idle_seconds`` (or after ``max_seconds``); returns the rows it read meanwhile.
+
+    What the query says of itself decides (:class:`IdleWatch`), not a poll of its status. A query that fails raises here.
     """
-    started = last_input = time.monotonic()
-    while query.isActive:
-        query.awaitTermination(poll_seconds)
-        now, status = time.monotonic(), query.status
-        if status["isTriggerActive"] or status["isDataAvailable"]:
-            last_input = now
-        if now - last_input >= idle_seconds or (max_seconds and now - started >= max_seconds):
+    watch = IdleWatch(query.runId, idle_seconds)
+    streams = (spark or SparkSession.getActiveSession()).streams
+    streams.addListener(watch)
+    try:
+        if query.isActive:                    # else it ended before anyone listened
+            watch.done.wait(max_seconds)
+        if query.isActive:
             query.stop()
-            break
+        query.awaitTermination()
+    finally:
+        streams.removeListener(watch)
+    return watch.rows
 
 
 def read_landing(spark: SparkSession, landing_path: str, schema: T.StructType = FARE_RECORD) -> DataFrame:

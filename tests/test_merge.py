@@ -64,6 +64,26 @@ def test_latest_wins_plans_as_hash_aggregates(tables):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "monotonically" not in plan
 
 
+def test_latest_wins_on_landed_rows_plans_as_hash_aggregates(spark, tables):
+    from faresight.session import scratch_path
+    from faresight.streaming import ingest
+    path = scratch_path(spark, "landed")
+    landed = tables.landing.select("*", F.lit("r").alias("run"), F.lit(0).cast("bigint").alias("epoch_id"), F.lit(None).cast("timestamp").alias("file_modification_time"),
+                                   F.lit("f").alias("source_file"), F.monotonically_increasing_id().alias("position"))
+    landed.write.partitionBy("fetched_date", "run", "epoch_id").parquet(path)
+    latest = merge.fare_latest(ingest.read_landing(spark, path))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert latest.exceptAll(merge.fare_latest(tables.landing)).count() == 0 and latest.count() == merge.fare_latest(tables.landing).count()
+
+
+def test_rows_without_positions_are_told_apart_by_fare(spark):
+    """Files that landed otherwise: no run, no position; a null fare is the least."""
+    df = spark.createDataFrame([(None, "F1", "Y", "A", f, D, "F", None, None) for f in (5, 9, None, -3)], LANDING + ", run string, position bigint")
+    assert [r.adult_fare for r in merge.fare_latest(df).collect()] == [9]
+    assert [r.adult_fare for r in merge.fare_latest(df.where("adult_fare is null or adult_fare < 0")).collect()] == [-3]
+
+
 def test_order_of_arrival_decides_without_batch_ids(spark):
     rows = [(None, 10, "2024-01-28", 0, 1), (None, 20, "2024-01-28", 1, 0), (None, 15, "2024-01-28", 1, 1), (None, 12, "2024-01-27", 9, 9)]
     df = spark.createDataFrame([(b, "F1", "Y", "AGT0", fare, D, "F", run, epoch, "f", pos) for b, fare, run, epoch, pos in rows],

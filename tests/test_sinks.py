@@ -1,7 +1,9 @@
 """Region map source, archive JSON sink, partition overwrite."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from faresight.constants import REFERENCE_ARRIVAL_REGIONS, REFERENCE_DEPARTURES, REFERENCE_EXTRA_ARRIVALS
@@ -75,3 +77,82 @@ def test_ordered_leg_rows(spark, tables, oracle_count):
                                     ordered=True).select("air_id", "layover_order").collect()
     keys = [(r.air_id, r.layover_order) for r in rows]
     assert keys == sorted(keys) and len(keys) == oracle_count("layover_segments")
+
+
+def _documents(spark):
+    from faresight.operators import archive
+    from faresight.plans import catalog
+    t, fw, _ = catalog._expired(spark, "/root/testdata/sf0.001")
+    return archive.archive_documents(fw, t.airports, t.fares, t.layovers, t.flights)
+
+
+def test_route_documents_are_whole_json_files(spark):
+    path = scratch_path(spark, "route-docs")
+    docs = _documents(spark)
+    wanted = {f"{r.route_key}/{r.window_date}.json": r.n for r in docs.groupBy("route_key", "window_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sorted(sinks.write_route_documents(docs, path)) == sorted(wanted)
+    legs = 0
+    for name, n in wanted.items():
+        with open(f"{local_path(path)}/{name}", encoding="utf-8") as f:
+            text = f.read()
+        doc = json.loads(text)
+        assert list(doc) == ["flights", "prices", "layover_info"] and list(doc["flights"]) == sorted(doc["flights"]) == list(doc["prices"])
+        assert len(doc["flights"]) == n and set(doc["layover_info"]) <= set(doc["flights"]) and text.count("\n") == 2 * n + len(doc["layover_info"])
+        legs += len(doc["layover_info"])
+    assert legs and [x for x in os.listdir(local_path(path)) if x.startswith("_")] == []
+    # Another run replaces the documents that it has and leaves the others.
+    some = next(iter(wanted)).split("/")[0]
+    assert sinks.write_route_documents(docs.where(F.col("route_key") == some).limit(1), path) != []
+    assert sorted(p for p in sinks.Store(spark, path).files(path) if not p.endswith(".crc")) == sorted(wanted)
+    assert sinks.write_route_documents(docs.limit(0), scratch_path(spark, "none")) == []
+
+
+def test_a_snapshot_is_finished_and_never_mixed(spark):
+    from pyspark.sql import Observation
+    path, df = scratch_path(spark, "snap") + "/t", spark.range(10)
+    seen = Observation()
+    assert sinks.publish_snapshot(df.observe(seen, F.count(F.lit(1)).alias("n")), path, "a", [seen]) == {"n": 10}
+    assert sinks.publish_snapshot(spark.range(99), path, "a") == {"n": 10} and spark.read.parquet(path).count() == 10
+    for other in (path, scratch_path(spark, "taken")):
+        df.write.mode("append").parquet(other)
+        with pytest.raises(FileExistsError):
+            sinks.publish_snapshot(df, other, "b")
+    # Left over from a run that was lost while it wrote: written anew, with what the next run has.
+    path = scratch_path(spark, "lost") + "/t"
+    df.write.parquet(path.replace("/t", "/_t-a"))
+    assert sinks.publish_snapshot(spark.range(3), path, "a") == {} and spark.read.parquet(path).count() == 3
+    assert sinks.publish_snapshot(spark.range(0).observe(none := Observation(), F.count(F.lit(1)).alias("n")), path + "0", "a", [none]) in ({}, {"n": 0})
+
+
+def test_listing_positions_follow_the_keys_over_files(spark):
+    path = scratch_path(spark, "listing")
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit("x").alias("v"))
+    parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_listing(rows, path, ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", parts)
+    assert len([f for f in sinks.Store(spark, path).names(path) if f.endswith(".parquet")]) > 3
+    assert all(r.position == r.k + 1 for r in sinks.read_listing(spark, path, ["k"]).collect())
+
+
+def test_flights_are_selected_by_route_where_they_are_scanned(spark, tables):
+    """No exchange of flights for a bounded route list; a longer one is left to the planner."""
+    import re
+    from faresight.operators import archive
+    from faresight.operators.routes import bounded
+    from faresight.plans.catalog import fixture_routes
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fixed = archive.flights_in_window(tables.flights, fixture_routes(spark, "/root/testdata/sf0.001"))
+        many = spark.range(100).selectExpr("cast(id as string) depart_airport", "'x' arrival_airport")
+        plans = [archive.flights_in_window(tables.flights, r)._jdf.queryExecution().executedPlan().toString()
+                 for r in (fixture_routes(spark, "/root/testdata/sf0.001"), bounded(many, 100), bounded(many, 99))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert fixed.count() > 500
+    for plan in plans[:2]:
+        assert "BroadcastHashJoin" in plan and not re.search(r"Exchange hashpartitioning\(depart_airport[^\n]*\n[^\n]*FileScan parquet", plan)
+    assert "SortMergeJoin" in plans[2]

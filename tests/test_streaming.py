@@ -4,6 +4,8 @@ import datetime
 import json
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from faresight.session import scratch_path, local_path
@@ -83,7 +85,7 @@ def test_processing_time_trigger_stops_when_idle(spark, tables):
     src = _write_json_files(tables, root, 2)
     q = ingest.start_ingest(ingest.read_fare_stream(spark, src), f"{root}/landing", f"{root}/ckpt", f"{root}/rejects",
                             trigger="1 second")
-    ingest.run_until_idle(q, idle_seconds=3, poll_seconds=1, max_seconds=120)
+    assert ingest.run_until_idle(q, idle_seconds=3, max_seconds=120) <= tables.landing.count()
     assert not q.isActive
     assert ingest.read_landing(spark, f"{root}/landing").count() == tables.landing.count()
 
@@ -139,23 +141,35 @@ def test_files_without_batch_ids_are_merged_before_the_purge(spark):
 
 
 def test_a_long_batch_is_not_idle():
-    """The clock starts after the trigger that found nothing, not while a batch runs."""
-    class Query:
-        isActive, asked = True, 0
-        states = [{"isTriggerActive": True, "isDataAvailable": True}] * 5 + [{"isTriggerActive": False, "isDataAvailable": True}] * 2
-
-        def awaitTermination(self, seconds):
-            import time
-            time.sleep(seconds)
-
-        @property
-        def status(self):
-            self.asked += 1
-            return self.states[self.asked - 1] if self.asked <= 7 else {"isTriggerActive": False, "isDataAvailable": False}
-
-        def stop(self):
-            self.isActive = False
-
-    q = Query()
-    ingest.run_until_idle(q, idle_seconds=0.25, poll_seconds=0.1)
-    assert not q.isActive and q.asked >= 9
+    """The clock starts with the last batch that had input; a running batch reports nothing, another query's events don't count."""
+    from types import SimpleNamespace
+    now = [0.0]
+    watch = ingest.IdleWatch("r", 10, lambda: now[0])
+
+    def at(second, event, run="r", rows=None):
+        now[0] = second
+        event(SimpleNamespace(runId=run, progress=SimpleNamespace(runId=run, numInputRows=rows)))
+        return watch.done.is_set()
+
+    assert not at(5, watch.onQueryIdle)
+    assert not at(100, watch.onQueryProgress, rows=7)      # a batch of 95 seconds
+    assert not at(109, watch.onQueryIdle)
+    assert not at(150, watch.onQueryIdle, run="other") and not at(150, watch.onQueryTerminated, run="other")
+    assert not at(150, watch.onQueryProgress, rows=3) and watch.rows == 10
+    assert at(160, watch.onQueryIdle)
+
+
+def test_a_query_that_fails_says_so(spark, tables):
+    root = scratch_path(spark, "stream-fails")
+    src = _write_json_files(tables, root, 3)
+
+    def fail(epoch):
+        raise OSError("lost between write and commit")
+
+    q = ingest.start_ingest(ingest.read_fare_stream(spark, src, max_files=1), f"{root}/landing", f"{root}/ckpt", f"{root}/rejects", trigger="1 second", after_write=fail)
+    with pytest.raises(StreamingQueryException):
+        ingest.run_until_idle(q, idle_seconds=30, max_seconds=60)
+    before = ingest.read_landing(spark, f"{root}/landing").count()
+    assert 0 < before < tables.landing.count()
+    ingest.start_ingest(ingest.read_fare_stream(spark, src, max_files=1), f"{root}/landing", f"{root}/ckpt", f"{root}/rejects", available_now=True).awaitTermination()
+    assert ingest.read_landing(spark, f"{root}/landing").count() == tables.landing.count()

@@ -79,3 +79,23 @@ def test_jdbc_reader_requires_complete_partitioning(spark):
     from faresight.sources.tables import read_jdbc
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:postgresql://unused/db", "fare_info", partition_column="batch_id")
+
+
+def test_run_dates_of_text(spark):
+    """Offsets as written, none as UTC, in any session zone; what is no instant is null."""
+    from faresight.functions.time import business_date_of_text, instant_of_text
+    cases = {"2024-01-27T00:00:00Z": ("2024-01-27 00:00:00", "2024-01-28"), "2024-01-27T00:00:00+09:00": ("2024-01-26 15:00:00", "2024-01-28"),
+             "2024-01-26 23:59:59+0900": ("2024-01-26 14:59:59", "2024-01-27"), "2024-01-27": ("2024-01-27 00:00:00", "2024-01-28"),
+             "2024-01-27T15:00": ("2024-01-27 15:00:00", "2024-01-29"), "2024-01-27-05:30": ("2024-01-27 05:30:00", "2024-01-28"),
+             " 2024-11-03T05:30:00.5Z ": ("2024-11-03 05:30:00.500000", "2024-11-04"), "2024-11-03T06:30:00Z": ("2024-11-03 06:30:00", "2024-11-04"),
+             "2024-03-10T07:30:00Z": ("2024-03-10 07:30:00", "2024-03-11"), "1969-12-31T23:59:59Z": ("1969-12-31 23:59:59", "1970-01-02")}
+    bad = ["2024-02-30T00:00:00Z", "2024-01-27T24:00:00Z", "2024-1-5", "2024-01-27T10:00:00+19:00", "n/a", "", "now", "20240127", "2024-01-27T00:00:00 Europe/Paris"]
+    df = spark.createDataFrame([(t,) for t in [*cases, *bad, None]], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            got = {r.t: (r.i and str(r.i), r.d and str(r.d)) for r in df.select("t", instant_of_text("t").alias("i"), business_date_of_text("t").alias("d")).collect()}
+            assert got == {**cases, **{t: (None, None) for t in [*bad, None]}}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
