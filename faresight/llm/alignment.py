@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from faresight.llm.bpe import byte_characters
 from faresight.llm.components import stored
-from faresight.llm.text import slices
+from faresight.llm.text import held_by, kept, slices
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Fixed value: the byte-level vocabulary's pre-tokenizer.
@@ -43,6 +43,7 @@ COUNTED = 4 << 20                             # pairs that a task holds before i
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _NONE = np.zeros(0, np.int64)
 _aligners: dict[tuple[str, str], "Aligner"] = {}
+kept(_aligners.clear)
 
 
 def _marks(ends: np.ndarray, size: int) -> np.ndarray:
@@ -271,7 +272,7 @@ def aligned(documents: DataFrame, path_a: str, path_b: str, with_groups: bool =
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes binary, times binary" + ", groups string" * with_groups
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(held_by("alignment", run), schema)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

@@ -18,10 +18,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from faresight.llm.text import slices
+from faresight.llm.text import held_by, kept, slices
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_CHUNKS = 400_000                       # distinct chunks whose ids a worker keeps; beyond it, it starts anew
+CACHE_CHUNKS, CACHE_LETTERS = 400_000, 200   # distinct chunks whose ids a worker keeps, none longer; beyond it, it starts anew
 TREE_CELLS = 1 << 18                         # leaves of the trees that advance together
 NONE = 1 << 30                               # rank of a pair without a merge
 
@@ -33,6 +33,7 @@ CHUNK = " ?[^" + SPACE + "]+|[" + SPACE + "]+(?![^" + SPACE + "])|[" + SPACE + "
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _codecs: dict[str, "Codec"] = {}
+kept(_codecs.clear)
 
 
 def byte_characters() -> list[str]:
@@ -135,6 +136,8 @@ class Codec:
         chunks = [[self.chunks.findall(p) for p in parts[::2]] for parts in plain]
         self.learn([c for own in chunks for c in own])
         ids = [[b"".join(map(self.known.__getitem__, c)) for c in own] for own in chunks]
+        for long in [c for own in chunks for part in own for c in part if len(c) > CACHE_LETTERS]:
+            self.known.pop(long, None)
         marks = [[self.special[m].to_bytes(4, "little") for m in parts[1::2]] + [b""] for parts in plain]
         return [b"".join(chain.from_iterable(zip(a, b))) for a, b in zip(ids, marks)]
 
@@ -169,7 +172,7 @@ def encode_decode(documents: DataFrame, vocabulary: str, with_ids: bool = False)
             yield pa.RecordBatch.from_arrays([some.column("doc_id").cast(pa.int64())] + [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:1 + len(rows[0])])
 
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select("doc_id", "text").mapInArrow(held_by("bpe", run), schema)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,14 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return table.sparkSession.read.parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or a longer one that no column has (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def once(rows: DataFrame, name: str) -> DataFrame:
     """One row of ``rows`` for each value of the column ``name`` (not null). Values that occur once are not grouped."""
     again = stored(rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(name), "again")

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.components import components, stored
-from faresight.llm.text import mix, slices, word_hashes, words_of
+from faresight.llm.components import components, fresh, stored
+from faresight.llm.text import held_by, mix, slices, take_over, word_hashes, words_of
 
 COORDINATES, MISSED = 48, 1e-7
 BLOCK = 1024                                  # nodes of a long posting list, or of a family, that are compared with each other at once
@@ -84,19 +84,27 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def features(documents: DataFrame, words: int, least: int, row: Column) -> DataFrame:
-    """row, doc_id, n_shingles, node, tokens (null below ``least`` shingles: so small sets are only like their copies)."""
+    """row, doc_id, none, key, n_shingles, node, tokens (null below ``least`` shingles: so small sets are only like their copies).
+
+    none and key find a text again: its doc_id, or where it has none a hash of it, so that such texts don't meet under one key.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text", 2 << 20):
                 some = batch.slice(lo, hi - lo)
                 sets = shingle_sets(some.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("row"), some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                    [*[some.column(c) for c in ("row", "doc_id", "none", "key")], pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                      pa.array([signature(s) if len(s) >= least else None for s in sets], pa.list_(pa.int64()))],
-                    names=["row", "doc_id", "n_shingles", "node", "tokens"])
+                    names=["row", "doc_id", "none", "key", "n_shingles", "node", "tokens"])
+
+    return documents.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_found(), "text").mapInArrow(
+        held_by("neardup", run), "row long, doc_id long, none boolean, key long, n_shingles long, node long, tokens array<long>")
+
 
-    return documents.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "row long, doc_id long, n_shingles long, node long, tokens array<long>")
+def _found() -> list[Column]:
+    doc_id = F.col("doc_id").cast("long")
+    return [doc_id.isNull().alias("none"), F.coalesce(doc_id, F.xxhash64("text")).alias("key")]
 
 
 def prefixes(nodes: DataFrame, threshold: int) -> DataFrame:
@@ -128,7 +136,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, shingles of the nodes in ``wanted`` (node, rep: the doc_id of a document that has the set)."""
+    """node, shingles of the nodes in ``wanted`` (node; none, key: where a document that has the set is found)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text"):
@@ -136,9 +144,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()),
                                                   pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.join(wanted.select("rep").distinct(), rows["doc_id"].eqNullSafe(F.col("rep")), "left_semi").select("text")
-    return rows.mapInArrow(run, "node long, shingles array<long>").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    rows = documents.select(*_found(), "text").join(wanted.select("none", "key").distinct(), ["none", "key"], "left_semi").select("text")
+    return rows.mapInArrow(held_by("neardup", run), "node long, shingles array<long>").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def crossing_pairs(posted: DataFrame, families: DataFrame, nodes: DataFrame, threshold: int, percent: int) -> DataFrame:
@@ -157,6 +164,7 @@ def crossing_pairs(posted: DataFrame, families: DataFrame, nodes: DataFrame, thr
     groups = max(1, -(-named.count() // GROUP_ROWS))
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
+        take_over("neardup")
         found: list[tuple] = []
         for (_, i, j), own in rows.groupby(["token", "i", "j"], sort=False):
             if len(own) < 2 or own["root"].nunique() < 2:
@@ -210,6 +218,7 @@ def family_links(families: DataFrame, labels: DataFrame, sets: DataFrame, percen
     groups = max(1, -(-dealt.count() // GROUP_SETS))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        take_over("neardup")
         found: list[tuple] = []
         for _, part in rows.groupby(["family", "i", "j"], sort=False):
             left, right = part[part["outer"]], part[~part["outer"]]
@@ -229,7 +238,7 @@ def _rooted(documents: DataFrame, words: int, percent: int, row: Column) -> tupl
     least = next(n for n in range(1, 101) if 100 * n >= percent * (n + 1)) if percent < 100 else 1 << 62
     docs = stored(features(documents, words, least, row), "features")
     nodes = stored(docs.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
+        F.min("doc_id").alias("rep"), F.min(F.struct("none", "key")).alias("found"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
         F.max("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
     posted = stored(prefixes(nodes, threshold), "postings")
     hubs = posted.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("hub")).select("token", F.col("hub.node").alias("hub"))
@@ -238,7 +247,7 @@ def _rooted(documents: DataFrame, words: int, percent: int, row: Column) -> tupl
     families = components(star)
     pairs = stored(star.union(crossing_pairs(posted, families, nodes, threshold, percent)), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(full_sets(documents, nodes.join(wanted, "node", "left_semi").select("node", "rep"), words), "sets")
+    sets = stored(full_sets(documents, nodes.join(wanted, "node", "left_semi").select("node", "found.none", "found.key"), words), "sets")
     labels = components(confirmed(pairs, sets, percent))
     more = stored(family_links(families, labels, sets, percent).distinct(), "more-links")
     if not more.isEmpty():
@@ -266,20 +275,18 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
 
 def one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of documents, of each component only the first: by doc_id, nulls last, then by a 64-bit hash of the whole row.
+    """The rows of documents, of each component only one: the first by doc_id, nulls last.
 
-    Rows without a word are in no component and stay. Rows equal to the first one in all columns are the same
-    document: they stay with it where they have a doc_id; of those without one a single row stays.
+    Rows with equal texts, repeated rows among them, are in one component. Rows without a word (a null text is one) are in
+    none and all stay. An empty table gives an empty result. Columns may have any names and types: rows are told
+    apart by a number that they get in a written copy.
     """
-    name = F.xxhash64(*[e for c in documents.columns for e in (F.col(c).isNull(), F.col(c))])
-    docs, rooted = _rooted(documents, words, percent, name)
-    first = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    copies = docs.filter("doc_id IS NULL AND node IS NOT NULL").groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = stored(copies.join(first.filter("none"), "row", "left_semi").select(F.col("row").alias("_row")), "copies")
-    kept = first.select("row").union(docs.filter("node IS NULL").select("row").distinct()).select(F.col("row").alias("_row"))
-    rows = documents.withColumn("_row", name)
-    out = rows.join(kept.join(again, "_row", "left_anti"), "_row", "left_semi")
-    return out.unionByName(rows.filter("doc_id IS NULL").join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(*documents.columns)
+    row = fresh(documents.columns, "row")
+    rows = stored(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
+    docs, rooted = _rooted(rows, words, percent, F.col(row))
+    first = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    gone = docs.filter("node IS NOT NULL").select("row").join(first, "row", "left_anti").withColumnRenamed("row", row)
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ crosses documents and none needs padding.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,13 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faresight.llm.text import held_by, kept, slices
+
 VOCABULARY = "word_bpe_49k.json"
 MAX_LENGTH, END_ID = 4096, 2
 TOGETHER = 20_000                            # parts tokenized in one call
-CACHE_WORDS = 600_000                        # words whose ids a worker keeps; beyond it, it keeps those that it has just met again
+CACHE_WORDS, CACHE_LETTERS = 600_000, 200    # words whose ids a worker keeps, none longer; beyond it, it keeps those that it has just met again
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 _state: dict[str, tuple] = {}
+kept(_state.clear)
 
 
 def _tokenizer(path: str) -> tuple:
@@ -52,10 +56,15 @@ def parts_of(text: str) -> list[str]:
     return [a if b.isascii() else b for a, b in zip(text.lower().replace("\n", " ").split(" "), raw)]
 
 
+def stays_letter(c: str) -> bool:
+    """Whether a text that ends in ``c`` ends in a letter once it is composed and lower-cased. Some letters are taken apart and end in a mark."""
+    return c.isalpha() and (c.isascii() or unicodedata.normalize("NFC", unicodedata.normalize("NFC", c).lower())[-1].isalpha())
+
+
 def _learn(new: set[str], path: str) -> None:
     """Tokenize parts that are new. A letter is never merged with a full stop or comma: a word that one of them ends is the word and the sign."""
     tokenizer, known = _tokenizer(path)
-    ended = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha() and p[-2] != "\u0130"]  # U+0130 ends in a mark when lowered
+    ended = [p for p in new if p[-1:] in (".", ",") and len(p) > 1 and stays_letter(p[-2])]
     words = list(new.difference(ended).union(p[:-1] for p in ended).union(".,").difference(known))
     for lo in range(0, len(words), TOGETHER):
         some = words[lo:lo + TOGETHER]
@@ -76,8 +85,14 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
         frequent = {w: known[w] for w in met.intersection(known)}
         known.clear()
         known.update(frequent)
-    _learn(met.difference(known), path)
-    return [b"".join(map(known.__getitem__, p)) for p in parts]
+    new = met.difference(known)
+    _learn(new, path)
+    out = [b"".join(map(known.__getitem__, p)) for p in parts]
+    for w in new:
+        if len(w) > CACHE_LETTERS:            # with its part before a last sign
+            known.pop(w, None)
+            known.pop(w[:-1], None)
+    return out
 
 
 def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -98,7 +113,6 @@ def decompose(documents: DataFrame, vocabulary: str, longest: int = MAX_LENGTH,
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from faresight.llm.text import slices
         for batch in batches:
             for lo, hi in slices(batch, "text", 4 << 20):
                 doc_ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
@@ -115,7 +129,7 @@ def decompose(documents: DataFrame, vocabulary: str, longest: int = MAX_LENGTH,
                     [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(cols[5], pa.list_(pa.int32()))],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    pieces = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    pieces = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(held_by("packing", cut), PIECES)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.monotonically_increasing_id().alias("sequence_id"),
                          F.lit(0).cast("long").alias("offset"), F.col("length").alias("bucket"), "ids")
 

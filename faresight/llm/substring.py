@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.components import once, stored
-from faresight.llm.text import mix, slices, word_hashes, words_of
+from faresight.llm.components import fresh, once, stored
+from faresight.llm.text import held_by, mix, slices, take_over, word_hashes, words_of
 
 WINDOW, GRAM = 35, 12
 LONGEST_RUN = 24                              # windows of a segment
@@ -202,7 +202,7 @@ def _extract(wanted: DataFrame, window: int) -> DataFrame:
                 kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=fields)
 
-    return wanted.select("text", "parts").mapInArrow(run, "route long, unit long, minimizer long, name long, place int, times long, words string")
+    return wanted.select("text", "parts").mapInArrow(held_by("substring", run), "route long, unit long, minimizer long, name long, place int, times long, words string")
 
 
 def covered(documents: DataFrame, window: int = WINDOW, equal_rows_are_one: bool = False) -> DataFrame:
@@ -217,7 +217,7 @@ def covered(documents: DataFrame, window: int = WINDOW, equal_rows_are_one: bool
 
     rows = documents.select(_row().alias("row"), "text").filter("text IS NOT NULL")
     rows = once(rows, "row") if equal_rows_are_one else rows
-    cuts = rows.mapInArrow(cut, "row long, first int, size int, minimizer long, name long, again int")
+    cuts = rows.mapInArrow(held_by("substring", cut), "row long, first int, size int, minimizer long, name long, again int")
     shared = cuts.groupBy("minimizer").agg(F.sum(1 + F.col("again")).alias("n")).filter("n > 1").select("minimizer")
     found = stored(cuts.drop("again").join(shared, "minimizer"), "segments")
     distinct = found.groupBy("minimizer", "name").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "first", "size")).alias("one"))
@@ -232,6 +232,7 @@ def covered(documents: DataFrame, window: int = WINDOW, equal_rows_are_one: bool
     shards = max(1, -(-int(volume) // (6 * SHARD_WORDS)))
 
     def search(shard: pd.DataFrame) -> pd.DataFrame:
+        take_over("substring")
         one = shard.groupby(["route", "unit"], sort=False).agg({"times": "sum", "words": "first"}).reset_index()
         words = one["words"].str.split(" ")
         lengths = words.str.len().to_numpy(np.int64)
@@ -258,8 +259,10 @@ def kept_words(text: str | None, spans: list[dict] | None) -> tuple[int, list[by
     return len(words), list(compress(words, np.cumsum(edge)[:-1] == 0))
 
 
-def _with_spans(documents: DataFrame, window: int, equal_rows_are_one: bool = False) -> DataFrame:
-    return documents.withColumn("_row", _row()).join(covered(documents, window, equal_rows_are_one).withColumnsRenamed({"row": "_row", "spans": "_spans"}), "_row", "left")
+def _with_spans(documents: DataFrame, window: int, spans: str, equal_rows_are_one: bool = False) -> DataFrame:
+    row = fresh(documents.columns, "row")
+    found = covered(documents, window, equal_rows_are_one).withColumnsRenamed({"row": row, "spans": spans})
+    return documents.withColumn(row, _row()).join(found, row, "left")
 
 
 def repeated_words(documents: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -279,23 +282,26 @@ def repeated_words(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                                              names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _with_spans(own, window).select("doc_id", "text", "_spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _with_spans(own, window, "_spans").select("doc_id", "text", "_spans").mapInArrow(held_by("substring", run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """The same rows and columns; a text with repeated windows becomes its other words, joined by one space (empty if none is left).
 
     Rows with one doc_id and one text are one document here: they lose what also stands in another one, not what they share.
+    A null text stays null. An empty table gives an empty result.
     """
     names = documents.columns
-    place = names.index("text")
+    place, spans = names.index("text"), fresh(names, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if not s else b" ".join(kept_words(t, s)[1]).decode() for t, s in zip(batch.column(place).to_pylist(), batch.column("_spans").to_pylist())]
-            yield batch.select(names).set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+            for lo, hi in slices(batch, "text", 8 << 20):
+                some = batch.slice(lo, hi - lo)
+                texts = [t if not s else b" ".join(kept_words(t, s)[1]).decode() for t, s in zip(some.column(place).to_pylist(), some.column(len(names)).to_pylist())]
+                yield some.select(names).set_column(place, some.schema.field(place), pa.array(texts, some.schema.field(place).type))
 
-    return _with_spans(documents, window, equal_rows_are_one=True).select(*names, "_spans").mapInArrow(run, documents.schema)
+    return _with_spans(documents, window, spans, equal_rows_are_one=True).select(*[F.col(f"`{c}`") for c in names], spans).mapInArrow(held_by("substring", run), documents.schema)
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ bytes that occur in no other character, so words are found on the encoded bytes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,40 @@ _IS_SPACE[list(SPACES)] = True
 _BLOCK = 1 << 20                              # bytes hashed at a time
 _ODD = 0x9E3779B97F4A7C15 | 1                 # base of the polynomial; odd, so it has an inverse mod 2^64
 _tables: dict[str, np.ndarray] = {}
+_LONG_BLOCK = 8 << 20                         # powers beyond it (for a single very long word) are not kept
+_held: dict[str, list] = {"by": [""], "kept": []}
+
+
+def kept(forget: Callable[[], None]) -> None:
+    """Name what empties the tables that a module keeps in its worker."""
+    _held["kept"].append(forget)
+
+
+def take_over(name: str) -> None:
+    """A worker serves one operator after the other. The first task of another one drops what the one before has kept, and gives the memory back."""
+    if _held["by"][0] != name:
+        _held["by"][0] = name
+        for forget in _held["kept"]:
+            forget()
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def held_by(name: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, in a worker that holds nothing of other operators when it begins and no spare memory when it ends."""
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over(name)
+        yield from run(batches)
+        give_back()
+    return alone
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -68,7 +104,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             p = np.full(n, base, np.uint64)
             p[0] = 1
             _tables[name] = np.multiply.accumulate(p)
-    return _tables["byte"], _tables["up"], _tables["down"]
+    powers = _tables["byte"], _tables["up"], _tables["down"]
+    if n > _LONG_BLOCK:
+        _tables.clear()
+    return powers
+
+
+kept(_tables.clear)
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

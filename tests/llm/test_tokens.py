@@ -91,3 +91,37 @@ def test_packing_odd_tables(spark, tmp_path):
     assert packing.decompose(df.limit(0), path).count() == 0
     packing.write_buckets(packing.decompose(df, path), str(tmp_path / "b"))
     assert spark.read.parquet(str(tmp_path / "b")).count() == len(rows)
+
+
+def test_every_letter_before_a_sign_equals_library():
+    """Every code point before a full stop, a comma and a letter: letters that composition takes apart end in a mark, which the sign joins."""
+    path = public_tokenizers.path(packing.VOCABULARY)
+    lib = Tokenizer.from_file(path)
+    points = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    for lo in range(0, len(points), 40_000):
+        some = [c for c in points[lo:lo + 40_000] if c.isalpha()] + [c for c in points[lo:lo + 40_000:7] if not c.isalpha()]
+        texts = [f"{c}. x{c}, {c}a" for c in some]
+        for text, ids, e in zip(texts, packing.encode(texts, path), lib.encode_batch_fast(texts, add_special_tokens=False)):
+            assert np.frombuffer(ids, "<u4").tolist() == e.ids, text.encode("unicode_escape")
+    assert not packing.stays_letter("\u09dc") and packing.stays_letter("é") and not packing.stays_letter("İ")
+
+
+def test_long_parts_are_not_kept():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    lib = Tokenizer.from_file(path)
+    texts = ["a " + "b" * 5000 + ". c", "é" * 3000 + ", " + "d" * 201]
+    assert [np.frombuffer(i, "<u4").tolist() for i in packing.encode(texts, path)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, packing._tokenizer(path)[1])) <= packing.CACHE_LETTERS + 1
+    own = bpe.Codec(public_tokenizers.path(bpe.VOCABULARY))
+    own.encode_all(["x " + "ab" * 3000, "y " + "ab" * 3000])
+    assert max(map(len, own.known)) <= bpe.CACHE_LETTERS
+
+
+def test_another_operator_drops_what_a_worker_kept():
+    from faresight.llm import text
+    text.take_over("one")
+    packing.encode(["some words"], public_tokenizers.path(packing.VOCABULARY))
+    text.take_over("one")
+    assert packing._state
+    seen = list(text.held_by("two", lambda batches: (b for b in batches))(iter([1, 2])))
+    assert not packing._state and seen == [1, 2]
