@@ -74,3 +74,42 @@ def test_wrong_bits_are_corrected():
             model.margins = lambda texts, m=margin: (m[None] * 0.3, np.array([100]))
             names, _, unclear = model.predict(["x"])
             assert names == ["abcd"[row]] and not unclear[0]
+
+
+def noise(rnd, n):
+    return " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(n))
+
+
+def test_verdict_rejects_what_a_letter_test_would_keep(spark):
+    """Letter noise and scripts that no row teaches go; held-out documents of the languages stay, short ones too."""
+    df, _ = corpus(spark)
+    train = df.filter(~language.held_out())
+    model = language.calibrated(train, language.train(train))
+    held = [r.text for r in df.filter(language.held_out()).collect()]
+    assert model.speaks(held).mean() >= 0.99 and model.speaks([t[:40] for t in held]).mean() >= 0.97
+    rnd = random.Random(6)
+    bad = [noise(rnd, n) for n in (20, 40, 200) for _ in range(30)] + ["吾輩は猫である。名前はまだ無い。" * 4, "Съешь же ещё этих мягких французских булок " * 3]
+    assert all(any(map(str.isalpha, t)) for t in bad) and model.speaks(bad).mean() <= 0.02
+    assert not model.speaks([None, "", "12 --"]).any() and len(model.speaks([])) == 0
+    mixed = spark.createDataFrame([(i, t, {"a": 1}) for i, t in enumerate(held[:20] + bad[:20])], "doc_id long, text string, more map<string,int>")
+    got = language.with_language(mixed, model)
+    assert got.columns == mixed.columns and sorted(r.doc_id for r in got.collect()) == list(range(20))
+
+
+def test_limits_follow_all_labelled_rows(spark):
+    """Few rows of a language lean on the others' limit, and the plain distances give the same ones."""
+    df, _ = corpus(spark, 300, seed=3)
+    model = language.calibrated(df, language.train(df))
+    rows = df.collect()
+    names, _, _, best, fit = model.decode([r.text for r in rows])
+    bins = [[] for _ in model.languages]
+    for r, name, b, x in zip(rows, names, best, fit):
+        if name == r.lang:
+            bins[b].append(min(max(int(np.floor(x / language.FIT_WIDTH)), -language.FIT_BINS // 2), language.FIT_BINS // 2 - 1) * language.FIT_WIDTH)
+    every = sorted(x for own in bins for x in own)
+    for k, own in enumerate(bins):
+        weighted = sorted([(x, 1.0) for x in own] + [(x, language.FIT_PRIOR / len(every)) for x in every])
+        total = sum(w for _, w in weighted)
+        at = lambda q: next(x for i, (x, _) in enumerate(weighted) if sum(w for y, w in weighted[:i + 1]) + sum(w for y, w in weighted[i + 1:] if y == x) >= q * total - 1e-9)  # noqa: E731, B023
+        limit = at(0.5) - language.REJECTED_BEYOND * max((at(0.5) - at(0.25)) / 0.6745, language.LEAST_SPREAD)
+        assert abs(min(max(limit, language.LIMITS[0]), language.LIMITS[1]) - model.limits[k]) < 1e-6
