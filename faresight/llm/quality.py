@@ -6,13 +6,15 @@ so bad documents don't widen what counts as usual; what lies too far by Mahalano
 
 The estimate follows the published fast algorithm for many rows: each group is dealt into blocks, a block
 finds its best subset by concentration steps from several starts, the union of the blocks' subsets starts
-the group, and concentration steps over all its rows follow. A step needs each group's distances in order: rows
+the group, and concentration steps over all its rows follow. An estimate is drawn to that of the language and of the
+corpus, the more the fewer documents it rests on. A step needs each group's distances in order: rows
 are summed by distance bin, so a group of any size passes through map-side sums and meets as a bounded
 number of bins.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,22 +24,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.llm.components import stored
-from faresight.llm.text import mix, slices, word_hashes, words_of
+from faresight.llm.text import held_by, mix, slices, word_hashes, words_of
 
 SEPARATORS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-#: Statistics with the pseudo-counts that keep a short text's from straying, and the least spread taken for usual.
-FEATURES = ("log_word_length", "symbol_rate", "dup_line_share", "repeat_share")
+#: Statistics with the pseudo-counts that keep a short text's from straying, and the least spread taken for usual: what
+#: counting a page of text lets them vary by. Signs that stand alone (a table's, a list's) are text; those on words are not.
+FEATURES = ("log_word_length", "glued_symbol_rate", "dup_line_share", "repeat_share")
 PRIOR_WORDS, PRIOR_LENGTH, PRIOR_SYMBOLS, PRIOR_LINES = 100, 6.0, 100, 10
-#: A table, with a sign between any two words, is unusual and still text; signs after every word are not.
-FLOORS = np.array([0.08, 0.02, 0.06, 0.02])
+FLOORS = np.array([0.05, 0.015, 0.03, 0.04])
 SUBSET = 0.75                                 # share of a group that the estimate is made from
 BLOCK_ROWS, STARTS, STEPS = 2048, 8, 2
-MIN_GROUP = 200                               # smaller groups take their language's estimate, or else that of all
+SHRINK = 50                                   # documents that a group's language, or a language's corpus, counts for in its estimate
 BINS = 32                                     # of distance, for each doubling
-CUTOFF = 9.0                                 # rejected beyond so many robust standard deviations
-STATS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long"
+# Fixed values of the chi-squared distribution: of 4 degrees of freedom (the number of statistics), and for CONSISTENCY
+# of 6 degrees at the 0.75 quantile of 4, 5.385269: the covariance of a normal vector's nearest rows is narrower than that of all.
+CHI_LIMIT = 18.466827                         # at 0.999
+CONSISTENCY = SUBSET / 0.504572               # over the chi-squared distribution function of 6 degrees at that quantile
+CUTOFF = CHI_LIMIT ** 0.5                     # rejected beyond so many robust standard deviations
+_ALONE = re.compile(f"(?<![^{SEPARATORS}])[{re.escape(SYMBOLS)}]+(?![^{SEPARATORS}])")
+STATS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long, n_glued long, n_alone long"
 
 
 def repeated_words(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -66,29 +73,36 @@ def line_counts(text: str) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
+def symbol_counts(text: str) -> tuple[int, int, int]:
+    """Symbols, how many of them are in words with other characters, and words that are symbols alone."""
+    n = sum(map(text.count, SYMBOLS))
+    alone = [m.end() - m.start() for m in _ALONE.finditer(text)] if n else []
+    return n, n - sum(alone), len(alone)
+
+
 def statistics(documents: DataFrame) -> DataFrame:
-    """Counts over every whole text: doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words."""
+    """Counts over every whole text: doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words, n_glued, n_alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text"):
                 some = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in some.column("text").to_pylist()]
                 data, starts, ends, first = words_of(texts)
-                lines = [line_counts(t) for t in texts]
-                columns = [np.diff(first), [len(t) - sum(map(t.count, SEPARATORS)) for t in texts], [sum(map(t.count, SYMBOLS)) for t in texts],
-                           [d for _, d in lines], [n for n, _ in lines], repeated_words(word_hashes(data, starts, ends), first)]
+                lines, symbols = [line_counts(t) for t in texts], [symbol_counts(t) for t in texts]
+                columns = [np.diff(first), [len(t) - sum(map(t.count, SEPARATORS)) for t in texts], [n for n, _, _ in symbols],
+                           [d for _, d in lines], [n for n, _ in lines], repeated_words(word_hashes(data, starts, ends), first), [g for _, g, _ in symbols], [a for _, _, a in symbols]]
                 yield pa.RecordBatch.from_arrays([some.column(c) for c in ("doc_id", "lang", "source")] + [pa.array(np.asarray(c, np.int64)) for c in columns],
                                                  names=[c.split()[0] for c in STATS.split(", ")])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                             F.col("source").cast("string").alias("source"), "text")
-    return rows.mapInArrow(run, STATS)
+    return rows.mapInArrow(held_by("quality", run), STATS)
 
 
 def features() -> list[Column]:
-    words = F.col("n_words")
-    return [F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_LENGTH) / (words + PRIOR_WORDS)),
-            F.col("n_symbols") / (F.col("word_chars") + PRIOR_SYMBOLS),
+    words, alone = F.col("n_words"), F.col("n_symbols") - F.col("n_glued")
+    return [F.log((F.col("word_chars") - alone + PRIOR_WORDS * PRIOR_LENGTH) / (words - F.col("n_alone") + PRIOR_WORDS)),
+            F.col("n_glued") / (F.col("word_chars") + PRIOR_SYMBOLS),
             F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES),
             F.col("n_repeat_words") / (words + PRIOR_WORDS)]
 
@@ -99,19 +113,31 @@ def _key(level: int, *columns: str) -> Column:
 
 P = len(FEATURES)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+SUMS = [f"s{i}" for i in range(1 + P + len(PAIRS))]
 
 
 def _moments(x: np.ndarray) -> list[float]:
     return [float(len(x)), *x.sum(axis=0), *[float((x[:, i] * x[:, j]).sum()) for i, j in PAIRS]]
 
 
-def _estimate(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and covariance of what was summed, no narrower than the floors."""
+def _spread(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of what was summed."""
     n, s = max(moments[0], 1.0), moments[1:1 + P]
     mean, cov = s / n, np.zeros((P, P))
     for (i, j), v in zip(PAIRS, moments[1 + P:]):
         cov[i, j] = cov[j, i] = v / n - mean[i] * mean[j]
-    return mean, cov + np.diag(FLOORS ** 2)
+    return mean, cov
+
+
+def _floored(cov: np.ndarray) -> np.ndarray:
+    """A covariance (or many) whose variances are the floors at least."""
+    variances = np.diagonal(cov, axis1=-2, axis2=-1)
+    return cov + np.maximum(FLOORS ** 2 - variances, 0)[..., None] * np.eye(P) + 1e-9 * np.eye(P)
+
+
+def _estimate(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mean, cov = _spread(moments)
+    return mean, _floored(cov)
 
 
 def _distances(x: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
@@ -140,14 +166,18 @@ def best_subset(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return best
 
 
-PARAMETERS = [f"m{i}" for i in range(P)] + [f"p{i}{j}" for i, j in PAIRS]
-_PARAMETER_SCHEMA = "g long, " + ", ".join(f"{c} double" for c in PARAMETERS)
+MEANS, SPREADS, PRECISIONS = [f"m{i}" for i in range(P)], [f"c{i}{j}" for i, j in PAIRS], [f"p{i}{j}" for i, j in PAIRS]
+_PARAMETER_SCHEMA = "g long, n double, " + ", ".join(f"{c} double" for c in MEANS + SPREADS + PRECISIONS)
 
 
-def _parameters(g: int, moments: np.ndarray, scale: float = 1.0) -> pd.DataFrame:
-    mean, cov = _estimate(moments)
-    precision = np.linalg.inv(cov) / scale
-    return pd.DataFrame([[g, *mean, *[precision[i, j] * (1 if i == j else 2) for i, j in PAIRS]]], columns=["g", *PARAMETERS])
+def _precision(cov: np.ndarray) -> list[np.ndarray]:
+    """The inverse of a floored covariance (or of many), as factors of the products of differences."""
+    inverse = np.linalg.inv(_floored(cov))
+    return [inverse[..., i, j] * (1 if i == j else 2) for i, j in PAIRS]
+
+
+def _parameters(g: int, n: float, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame([[g, n, *mean, *[cov[i, j] for i, j in PAIRS], *_precision(cov)]], columns=["g", "n", *MEANS, *SPREADS, *PRECISIONS])
 
 
 def _distance() -> Column:
@@ -157,72 +187,81 @@ def _distance() -> Column:
 
 def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
     """New estimate of a group from the sums by distance bin: the nearest share of its rows, the last bin in part."""
-    bins = bins.sort_values("bin")
-    sums = bins[[c for c in bins.columns if c.startswith("s")]].to_numpy()
+    sums = bins.sort_values("bin")[SUMS].to_numpy()
     n = sums[:, 0]
-    before = np.cumsum(n) - n
-    take = np.clip((SUBSET * n.sum() - before) / n, 0, 1)
-    # What a normal vector's distance is at that share, against what it is here, sets the scale.
-    at = float(2 ** (bins["bin"].to_numpy()[take > 0][-1] / BINS) - 1)
-    z = 0.6745                                                           # of the standard normal at 0.75
-    usual = P * (1 - 2 / (9 * P) + z * np.sqrt(2 / (9 * P))) ** 3
-    return _parameters(int(bins["g"].iloc[0]), (sums * take[:, None]).sum(axis=0), max(1.0, at / usual))
+    take = np.clip((SUBSET * n.sum() - (np.cumsum(n) - n)) / n, 0, 1)
+    mean, cov = _spread((sums * take[:, None]).sum(axis=0))
+    return _parameters(int(bins["g"].iloc[0]), float(n.sum()), mean, CONSISTENCY * cov)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Centre and precision of each group g of ``rows`` (g, row, x0 ...)."""
+    """Rows, centre, spread and precision of each group g of ``rows`` (g, row, x0 ...)."""
     xs = [f"x{i}" for i in range(P)]
     # Written, so that its size is known when the rows are joined: they are not dealt out by group for a table of groups.
     blocks = stored(rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")), "blocks")
 
     def subset(block: pd.DataFrame) -> pd.DataFrame:
         x = block.sort_values("row")[xs].to_numpy()
-        return pd.DataFrame([[block["g"].iloc[0], *_moments(x[best_subset(x)])]], columns=["g", *sums])
+        return pd.DataFrame([[block["g"].iloc[0], *_moments(x[best_subset(x)])]], columns=["g", *SUMS])
 
-    sums = [f"s{i}" for i in range(1 + P + len(PAIRS))]
-    schema = "g long, " + ", ".join(f"{s} double" for s in sums)
+    def begin(sums: pd.DataFrame) -> pd.DataFrame:
+        mean, cov = _spread(sums[SUMS].to_numpy()[0])
+        return _parameters(int(sums["g"].iloc[0]), float(sums["s0"].iloc[0]), mean, CONSISTENCY * cov)
+
+    schema = "g long, " + ", ".join(f"{s} double" for s in SUMS)
     dealt = rows.join(blocks, "g").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-    start = dealt.groupBy("g", "block").applyInPandas(subset, schema).groupBy("g").agg(*[F.sum(s).alias(s) for s in sums])
-    now = stored(start.groupBy("g").applyInPandas(lambda d: _parameters(int(d["g"].iloc[0]), d[sums].to_numpy()[0]), _PARAMETER_SCHEMA), "mcd")
+    start = dealt.groupBy("g", "block").applyInPandas(subset, schema).groupBy("g").agg(*[F.sum(s).alias(s) for s in SUMS])
+    now = stored(start.groupBy("g").applyInPandas(begin, _PARAMETER_SCHEMA), "mcd")
     for _ in range(STEPS):
-        binned = rows.join(now, "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS))
+        binned = rows.join(now.drop("n"), "g").withColumn("bin", F.floor(F.log2(1 + F.greatest(_distance(), F.lit(0.0))) * BINS))
         terms = [F.lit(1.0), *[F.col(x) for x in xs], *[F.col(f"x{i}") * F.col(f"x{j}") for i, j in PAIRS]]
-        now = stored(binned.groupBy("g", "bin").agg(*[F.sum(t).alias(s) for t, s in zip(terms, sums)]).groupBy("g").applyInPandas(_concentrate, _PARAMETER_SCHEMA), "mcd")
+        now = stored(binned.groupBy("g", "bin").agg(*[F.sum(t).alias(s) for t, s in zip(terms, SUMS)]).groupBy("g").applyInPandas(_concentrate, _PARAMETER_SCHEMA), "mcd")
     return now
 
 
+def shrunk(n: np.ndarray, mean: np.ndarray, cov: np.ndarray, to_mean: np.ndarray, to_cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimates of groups of n documents, drawn towards wider ones as if SHRINK documents of those were among them."""
+    own = (n / (n + SHRINK))[:, None]
+    apart = mean - to_mean
+    spread = own[..., None] * cov + (1 - own[..., None]) * to_cov + (own * (1 - own))[..., None] * apart[:, :, None] * apart[:, None, :]
+    return own * mean + (1 - own) * to_mean, spread
+
+
+def _combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The estimate by which the documents of each (lang, source) are judged: its own drawn to its language's, that drawn to the corpus's."""
+    for rows in batches:
+        mean, cov = np.zeros((len(rows), P)), np.broadcast_to(np.diag(FLOORS ** 2), (len(rows), P, P))
+        for level in (2, 1, 0):
+            of = lambda names: rows[[f"{c}_{level}" for c in names]].fillna(0.0).to_numpy(float)  # noqa: E731, B023
+            n, own, flat = of(["n"])[:, 0], of(MEANS), of(SPREADS)
+            spread = np.zeros((len(rows), P, P))
+            for k, (i, j) in enumerate(PAIRS):
+                spread[:, i, j] = spread[:, j, i] = flat[:, k]
+            mean, cov = shrunk(n, own, spread, own if level == 2 else mean, cov)
+        found = pd.DataFrame(np.column_stack([mean, *_precision(cov)]), columns=MEANS + PRECISIONS)
+        yield pd.concat([rows["pair"].reset_index(drop=True), found], axis=1)
+
+
 def quality(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept, for every document.
 
-    A null text has no words and fails the base rules. Null languages and sources are groups like others.
-    A group of fewer than MIN_GROUP documents takes its language's estimate, a small language that of
-    all; where all are fewer, no distance is known (null) and the base rules decide alone. Base failures
-    are left out of the estimates. Repeated rows count each; an empty table gives an empty result; other columns are ignored.
+    A null text has no words and fails the base rules. Null languages and sources are groups like others. Every
+    group has an estimate, the fewer its documents the nearer to its language's, and that to the corpus's; so
+    verdicts change gradually with a group's size. Base failures are left out of the estimates; where all documents are
+    such, no distance is known (null). Repeated rows count each; an empty table gives an empty result; other columns are ignored.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = stored(statistics(documents).withColumns({"base_failed": failed, **{f"x{i}": f for i, f in enumerate(features())},
-                                                     "row": F.monotonically_increasing_id()}), "quality")
-    keys = [_key(0, "lang", "source"), _key(1, "lang"), _key(2)]
-    levels = ["source", "lang"], ["lang"], []
-    good = rows.filter(~F.col("base_failed"))
-    size = [good.groupBy(*[k for k in ("lang", "source") if k in own]).agg(F.count(F.lit(1)).alias(f"n{i}")) for i, own in enumerate(levels)]
-    groups = rows.select("lang", "source").distinct()
-    for i, own in enumerate(levels):
-        names = [k for k in ("lang", "source") if k in own]
-        other = size[i].select(*[F.col(k).alias(f"_{k}") for k in names], f"n{i}")
-        match = F.lit(True)
-        for k in names:
-            match = match & groups[k].eqNullSafe(other[f"_{k}"])
-        groups = groups.join(other if names else F.broadcast(other), match, "left").drop(*[f"_{k}" for k in names])
-    chosen = F.lit(None).cast("long")
-    for i in (2, 1, 0):
-        chosen = F.when(F.coalesce(F.col(f"n{i}"), F.lit(0)) >= MIN_GROUP, keys[i]).otherwise(chosen)
-    groups = stored(groups.select(_key(0, "lang", "source").alias("pair"), chosen.alias("g")), "groups")
-    used = stored(groups.select("g").filter(F.col("g").isNotNull()).distinct(), "groups")
+                                                     "row": F.monotonically_increasing_id(), "pair": _key(0, "lang", "source")}), "quality")
+    keys = [F.col("pair"), _key(1, "lang"), _key(2)]
     xs = [f"x{i}" for i in range(P)]
-    levelled = good.select("row", *xs, F.explode(F.array(*keys)).alias("g")).join(used, "g", "left_semi")
-    found = estimates(levelled)
-    judged = rows.withColumn("pair", _key(0, "lang", "source")).join(groups, "pair", "left").join(found, "g", "left")
+    found = estimates(rows.filter(~F.col("base_failed")).select("row", *xs, F.explode(F.array(*keys)).alias("g")))
+    pairs = rows.select("lang", "source", "pair").distinct().select("pair", *[k.alias(f"g{i}") for i, k in enumerate(keys)])
+    for i in range(len(keys)):
+        pairs = pairs.join(found.select(F.col("g").alias(f"g{i}"), *[F.col(c).alias(f"{c}_{i}") for c in ["n", *MEANS, *SPREADS]]), f"g{i}", "left")
+    schema = "pair long, " + ", ".join(f"{c} double" for c in MEANS + PRECISIONS)
+    limits = stored(pairs.filter("n_2 IS NOT NULL").mapInPandas(_combined, schema), "groups")
+    judged = rows.join(limits, "pair", "left")
     distance = F.when(F.col("m0").isNotNull(), F.sqrt(F.greatest(_distance(), F.lit(0.0))))
     return judged.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
