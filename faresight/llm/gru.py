@@ -3,7 +3,9 @@
 Words are known by their place in the order of frequency; the output first chooses a class of WIDTH
 successive words, then a word of that class, so a token costs two small softmaxes instead of one over
 all words. Documents run side by side, longest first; a window of STEPS tokens is run at a time and its last
-state begins the next one, so a document's probability is that of all its tokens in a row.
+state begins the next one, so a document's probability is that of all its tokens in a row. For training, documents
+are cut into parts of PART tokens, each beginning with the token before it: as many of about one length run side by side as make
+an update, and the longest documents don't leave the others' lanes empty.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import numpy as np
 
 HIDDEN, WIDTH, STEPS = 16, 64, 32
 TOGETHER = 16_384                             # tokens whose softmaxes are held at once
-RATE, UPDATE_TOKENS = 0.01, 2048
+RATE, PART, LANES = 0.02, 256, 192            # an update is made from LANES parts' windows
 END, UNKNOWN = 0, 1                           # ids; words follow
 
 Parameters = dict[str, np.ndarray]
@@ -35,7 +37,7 @@ def start(counts: np.ndarray, seed: int = 0) -> Parameters:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -88,8 +90,8 @@ def _outputs(p: Parameters, states: np.ndarray, targets: np.ndarray, grads: Para
     return logp, d
 
 
-def _windows(documents: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Inputs and targets (steps x lanes) and the lanes alive, window by window. Documents come longest first and end with END."""
+def _windows(documents: list[np.ndarray], before: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Inputs and targets (steps x lanes) and the lanes alive, window by window. Documents come longest first; ``before`` is what stands before each (END)."""
     lengths = np.array([len(d) for d in documents])
     for lo in range(0, int(lengths[0]), STEPS):
         lanes = int((lengths > lo).sum())
@@ -101,9 +103,18 @@ def _windows(documents: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarr
                 targets[:len(own), i], inputs[1:len(own), i] = own, own[:-1]
             else:
                 targets[:len(own) - 1, i], inputs[:len(own) - 1, i] = own[1:], own[:-1]
+        if lo == 0 and before is not None:
+            inputs[0] = before
         yield inputs, targets, (lengths[:lanes] > lo + np.arange(steps)[:, None]).sum(axis=1)
 
 
+def parts_of(documents: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Documents cut into parts of PART tokens, longest parts first, and the token before each."""
+    found = [(d[i:i + PART], d[i - 1] if i else END) for d in documents for i in range(0, len(d), PART)]
+    found.sort(key=lambda x: -len(x[0]))
+    return [x for x, _ in found], np.array([b for _, b in found], np.int32)
+
+
 def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document's ids."""
     if not documents:
@@ -125,7 +136,7 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
 
 
 class Trainer:
-    """Adam on the sum of the gradients of at least UPDATE_TOKENS tokens; ``finish`` takes in what is left."""
+    """Adam on the mean gradient of as many tokens as LANES full windows have at least; ``finish`` takes in what is left."""
 
     def __init__(self, parameters: Parameters) -> None:
         self.p = {k: v.copy() for k, v in parameters.items()}
@@ -133,10 +144,12 @@ class Trainer:
         self.mean, self.square = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
 
     def learn(self, documents: list[np.ndarray]) -> None:
-        documents = sorted(documents, key=len, reverse=True)
-        h = np.zeros((len(documents), HIDDEN), np.float32)
-        for inputs, targets, alive in _windows(documents) if documents else ():
-            h = self._window(inputs, targets, alive, h[:inputs.shape[1]])
+        parts, before = parts_of(documents)
+        for lo in range(0, len(parts), LANES):
+            some = parts[lo:lo + LANES]
+            h = np.zeros((len(some), HIDDEN), np.float32)
+            for inputs, targets, alive in _windows(some, before[lo:lo + LANES]):
+                h = self._window(inputs, targets, alive, h[:inputs.shape[1]])
 
     def finish(self) -> None:
         if self.tokens:
@@ -149,16 +162,16 @@ class Trainer:
         d_states = np.zeros_like(states)
         d_states[on] = _outputs(p, states[on], targets[on], g)[1]
         back = np.zeros_like(h)
-        d_x = np.zeros((*states.shape[:2], 3 * HIDDEN), np.float32)
+        d_x, du, back_u = np.zeros((*states.shape[:2], 3 * HIDDEN), np.float32), np.zeros((len(h), 3 * HIDDEN), np.float32), np.ascontiguousarray(p["u"].T)
         for t in range(len(alive) - 1, -1, -1):
             a, (before, z, r, n, hn) = alive[t], kept[t]
             d = d_states[t, :a] + back[:a]
+            own, part = d_x[t, :a], du[:a]
             dn = d * (1 - z) * (1 - n * n)
-            dz, dr = d * (before - n) * z * (1 - z), dn * hn * r * (1 - r)
-            d_x[t, :a] = np.hstack([dz, dr, dn])
-            du = np.hstack([dz, dr, dn * r])
-            g["u"] += before.T @ du
-            back[:a] = d * z + du @ p["u"].T
+            own[:, :HIDDEN], own[:, HIDDEN:2 * HIDDEN], own[:, 2 * HIDDEN:] = d * (before - n) * z * (1 - z), dn * hn * r * (1 - r), dn
+            part[:, :2 * HIDDEN], part[:, 2 * HIDDEN:] = own[:, :2 * HIDDEN], dn * r
+            g["u"] += before.T @ part
+            back[:a] = d * z + part @ back_u
         d_x, used = d_x[on], inputs[on]
         g["b"] += d_x.sum(axis=0)
         g["w"] += p["embed"][used].T @ d_x
@@ -169,7 +182,7 @@ class Trainer:
             by_id[used[order][begin]] = np.add.reduceat(d_x[order], begin, axis=0)
         g["embed"] += by_id @ p["w"].T
         self.tokens += int(on.sum())
-        if self.tokens >= UPDATE_TOKENS:
+        if self.tokens >= LANES * STEPS // 2:
             self._update()
         return states[-1]
 

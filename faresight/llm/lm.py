@@ -1,14 +1,15 @@
 """Language-model scoring: exact unigram counts over the corpus, and a gated recurrent model of whole documents.
 
-Counts of all words come from a shuffle by word. The HEAD most frequent words (a bounded table) are
+Counts of all words come from a shuffle by word. Then every document is read once more and becomes the ids that the
+network knows, which are written; training and scoring read those and no text. The HEAD most frequent words (a bounded table) are
 known to every task; a document's other words are sent to their counts and come back as sums, so no
 task holds the whole vocabulary. The recurrent model knows the most frequent VOCABULARY words;
 another word costs the model's chance of an unknown word times its share of the unknown words' counts,
 so that the chances of all words add up to one.
 
 The recurrent model is trained in rounds. In each, every trainer task starts from the same parameters and
-learns from its documents by truncated backpropagation; the mean of the trainers' parameters starts
-the next round. Their number follows the number of tokens, so training grows with the corpus and no
+learns from its documents by truncated backpropagation; the mean of the trainers' parameters, summed as
+vectors by a tree of tasks, starts the next round. Their number follows the number of tokens, so training grows with the corpus and no
 task with it. Every document to learn from trains the network in one of the rounds (by hash, whole).
 """
 
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 
 from faresight.llm import gru
 from faresight.llm.components import stored
-from faresight.llm.text import mix, slices, word_hashes, words_of
+from faresight.llm.text import held_by, mix, slices, word_hashes, words_of
 
 HEAD, VOCABULARY = 131_072, 2_048             # words that every task knows the count of, and those the network knows
-TRAIN_ONE_IN, ROUNDS, TRAINER_TOKENS = 1, 2, 1_000_000
-SCORE_BYTES, TRAIN_BYTES = 16 << 20, 2 << 20  # texts that run side by side
+ROUNDS, TRAINER_TOKENS = 2, 4_000_000
+SCORE_TOKENS, TRAIN_TOKENS = 3 << 20, 1 << 20 # of documents that run side by side, or are cut into parts together
+FAN_IN = 32                                   # trainers' parameters that one task sums
 EDGE = int(mix(np.array([0xE0D], np.uint64))[0])                         # stands for the end token among word hashes
 
 
@@ -53,7 +55,7 @@ def word_counts(documents: DataFrame) -> DataFrame:
                 word, n = np.unique(tokens_of(batch.column("text").slice(lo, hi - lo).to_pylist())[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
-    return documents.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return documents.select("text").mapInArrow(held_by("lm", count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -99,87 +101,124 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words[order], n[order], ids[order], by_id, tokens, types, int(by_id[gru.UNKNOWN]), types - int(inside.sum()))
 
 
-def train(documents: DataFrame, vocab: Vocabulary) -> gru.Parameters:
-    """The network after ROUNDS rounds over all ``documents``, each of them in one; the driver gets one mean for each parameter."""
+IDS = "<u2"                                   # ids of the network: VOCABULARY is less
+
+
+def id_slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Row ranges of ``batch`` whose ids hold about ``limit`` tokens together, and the ids of each row."""
+    ids = [np.frombuffer(x.as_buffer(), IDS) for x in batch.column("ids")]
+    ends = np.cumsum(list(map(len, ids)))
+    lo = 0
+    while lo < len(ids):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        yield lo, hi, [x.astype(np.int32) for x in ids[lo:hi]]
+        lo = hi
+
+
+def encoded(documents: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Of every document (doc_id, held_out, learns, text): n_tokens; n_known and base, the log10 counts, over the head's words; the network's ids; extra,
+    what its unknown words cost beyond the network's unknown id; rare, its words outside the head."""
+    unknown = np.log10(vocab.unknown_tokens + vocab.unknown_types + 1)
+    own_columns = ["doc_id", "held_out", "learns"]
+    kinds = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("extra", pa.float64()), ("ids", pa.binary())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = np.log10(vocab.counts + 1.0)
+        for batch in batches:
+            for lo, hi in slices(batch, "text"):
+                some, n = batch.slice(lo, hi - lo), hi - lo
+                hashes, first = tokens_of(some.column("text").to_pylist())
+                at, inside = vocab.find(hashes)
+                number = vocab.network_ids(at, inside)
+                own = np.repeat(np.arange(n), np.diff(first))
+                log = np.where(inside, logs[at], 0.0) if len(logs) else np.zeros(len(at))
+                total = lambda x: np.bincount(own, x, n)                 # noqa: E731, B023
+                data, edges = number.astype(IDS).tobytes(), (2 * first).tolist()
+                columns = [np.diff(first), total(inside).astype(np.int64), total(log), total(np.where(number == gru.UNKNOWN, log - unknown, 0.0)),
+                           [data[i:j] for i, j in zip(edges, edges[1:])]]
+                yield pa.RecordBatch.from_arrays([some.column(c) for c in own_columns] + [pa.array(c, k) for c, (_, k) in zip(columns, kinds)]
+                                                 + [_rare(hashes[~inside], own[~inside], n)], names=own_columns + [k for k, _ in kinds] + ["rare"])
+
+    return documents.select(*own_columns, "text").mapInArrow(
+        held_by("lm", run), "doc_id long, held_out boolean, learns boolean, n_tokens long, n_known long, base double, extra double, ids binary, rare array<struct<word: long, times: int>>")
+
+
+def _mean(trained: DataFrame) -> np.ndarray | None:
+    """The trainers' parameters weighted by their tokens: vectors (w: little-endian doubles, n: tokens) summed by a tree of tasks, FAN_IN at a time."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, n = None, 0
+        for batch in batches:
+            for one, seen in zip(batch.column("w"), batch.column("n").to_pylist()):
+                value = np.frombuffer(one.as_buffer(), "<f8")
+                w, n = value.copy() if w is None else w + value, n + seen
+        if w is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([n])], names=["w", "n"])
+
+    rows = trained.count()
+    while rows > 1:
+        groups = -(-rows // FAN_IN)
+        trained = stored(trained.repartition(groups).mapInArrow(held_by("lm", add), "w binary, n long"), "sums")
+        rows = trained.count()
+    first = trained.first()
+    return None if first is None else np.frombuffer(first["w"], "<f8") / first["n"]
+
+
+def train(rows: DataFrame, vocab: Vocabulary) -> gru.Parameters:
+    """The network after ROUNDS rounds over the ids of all ``rows`` (doc_id, ids), each of them in one. The driver gets the mean of the parameters."""
     p = gru.start(vocab.by_id)
     like = {k: np.zeros_like(v) for k, v in p.items()}
-    spread = F.xxhash64(F.lit("train"), "doc_id", "text")
-    trainers = max(1, -(-vocab.tokens // (TRAIN_ONE_IN * ROUNDS * TRAINER_TOKENS)))
+    spread = F.xxhash64(F.lit("train"), "doc_id", "ids")
+    trainers = max(1, -(-vocab.tokens // (ROUNDS * TRAINER_TOKENS)))
     for r in range(ROUNDS):
         values = gru.flat(p)
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trainer, seen = gru.Trainer(gru.unflat(like, values)), 0     # noqa: B023
             for batch in batches:
-                for lo, hi in slices(batch, "text", TRAIN_BYTES):
-                    hashes, first = tokens_of(batch.column("text").slice(lo, hi - lo).to_pylist())
-                    ids = vocab.network_ids(*vocab.find(hashes))
-                    trainer.learn(np.split(ids, first[1:-1]))
-                    seen += len(ids)
+                for _, _, ids in id_slices(batch, TRAIN_TOKENS):
+                    trainer.learn(ids)
+                    seen += sum(map(len, ids))
             if seen:
                 trainer.finish()
-                w = gru.flat(trainer.p)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w.astype(float) * seen), pa.array(np.full(len(w), seen))], names=["i", "w", "n"])
-
-        share = documents.filter(F.pmod(spread, F.lit(TRAIN_ONE_IN * ROUNDS)) == r).select("text", spread.alias("s"))
-        dealt = share.repartition(trainers, "s").select("text")
-        mean = dealt.mapInArrow(learn, "i int, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
-        if len(mean):
-            values = np.empty(len(values))
-            values[mean["i"]] = mean["w"]
-            p = gru.unflat(like, values)
+                yield pa.RecordBatch.from_arrays([pa.array([(gru.flat(trainer.p).astype("<f8") * seen).tobytes()], pa.binary()), pa.array([seen])], names=["w", "n"])
+
+        share = rows.filter(F.pmod(spread, F.lit(ROUNDS)) == r).select("ids", spread.alias("s"))
+        dealt = share.repartition(trainers, "s").select("ids")
+        mean = _mean(stored(dealt.mapInArrow(held_by("lm", learn), "w binary, n long"), "trained"))
+        if mean is not None:
+            p = gru.unflat(like, mean)
     return p
 
 
-def score(documents: DataFrame, learn_from: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every document.
+def score(documents: DataFrame, learns: Column) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every document; the model learns from those where ``learns``.
 
     A null text is empty: its one token is the end. Null and repeated doc_ids and repeated rows give a row
     each; an empty table gives an empty result; other columns are ignored. With nothing to learn from no token
     is known: base_score is that of equal chances, and the network is as it was initialised.
     """
-    counts = stored(word_counts(learn_from), "word-counts")
+    counts = stored(word_counts(documents.filter(learns)), "word-counts")
     vocab = vocabulary(counts)
-    values = gru.flat(p := train(learn_from, vocab))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.coalesce(learns, F.lit(False)).alias("learns"), "text")
+    first = stored(encoded(rows, vocab).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    values = gru.flat(p := train(first.filter("learns").select("doc_id", "ids"), vocab))
     like = {k: np.zeros_like(v) for k, v in p.items()}
     scale = np.log10(vocab.tokens + vocab.types + 1)                     # N + 1 * (V + 1)
-    unknown = np.log10(vocab.unknown_tokens + vocab.unknown_types + 1)
-    kinds = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-             ("net", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.int64()), ("times", pa.int32())])))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, logs = gru.unflat(like, values), np.log10(vocab.counts + 1.0)
+        p = gru.unflat(like, values)
         for batch in batches:
-            for lo, hi in slices(batch, "text", SCORE_BYTES):
-                some = batch.slice(lo, hi - lo)
-                ids, n, known, base, extra, rare = [], [], [], [], [], []
-                for a, b in slices(some, "text"):
-                    hashes, first = tokens_of(some.column("text").slice(a, b - a).to_pylist())
-                    at, inside = vocab.find(hashes)
-                    number = vocab.network_ids(at, inside)
-                    own = np.repeat(np.arange(b - a), np.diff(first))
-                    log = np.where(inside, logs[at], 0.0) if len(logs) else np.zeros(len(at))
-                    total = lambda x: np.bincount(own, x, b - a)         # noqa: E731, B023
-                    n.append(np.diff(first))
-                    known.append(total(inside))
-                    base.append(total(log))
-                    extra.append(total(np.where(number == gru.UNKNOWN, log - unknown, 0.0)))
-                    ids += np.split(number, first[1:-1])
-                    rare.append(_rare(hashes[~inside], own[~inside], b - a))
-                net = gru.log_probabilities(p, ids) / np.log(10) + np.concatenate(extra)
-                columns = [some.column("doc_id"), some.column("held_out"), np.concatenate(n), np.concatenate(known).astype(np.int64), np.concatenate(base), net, pa.concat_arrays(rare)]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, (_, k) in zip(columns, kinds)], names=[k for k, _ in kinds])
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    first = rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, net double, rare array<struct<word: long, times: int>>")
-    first = stored(first.withColumn("row", F.monotonically_increasing_id()), "scores")
+            for lo, hi, ids in id_slices(batch, SCORE_TOKENS):
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), pa.array(gru.log_probabilities(p, ids) / np.log(10))], names=["row", "net"])
+
+    net = first.select("row", "ids").mapInArrow(held_by("lm", run), "row long, net double")
     sent = first.select("row", F.explode("rare").alias("one")).select("row", "one.word", "one.times")
     back = sent.join(counts, "word").groupBy("row").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_base"))
     own = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return first.drop("rare").join(back, "row", "left").select(
+    return first.drop("rare", "ids").join(net, "row").join(back, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + own("rare_known")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + own("rare_base") - F.col("n_tokens") * F.lit(float(scale))).alias("base_score"),
-        (F.col("net") + own("rare_base")).alias("score"))
+        (F.col("net") + F.col("extra") + own("rare_base")).alias("score"))
 
 
 def _rare(hashes: np.ndarray, own: np.ndarray, n: int) -> pa.Array:
@@ -195,4 +234,4 @@ def _rare(hashes: np.ndarray, own: np.ndarray, n: int) -> pa.Array:
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score(documents, documents.filter(~held_out()))
+    return score(documents, ~held_out())

@@ -48,7 +48,7 @@ def corpus(n=150):
 
 def scored(spark, rows, **small):
     df = spark.createDataFrame([(d, t, 1.0) for d, t in rows], "doc_id long, text string, score double").repartition(3)
-    return lm.score(df, df.filter(~lm.held_out())).collect()
+    return lm.score(df, ~lm.held_out()).collect()
 
 
 def base(got):
@@ -59,7 +59,6 @@ def base(got):
 def small(monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 6)
     monkeypatch.setattr(lm, "VOCABULARY", 5)
-    monkeypatch.setattr(lm, "TRAIN_ONE_IN", 1)
 
 
 def test_base_scores_equal_brute_force(spark, small):
@@ -68,7 +67,7 @@ def test_base_scores_equal_brute_force(spark, small):
 
 
 def test_network_learns_what_follows(monkeypatch):
-    monkeypatch.setattr(gru, "UPDATE_TOKENS", 256)
+    monkeypatch.setattr(gru, "LANES", 16)
     names = {w: i for i, w in enumerate([None, "unknown", "alpha", "beta", "gamma", "delta"])}
     ids = [np.array([names.get(t, 1) for t in tokens(text)], np.int32) for _, text in corpus(900)]
     counts = np.bincount(np.concatenate(ids[:800]), minlength=6)
@@ -79,8 +78,7 @@ def test_network_learns_what_follows(monkeypatch):
     assert after > 0.9 * before
 
 
-def test_training_reaches_the_scores(spark, monkeypatch):
-    monkeypatch.setattr(lm, "TRAIN_ONE_IN", 1)
+def test_training_reaches_the_scores(spark):
     got = [r for r in scored(spark, corpus(600)) if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
@@ -90,7 +88,8 @@ def test_every_document_trains_the_network(spark, doc_id):
     """Whichever document it is, and however few tokens it has."""
     df = spark.createDataFrame([(doc_id, "one two three one two")], "doc_id long, text string")
     vocab = lm.vocabulary(lm.word_counts(df))
-    before, after = gru.start(vocab.by_id), lm.train(df, vocab)
+    rows = lm.encoded(df.selectExpr("*", "false held_out", "true learns"), vocab)
+    before, after = gru.start(vocab.by_id), lm.train(rows, vocab)
     assert any((before[k] != after[k]).any() for k in before)
 
 
@@ -111,6 +110,52 @@ def test_chances_of_all_words_add_up():
     assert abs(np.exp(gru.log_probabilities(p, ends) - first).sum() - 1) < 1e-3
 
 
+def test_mean_of_trainers_is_summed_by_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN_IN", 3)
+    rng = np.random.default_rng(3)
+    w, n = rng.normal(size=(20, 7)), rng.integers(1, 50, 20)
+    rows = spark.createDataFrame([(bytearray((v * k).astype("<f8").tobytes()), int(k)) for v, k in zip(w, n)], "w binary, n long")
+    assert np.allclose(lm._mean(rows), (w * n[:, None]).sum(axis=0) / n.sum()) and lm._mean(rows.limit(0)) is None
+
+
+def test_parts_hold_every_token_with_the_one_before(monkeypatch):
+    monkeypatch.setattr(gru, "PART", 5)
+    documents = [np.arange(100 * k, 100 * k + n) for k, n in enumerate((0, 1, 5, 6, 17), 1)]
+    parts, before = gru.parts_of(documents)
+    assert sorted(np.concatenate(parts).tolist()) == sorted(np.concatenate(documents).tolist()) and [len(p) for p in parts] == sorted((len(p) for p in parts), reverse=True)
+    for p, b in zip(parts, before):
+        assert b == (gru.END if p[0] % 100 == 0 else p[0] - 1)
+    inputs, targets, _ = next(gru._windows(parts, before))
+    assert (inputs[0] == before).all() and (targets[0] == [p[0] for p in parts]).all()
+
+
+def plain_log_probability(p, ids):
+    """The forward pass of one document, number by number."""
+    h, total = [0.0] * gru.HIDDEN, 0.0
+    dot = lambda x, m, j: sum(a * float(m[i][j]) for i, a in enumerate(x))
+    soft = lambda scores, k: scores[k] - max(scores) - math.log(sum(math.exp(s - max(scores)) for s in scores))
+    for before, wanted in zip([gru.END, *ids[:-1]], ids):
+        x = [float(v) for v in p["embed"][before]]
+        n = gru.HIDDEN
+        z, r, c = ([dot(x, p["w"], g * n + j) + float(p["b"][g * n + j]) for j in range(n)] for g in range(3))
+        u = [[dot(h, p["u"], g * n + j) for j in range(n)] for g in range(3)]
+        z, r = ([1 / (1 + math.exp(-(a + b))) for a, b in zip(own, u[g])] for g, own in enumerate((z, r)))
+        c = [math.tanh(a + k * b) for a, k, b in zip(c, r, u[2])]
+        h = [(1 - k) * new + k * old for k, new, old in zip(z, c, h)]
+        kind, word = divmod(int(wanted), gru.WIDTH)
+        total += soft([dot(h, p["cw"], j) + float(p["cb"][j]) for j in range(len(p["cb"]))], kind)
+        total += soft([dot(h, p["ow"][kind], j) + float(p["ob"][kind][j]) for j in range(gru.WIDTH)], word)
+    return total
+
+
+def test_forward_pass_equals_a_plain_one():
+    rng = np.random.default_rng(4)
+    p = gru.start(np.sort(rng.integers(1, 100, 150))[::-1].copy())
+    p = {k: v if k in ("cb", "ob") else v * 4 for k, v in p.items()}
+    documents = [rng.integers(0, 150, n).astype(np.int32) for n in (1, 5, 40, 70)]
+    assert np.allclose(gru.log_probabilities(p, documents), [plain_log_probability(p, d) for d in documents], rtol=1e-4)
+
+
 def test_state_carries_over_windows(monkeypatch):
     rng = np.random.default_rng(0)
     p = gru.start(np.arange(50, 0, -1))
