@@ -1,7 +1,7 @@
 """Corpus pipeline: documents to packed training sequences, in stages that each read what the one before wrote.
 
-Every stage works on all rows it is given, and what it decides takes effect: texts without a language
-go, one document of each group of near duplicates stays, passages that repeat are cut out, secrets are
+Every stage works on all rows it is given, and what it decides takes effect: texts in no language that
+the corpus knows go, one document of each group of near duplicates stays, passages that repeat are cut out, secrets are
 masked, and what is left is packed. All stages but the last return the columns of documents.
 """
 
@@ -17,15 +17,19 @@ from faresight.session import scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language. The classifiers learn from all labelled rows of docs; texts without a letter go."""
-    return language.with_language(docs, language.train(docs))
+    """Documents whose text is in a language that the labelled rows of docs teach.
+
+    The output codes are learned from all labelled rows, and so is how far such a row's text may be from its language's
+    codeword. Texts beyond that (letter noise, a language that no row has) and those without a letter go.
+    """
+    return language.with_language(docs, language.calibrated(docs, language.train(docs)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (shingles of five words, similarity 0.8) the row with the smallest doc_id.
 
-    Documents without a word are in no group and stay. Rows equal to the kept one in every column are that document
-    and stay; a row without a doc_id stays where its whole group has none, and then once.
+    One row of each group stays, of repeated rows too; a row without a doc_id stays where its whole group has none.
+    Rows without a word are in no group and all stay.
     """
     return neardup.one_of_each(docs, words=5, percent=80)
 
