@@ -16,7 +16,7 @@ import numpy as np
 
 HIDDEN, WIDTH, STEPS = 16, 64, 32
 TOGETHER = 16_384                             # tokens whose softmaxes are held at once
-RATE, PART, LANES = 0.02, 256, 192            # an update is made from LANES parts' windows
+RATE, PART, LANES = 0.02, 256, 224            # an update is made from LANES parts' windows
 END, UNKNOWN = 0, 1                           # ids; words follow
 
 Parameters = dict[str, np.ndarray]
@@ -40,9 +40,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, targets: np.ndarray, chances: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of each row's target, and the probabilities of all less one at the target. ``x`` is overwritten."""
+    rows = np.arange(len(targets))
+    x -= x.max(axis=1, keepdims=True)
+    wanted = x[rows, targets]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    logp = wanted - np.log(total)
+    if not chances:
+        return logp, None
+    x *= (1 / total)[:, None]
+    x[rows, targets] -= 1
+    return logp, x
 
 
 def _run(p: Parameters, table: np.ndarray, inputs: np.ndarray, alive: np.ndarray, h: np.ndarray, keep: list | None) -> np.ndarray:
@@ -64,13 +74,12 @@ def _run(p: Parameters, table: np.ndarray, inputs: np.ndarray, alive: np.ndarray
 def _outputs(p: Parameters, states: np.ndarray, targets: np.ndarray, grads: Parameters | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probability of each target given its state; with grads, also adds to them and returns the loss's derivative by state."""
     kind, word = targets // WIDTH, targets % WIDTH
-    rows = np.arange(len(targets))
-    by_class = _log_softmax(states @ p["cw"] + p["cb"])
-    logp = by_class[rows, kind]
+    train = grads is not None
+    scores = states @ p["cw"]
+    scores += p["cb"]
+    logp, dc = _softmax(scores, kind, train)
     d = None
-    if grads is not None:
-        dc = np.exp(by_class)
-        dc[rows, kind] -= 1
+    if train:
         grads["cw"] += states.T @ dc
         grads["cb"] += dc.sum(axis=0)
         d = dc @ p["cw"].T
@@ -78,13 +87,13 @@ def _outputs(p: Parameters, states: np.ndarray, targets: np.ndarray, grads: Para
     edges = np.searchsorted(kind[order], np.arange(len(p["ob"]) + 1))
     for k in np.flatnonzero(np.diff(edges)):
         own = order[edges[k]:edges[k + 1]]
-        by_word = _log_softmax(states[own] @ p["ow"][k] + p["ob"][k])
-        some = np.arange(len(own))
-        logp[own] += by_word[some, word[own]]
-        if grads is not None:
-            dw = np.exp(by_word)
-            dw[some, word[own]] -= 1
-            grads["ow"][k] += states[own].T @ dw
+        some = states[own]
+        scores = some @ p["ow"][k]
+        scores += p["ob"][k]
+        by_word, dw = _softmax(scores, word[own], train)
+        logp[own] += by_word
+        if train:
+            grads["ow"][k] += some.T @ dw
             grads["ob"][k] += dw.sum(axis=0)
             d[own] += dw @ p["ow"][k].T
     return logp, d
@@ -122,14 +131,26 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
     order = np.argsort([-len(d) for d in documents], kind="stable")
     out, h = np.zeros(len(documents)), np.zeros((len(documents), HIDDEN), np.float32)
     table = p["embed"] @ p["w"] + p["b"]
+    held, size = [], 0                        # windows of the few longest documents are small: their outputs wait for others
+
+    def flush() -> None:
+        found, wanted, lane = (np.concatenate(x) for x in zip(*held))
+        logp = np.concatenate([_outputs(p, found[i:i + TOGETHER], wanted[i:i + TOGETHER], None)[0] for i in range(0, len(wanted), TOGETHER)])
+        out[:] += np.bincount(lane, logp, len(out))
+        held.clear()
+
     for inputs, targets, alive in _windows([documents[i] for i in order]):
         lanes = inputs.shape[1]
         states = _run(p, table, inputs, alive, h[:lanes], None)
         on = np.arange(lanes) < alive[:, None]
-        found, wanted = states[on], targets[on]
-        logp = np.concatenate([_outputs(p, found[i:i + TOGETHER], wanted[i:i + TOGETHER], None)[0] for i in range(0, len(wanted), TOGETHER)])
-        out[:lanes] += np.bincount(np.broadcast_to(np.arange(lanes), on.shape)[on], logp, lanes)
+        held.append((states[on], targets[on], np.broadcast_to(np.arange(lanes), on.shape)[on]))
+        size += int(on.sum())
+        if size >= TOGETHER:
+            flush()
+            size = 0
         h = states[-1]                        # lanes that go on have run every step
+    if held:
+        flush()
     result = np.empty(len(documents))
     result[order] = out
     return result

@@ -29,7 +29,7 @@ from faresight.llm.text import held_by, mix, slices, word_hashes, words_of
 
 HEAD, VOCABULARY = 131_072, 2_048             # words that every task knows the count of, and those the network knows
 ROUNDS, TRAINER_TOKENS = 2, 4_000_000
-SCORE_TOKENS, TRAIN_TOKENS = 3 << 20, 1 << 20 # of documents that run side by side, or are cut into parts together
+SCORE_TOKENS, TRAIN_TOKENS = 8 << 20, 1 << 20 # of documents that run side by side, or are cut into parts together
 FAN_IN = 32                                   # trainers' parameters that one task sums
 EDGE = int(mix(np.array([0xE0D], np.uint64))[0])                         # stands for the end token among word hashes
 
