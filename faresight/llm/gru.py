@@ -17,7 +17,8 @@ import numpy as np
 HIDDEN, WIDTH, STEPS = 16, 64, 32
 TOGETHER = 16_384                             # tokens whose softmaxes are held at once
 RATE, PART, LANES = 0.02, 256, 224            # an update is made from LANES parts' windows
-END, UNKNOWN = 0, 1                           # ids; words follow
+LEAST = 1e-20                                 # weight of a row of scores below which it is shifted by itself
+END, UNKNOWN = 0, 1                           # ids; words follow, fewer than 2^16 in all
 
 Parameters = dict[str, np.ndarray]
 
@@ -36,17 +37,25 @@ def start(counts: np.ndarray, seed: int = 0) -> Parameters:
             "ow": small(n, HIDDEN, WIDTH) * 0.1, "ob": np.maximum(word, -1e4).astype(np.float32)}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
+def _softmax(states: np.ndarray, w: np.ndarray, targets: np.ndarray, chances: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of each row's target under the scores ``states @ w``, and the probabilities of all less one at the target.
 
-
-def _softmax(x: np.ndarray, targets: np.ndarray, chances: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log probability of each row's target, and the probabilities of all less one at the target. ``x`` is overwritten."""
-    rows = np.arange(len(targets))
-    x -= x.max(axis=1, keepdims=True)
+    The last state is always 1 and the last weights are the biases. The others lie between -1 and 1, so the weights bound the scores: all
+    rows are shifted by that bound at once. Rows that it leaves with hardly any weight are shifted by their own largest score.
+    """
+    rows, ones, shifted = np.arange(len(targets)), np.ones(w.shape[1], w.dtype), w.copy()
+    shifted[-1] -= (w[-1] + np.abs(w[:-1]).sum(axis=0)).max()
+    x = states @ shifted
     wanted = x[rows, targets]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
+    total = x @ ones
+    low = np.flatnonzero(total < LEAST)
+    if len(low):
+        own = states[low] @ w
+        own -= own.max(axis=1, keepdims=True)
+        wanted[low] = own[np.arange(len(low)), targets[low]]
+        x[low] = np.exp(own, out=own)
+        total[low] = own @ ones
     logp = wanted - np.log(total)
     if not chances:
         return logp, None
@@ -55,48 +64,77 @@ def _softmax(x: np.ndarray, targets: np.ndarray, chances: bool) -> tuple[np.ndar
     return logp, x
 
 
-def _run(p: Parameters, table: np.ndarray, inputs: np.ndarray, alive: np.ndarray, h: np.ndarray, keep: list | None) -> np.ndarray:
-    """States after each step of a window (steps x lanes). alive: the lanes, from the first, that still run at each step."""
+def _by_gate(m: np.ndarray) -> np.ndarray:
+    """Rows that hold three gates one after the other, as three contiguous blocks of rows."""
+    return np.ascontiguousarray(m.reshape(len(m), 3, HIDDEN).swapaxes(0, 1))
+
+
+def _gates(p: Parameters) -> tuple[np.ndarray, np.ndarray]:
+    """What each id adds to the gates, and the states' weights, by gate. Those of the two sigmoids are negated, as their exponential takes them."""
+    table, u = _by_gate(p["embed"] @ p["w"] + p["b"]), _by_gate(p["u"])
+    np.negative(table[:2], out=table[:2])
+    np.negative(u[:2], out=u[:2])
+    return table, u
+
+
+def _run(gates: tuple[np.ndarray, np.ndarray], inputs: np.ndarray, alive: np.ndarray, h: np.ndarray, keep: list | None) -> np.ndarray:
+    """States after each step of a window (steps x lanes). alive: the lanes, from the first, that still run at each step.
+
+    Sigmoid and tanh are made of exponentials, which are twice as fast; one beyond the largest number leaves its limit.
+    """
+    table, u = gates
     states = np.zeros((len(inputs), *h.shape), np.float32)
-    for t, a in enumerate(alive):
-        x, hu = table[inputs[t, :a]], h[:a] @ p["u"]
-        gates = _sigmoid(x[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])
-        new = n + z * (h[:a] - n)
-        if keep is not None:
-            keep.append((h[:a], z, r, n, hu[:, 2 * HIDDEN:]))
-        h = new if a == len(h) else np.concatenate([new, h[a:]])
-        states[t, :a] = new
+    with np.errstate(over="ignore"):
+        for t, a in enumerate(alive.tolist()):
+            before, x = h[:a], table.take(inputs[t, :a], axis=1)
+            hu = np.matmul(before, u)
+            both = x[:2]
+            both += hu[:2]
+            np.exp(both, out=both)
+            both += 1
+            z, r = np.reciprocal(both, out=both)
+            n = r * hu[2]
+            n += x[2]
+            n *= -2
+            np.exp(n, out=n)
+            n += 1
+            np.divide(2, n, out=n)
+            n -= 1
+            h = states[t]                         # lanes that ended before are not looked at again
+            new = np.subtract(before, n, out=h[:a])
+            new *= z
+            new += n
+            if keep is not None:
+                keep.append((before, z, r, n, hu[2]))
     return states
 
 
 def _outputs(p: Parameters, states: np.ndarray, targets: np.ndarray, grads: Parameters | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probability of each target given its state; with grads, also adds to them and returns the loss's derivative by state."""
-    kind, word = targets // WIDTH, targets % WIDTH
     train = grads is not None
-    scores = states @ p["cw"]
-    scores += p["cb"]
-    logp, dc = _softmax(scores, kind, train)
+    kind = (targets // WIDTH).astype(np.uint16)
+    order = np.argsort(kind, kind="stable")   # by class, so that a class's rows are one block
+    states, kind, word = np.concatenate([states[order], np.ones((len(order), 1), states.dtype)], axis=1), kind[order], targets[order] % WIDTH
+    logp, dc = _softmax(states, np.concatenate([p["cw"], p["cb"][None]]), kind, train)
     d = None
     if train:
-        grads["cw"] += states.T @ dc
-        grads["cb"] += dc.sum(axis=0)
+        sums = states.T @ dc
+        grads["cw"] += sums[:-1]
+        grads["cb"] += sums[-1]
         d = dc @ p["cw"].T
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(len(p["ob"]) + 1))
+    edges = np.searchsorted(kind, np.arange(len(p["ob"]) + 1))
     for k in np.flatnonzero(np.diff(edges)):
-        own = order[edges[k]:edges[k + 1]]
-        some = states[own]
-        scores = some @ p["ow"][k]
-        scores += p["ob"][k]
-        by_word, dw = _softmax(scores, word[own], train)
+        own = slice(edges[k], edges[k + 1])
+        by_word, dw = _softmax(states[own], np.concatenate([p["ow"][k], p["ob"][k][None]]), word[own], train)
         logp[own] += by_word
         if train:
-            grads["ow"][k] += some.T @ dw
-            grads["ob"][k] += dw.sum(axis=0)
+            sums = states[own].T @ dw
+            grads["ow"][k] += sums[:-1]
+            grads["ob"][k] += sums[-1]
             d[own] += dw @ p["ow"][k].T
-    return logp, d
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return logp[place], None if d is None else d[place]
 
 
 def _windows(documents: list[np.ndarray], before: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,7 +168,7 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
         return np.zeros(0)
     order = np.argsort([-len(d) for d in documents], kind="stable")
     out, h = np.zeros(len(documents)), np.zeros((len(documents), HIDDEN), np.float32)
-    table = p["embed"] @ p["w"] + p["b"]
+    gates = _gates(p)
     held, size = [], 0                        # windows of the few longest documents are small: their outputs wait for others
 
     def flush() -> None:
@@ -141,7 +179,7 @@ def log_probabilities(p: Parameters, documents: list[np.ndarray]) -> np.ndarray:
 
     for inputs, targets, alive in _windows([documents[i] for i in order]):
         lanes = inputs.shape[1]
-        states = _run(p, table, inputs, alive, h[:lanes], None)
+        states = _run(gates, inputs, alive, h[:lanes], None)
         on = np.arange(lanes) < alive[:, None]
         held.append((states[on], targets[on], np.broadcast_to(np.arange(lanes), on.shape)[on]))
         size += int(on.sum())
@@ -178,29 +216,47 @@ class Trainer:
 
     def _window(self, inputs: np.ndarray, targets: np.ndarray, alive: np.ndarray, h: np.ndarray) -> np.ndarray:
         p, g, kept = self.p, self.grads, []
-        states = _run(p, p["embed"] @ p["w"] + p["b"], inputs, alive, h, kept)
+        states = _run(_gates(p), inputs, alive, h, kept)
         on = np.arange(inputs.shape[1]) < alive[:, None]
         d_states = np.zeros_like(states)
-        d_states[on] = _outputs(p, states[on], targets[on], g)[1]
-        back = np.zeros_like(h)
-        d_x, du, back_u = np.zeros((*states.shape[:2], 3 * HIDDEN), np.float32), np.zeros((len(h), 3 * HIDDEN), np.float32), np.ascontiguousarray(p["u"].T)
+        at = np.flatnonzero(on)
+        d_states.reshape(-1, HIDDEN)[at] = _outputs(p, states.reshape(-1, HIDDEN)[at], targets.ravel()[at], g)[1]
+        back, back_u = np.zeros_like(h), _by_gate(p["u"]).swapaxes(1, 2)
+        d_x, d_h = np.zeros((3, *states.shape), np.float32), np.zeros_like(states)    # by what a gate gets in all, and its last by what the state adds
         for t in range(len(alive) - 1, -1, -1):
             a, (before, z, r, n, hn) = alive[t], kept[t]
-            d = d_states[t, :a] + back[:a]
-            own, part = d_x[t, :a], du[:a]
-            dn = d * (1 - z) * (1 - n * n)
-            own[:, :HIDDEN], own[:, HIDDEN:2 * HIDDEN], own[:, 2 * HIDDEN:] = d * (before - n) * z * (1 - z), dn * hn * r * (1 - r), dn
-            part[:, :2 * HIDDEN], part[:, 2 * HIDDEN:] = own[:, :2 * HIDDEN], dn * r
-            g["u"] += before.T @ part
-            back[:a] = d * z + part @ back_u
-        d_x, used = d_x[on], inputs[on]
-        g["b"] += d_x.sum(axis=0)
-        g["w"] += p["embed"][used].T @ d_x
-        by_id = np.zeros((len(p["embed"]), 3 * HIDDEN), np.float32)
+            d, other = d_states[t, :a], 1 - z
+            d += back[:a]
+            dz, dr, dn = d_x[:, t, :a]
+            np.multiply(n, n, out=dn)
+            np.subtract(1, dn, out=dn)
+            dn *= other
+            dn *= d
+            np.subtract(before, n, out=dz)
+            dz *= z
+            dz *= other
+            dz *= d
+            np.subtract(1, r, out=dr)
+            dr *= r
+            dr *= hn
+            dr *= dn
+            part = np.multiply(dn, r, out=d_h[t, :a])
+            rest = np.multiply(d, z, out=back[:a])
+            rest += dz @ back_u[0]
+            rest += dr @ back_u[1]
+            rest += part @ back_u[2]
+        earlier = np.concatenate([h[None], states[:-1]]).reshape(-1, HIDDEN).T
+        g["u"] += np.concatenate([earlier @ x.reshape(-1, HIDDEN) for x in (d_x[0], d_x[1], d_h)], axis=1)
+        # Summed by input id first: the sums give the other gradients.
+        used = inputs.ravel()[at].astype(np.uint16)
         order = np.argsort(used, kind="stable")
-        begin = np.flatnonzero(np.concatenate([[True], np.diff(used[order]) > 0])) if len(used) else np.zeros(0, np.int64)
+        by_id = np.zeros((len(p["embed"]), 3 * HIDDEN), np.float32)
         if len(used):
-            by_id[used[order][begin]] = np.add.reduceat(d_x[order], begin, axis=0)
+            rows = np.concatenate([x.reshape(-1, HIDDEN).take(at[order], axis=0) for x in d_x], axis=1)
+            begin = np.flatnonzero(np.concatenate([[True], np.diff(used[order]) > 0]))
+            by_id[used[order][begin]] = np.add.reduceat(rows, begin, axis=0)
+        g["b"] += by_id.sum(axis=0)
+        g["w"] += p["embed"].T @ by_id
         g["embed"] += by_id @ p["w"].T
         self.tokens += int(on.sum())
         if self.tokens >= LANES * STEPS // 2:

@@ -156,6 +156,20 @@ def test_forward_pass_equals_a_plain_one():
     assert np.allclose(gru.log_probabilities(p, documents), [plain_log_probability(p, d) for d in documents], rtol=1e-4)
 
 
+def test_rows_far_below_the_bound_of_the_scores():
+    """Scores that the weights allow to be 400 apart: the rows far below that are shifted by their own largest score."""
+    w = np.zeros((3, 4), np.float32)
+    w[0, 0], w[2] = 400, [-400, 0, -1, -1e4]
+    states = np.array([[1, 0, 1], [-1, 0.5, 1], [0.5, 0, 1]], np.float32)
+    targets = np.array([0, 2, 1])
+    logp, d = gru._softmax(states, w, targets, True)
+    scores = states.astype(float) @ w
+    wanted = scores - scores.max(axis=1, keepdims=True)
+    wanted -= np.log(np.exp(wanted).sum(axis=1, keepdims=True))
+    assert np.allclose(logp, wanted[np.arange(3), targets], atol=1e-5)
+    assert np.allclose(d, np.exp(wanted) - np.eye(4)[targets], atol=1e-6)
+
+
 def test_state_carries_over_windows(monkeypatch):
     rng = np.random.default_rng(0)
     p = gru.start(np.arange(50, 0, -1))
