@@ -7,8 +7,10 @@ The last ones, which together stay below the k-th best score known, are non-esse
 postings are traversed, which gives candidates with partial scores, and the others are probed block by
 block for those candidates whose partial score and the bound still to come can reach the threshold.
 
-Rows are dealt to shards by a hash of the id; each shard meets each block of queries once, and the
-shards' best are merged under a limit for each query before the last ranking.
+Rows are dealt to shards by hash, and queries to blocks of the same size; each shard meets each block once, so that a
+row of either side is copied once for each part of the other. A block first meets one shard. The k-th best found
+there goes with each query to all other shards as its threshold: these return only what is as good or better. The shards'
+best are merged under a limit for each query before the last ranking.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from faresight.llm.components import stored
+
 TOP, QUERY_EVERY, SCALE = 5, 50, 256
-SHARD_ROWS, BLOCK_QUERIES = 16_384, 1_024
+PART = 1 << 21                                # components of a shard, and of a block of queries: 16 MB
 SEEDS, PROBES, TOGETHER = 64, 8, 64           # vectors scored for a first threshold; terms probed, and queries traversed, at once
 RESULT = "query_id long, vec_id long, score long"
 
@@ -48,8 +52,8 @@ class Shard:
         self.postings = [None if self.dense[d] else np.flatnonzero(self.rows[:, d]) for d in range(self.width)]
         self.floats: np.ndarray | None = None
 
-    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query the k best (vec_id, score), its own id left out; ties go to the smaller id."""
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the k best (vec_id, score) of at least its score in ``least``, its own id left out; ties go to the smaller id."""
         q = np.zeros((len(queries), self.width), np.int64)
         q[:, :queries.shape[1]] = queries[:, :self.width]
         norms = np.sqrt((q.astype(float) ** 2).sum(axis=1))
@@ -66,8 +70,8 @@ class Shard:
         # The most that the terms from each place on can add.
         tail = np.minimum(rest(bound), np.sqrt(rest(q.astype(float) ** 2)) * self.norm * (1 + 1e-9))
         leading = rows @ np.where(place < PROBES, q, 0).T
-        own = [np.flatnonzero(self.ids == i) for i in query_ids]
-        threshold = np.array([self._first_threshold(q[i], rows, leading[:, i], own[i], k) for i in range(len(q))])
+        own = [np.arange(*np.searchsorted(self.ids, (i, i + 1))) for i in query_ids.tolist()]
+        threshold = np.array([max(least[i], self._first_threshold(q[i], rows, leading[:, i], own[i], k)) for i in range(len(q))])
         essential = np.minimum(self.width, (tail >= threshold[:, None]).sum(axis=1))    # the terms after these stay below the threshold together
         traversed = np.where(place < essential[:, None], q, 0)
         partials = rows @ np.where(self.dense, traversed, 0).T
@@ -91,20 +95,25 @@ class Shard:
             partial = partial + rows[np.ix_(stay, some)] @ q[some]
             competitive = partial + tail[at] >= threshold
             stay, partial = stay[competitive], partial[competitive]
-        scores = partial.astype(np.int64)
+        ids, scores = self._by_id(stay, partial.astype(np.int64))
         if len(scores) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            stay, scores = stay[scores >= least], scores[scores >= least]
-        first = np.lexsort((self.ids[stay], -scores))[:k]
-        return self.ids[stay][first], scores[first]
+            ids, scores = ids[scores >= least], scores[scores >= least]
+        first = np.lexsort((ids, -scores))[:k]
+        return ids[first], scores[first]
+
+    def _by_id(self, rows: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``rows`` (in order), each once, and the best score of each."""
+        ids = self.ids[rows]
+        begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
+        return ids[begin], np.maximum.reduceat(scores, begin) if len(ids) else scores
 
     def _first_threshold(self, q: np.ndarray, rows: np.ndarray, leading: np.ndarray, own: np.ndarray, k: int) -> float:
-        """The k-th best of a few vectors that are large in the query's leading terms; below any score while there are fewer than k."""
+        """The k-th best id's score among a few vectors that are large in the query's leading terms; below any score while there are fewer than k."""
         n = min(self.size, SEEDS + k)
         seeds = np.setdiff1d(np.argpartition(leading, self.size - n)[self.size - n:], own)
-        if len(seeds) < k:
-            return -np.inf
-        return float(np.partition(rows[seeds] @ q, len(seeds) - k)[len(seeds) - k])
+        scores = self._by_id(seeds, rows[seeds] @ q)[1]
+        return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -np.inf
 
 
 def integer_vectors(embeddings: DataFrame, id_column: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -121,36 +130,58 @@ def integer_vectors(embeddings: DataFrame, id_column: str = "vec_id", vector: st
                        F.when(small, whole).otherwise(F.raise_error(F.lit("vector component beyond 2^26")).cast("array<long>")).alias("v")).distinct()
 
 
-def search(queries: DataFrame, vectors: DataFrame, k: int = TOP, shard_rows: int = SHARD_ROWS, block: int = BLOCK_QUERIES) -> DataFrame:
+def parts(rows: int, width: int, of: int | None = None) -> int:
+    """Into how many shards, or blocks, ``rows`` vectors of ``width`` components are dealt; ``of``: the rows of each, where that is given."""
+    return max(1, -(-rows // (of or max(1, PART // max(1, width)))))
+
+
+def dealt(queries: DataFrame, vectors: DataFrame, shards: int, blocks: int, first: bool) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the shard and the block where they meet: in the ``first`` round block b meets shard b modulo shards, then all others."""
+    block, shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    home = F.pmod("block", F.lit(shards)) == F.col("shard")
+    left = queries.withColumn("block", block)
+    left = left.withColumn("shard", F.pmod("block", F.lit(shards))) if first else left.withColumn("shard", each(shards)).filter(~home)
+    return left, vectors.withColumn("shard", shard).withColumn("block", each(blocks)).filter(home if first else ~home)
+
+
+def search(queries: DataFrame, vectors: DataFrame, k: int = TOP, shard_rows: int | None = None, block: int | None = None) -> DataFrame:
     """The k best of ``vectors`` for each of ``queries`` (both vec_id, v): query_id, rank from 1, vec_id, score.
 
     A query's own id is no answer to it. Vectors of unlike length are padded with zeros. A vec_id with
     several vectors has each of them searched for and found, and is listed once with its best score.
-    Fewer than k others give fewer ranks; empty tables an empty result.
+    Fewer than k others give fewer ranks; empty tables an empty result. Shards and blocks have ``shard_rows``
+    and ``block`` rows; where these are not given, as many as hold PART components.
     """
-    n, m = vectors.count(), queries.count()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block))
-    # Every shard meets every block: a row of either side is copied once for each part of the other.
-    left = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))) \
-                  .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    right = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")) \
-                   .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    (n, wide), (m, widest) = (x.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first() for x in (vectors, queries))
+    shards, blocks = parts(n, max(wide, widest), shard_rows), parts(m, max(wide, widest), block)
 
     def meet(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
         if len(own) and len(others):
             shard = Shard(others["vec_id"].to_numpy(), padded(others["v"]))
-            many = k * int(others["vec_id"].value_counts().iloc[0])      # an id may fill several places
             for lo in range(0, len(own), TOGETHER):
                 some = own.iloc[lo:lo + TOGETHER]
-                for query_id, (ids, scores) in zip(some["vec_id"], shard.best(some["vec_id"].to_numpy(), padded(some["v"]), many)):
+                least = some["least"].fillna(-np.inf).to_numpy(float)
+                for query_id, (ids, scores) in zip(some["vec_id"], shard.best(some["vec_id"].to_numpy(), padded(some["v"]), least, k)):
                     found += zip([query_id] * len(ids), ids, scores)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    best = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(meet, RESULT)
-    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def best(queries: DataFrame, first: bool) -> DataFrame:
+        left, right = dealt(queries, vectors, shards, blocks, first)
+        return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(meet, RESULT)
+
+    def ranked(found: DataFrame) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", rank).filter(F.col("rank") <= k)
+
+    queries = queries.select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"))    # columns apart from those of ``vectors``, which may be the same table
+    found = best(queries.withColumn("least", F.lit(None).cast("double")), True)
+    if shards > 1:
+        found = stored(found, "first-shard")
+        least = ranked(found).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
+        found = found.union(best(queries.join(least, "vec_id", "left"), False))
+    return ranked(found).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:

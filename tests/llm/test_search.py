@@ -48,3 +48,47 @@ def test_vectors_of_one_id(spark):
     assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(1, 3, 9), (2, 1, 5)]
     got = search.search(df.filter("vec_id = 1"), df, 2).collect()
     assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(1, 3, 27), (2, 4, 20)]
+
+
+def test_parts_meet_once_and_copies_are_few(spark):
+    """Each shard and block meet in one of the rounds; a row is copied once for each part of the other side."""
+    df = spark.range(200).selectExpr("id AS vec_id", "array(id, 1L) AS v")
+    queries, cells = df.filter("vec_id % 4 = 0"), []
+    copies = [0, 0]
+    for first in (True, False):
+        left, right = (x.collect() for x in search.dealt(queries, df, 7, 4, first))
+        copies[0] += len(left)
+        copies[1] += len(right)
+        met = {(r.shard, r.block) for r in left}
+        assert met == {(r.shard, r.block) for r in right} and len(met) == (4 if first else 24)
+        cells += met
+    assert len(cells) == len(set(cells)) == 28 and copies == [50 * 7, 200 * 4]
+    assert (search.parts(10 ** 9, 64), search.parts(2 * 10 ** 7, 64), search.parts(0, 0), search.parts(5, 1 << 30), search.parts(10, 3, 4)) == (30_518, 611, 1, 5, 3)
+
+
+def test_threshold_of_the_first_shard_holds_back_the_rest():
+    rng = np.random.default_rng(1)
+    values = rng.integers(-50, 50, (300, 16))
+    shard, own = search.Shard(np.arange(300), values), rng.integers(-50, 50, (1, 16))
+    scores = values @ own[0]
+    for least in (-np.inf, np.sort(scores)[-3], scores.max(), scores.max() + 1):
+        ((ids, found),) = shard.best(np.array([-1]), own, np.array([least], float), 5)
+        want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if s >= least)[:5]
+        assert [(-s, i) for i, s in zip(ids.tolist(), found.tolist())] == want
+
+
+def test_many_vectors_of_one_id(spark):
+    """A third of all rows have one id: they are dealt to all shards and take one place."""
+    rng = np.random.default_rng(2)
+    rows = [(int(i) if i % 3 else 50, [int(x) for x in rng.integers(-9, 10, 4)]) for i in range(1, 240)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").distinct()
+    rows = [(r.vec_id, r.v) for r in df.collect()]
+    got = search.search(df.filter("vec_id % 50 = 0"), df, 5, shard_rows=20, block=5).collect()
+    want = {}
+    for q, v in [r for r in rows if r[0] % 50 == 0]:
+        for i, x in rows:
+            if i != q:
+                score = sum(a * b for a, b in zip(v, x))
+                want.setdefault(q, {})[i] = max(want.get(q, {}).get(i, score), score)
+    want = [(q, n + 1, i, s) for q, found in want.items() for n, (i, s) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:5])]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
