@@ -32,6 +32,7 @@ from faresight.llm.text import held_by, mix, slices, take_over, word_hashes, wor
 
 COORDINATES, MISSED = 48, 1e-7
 BLOCK = 1024                                  # nodes of a long posting list, or of a family, that are compared with each other at once
+OUTER, ANY = -2, -1                           # sides of a call: a node outside the list's largest family, any node; else the node's block
 GROUP_ROWS, GROUP_SETS = 20_000, 4_000        # postings of short lists, or sets of small families, that one call compares
 _ODDS = (np.random.default_rng(20_260).integers(0, 1 << 31, 2 * COORDINATES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _STEP = np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -148,18 +149,38 @@ def full_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(held_by("neardup", run), "node long, shingles array<long>").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def dealt_lists(named: DataFrame) -> DataFrame:
+    """token, i, j, side, node, root: the postings (token, node, root) of lists of several families, copied to the calls (i, j) that compare them.
+
+    A list of up to BLOCK nodes is one call. A longer one is cut into blocks, and each pair of blocks is a call (side: the node's block). Where one
+    family has at least half of the list, every pair of two families has a node outside it: only those (OUTER) meet all (ANY), and
+    the copies grow with the nodes outside times the blocks, not with the square of the list.
+    """
+    lists = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).filter("low <> high")
+    lists = stored(lists.select("token", "n", F.ceil(F.col("n") / BLOCK).alias("blocks")), "mixed-lists")
+    long = lists.filter("blocks > 1")
+    if long.isEmpty():
+        cored = long.select("token", F.col("n").alias("core"), "blocks").withColumnRenamed("blocks", "outer")
+    else:
+        parts = named.join(long, "token").groupBy("token", "n", "root").agg(F.count(F.lit(1)).alias("own")).filter("2 * own >= n")
+        cored = parts.groupBy("token", "n").agg(F.max(F.struct("own", "root")).alias("core"))
+        cored = cored.select("token", F.col("core.root").alias("core"), F.ceil((F.col("n") - F.col("core.own")) / BLOCK).alias("outer"))
+    block = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    calls = lambda c, one: F.transform(F.sequence(F.lit(0).cast("long"), F.col(c) - 1), one)
+    call = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    pairs = calls("blocks", lambda o: call(F.least(block("blocks"), o), F.greatest(block("blocks"), o), block("blocks")))
+    outer = calls("blocks", lambda o: call(block("outer"), o, F.lit(OUTER).cast("long")))
+    every = calls("outer", lambda o: call(o, block("blocks"), F.lit(ANY).cast("long")))
+    own = F.when(F.col("core").isNull(), pairs).when(F.col("root") == F.col("core"), every).otherwise(F.concat(outer, every))
+    return named.join(lists.join(cored, "token", "left"), "token").select("token", F.explode(own).alias("call"), "node", "root").select("token", "call.*", "node", "root")
+
+
 def crossing_pairs(posted: DataFrame, families: DataFrame, nodes: DataFrame, threshold: int, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) that share a posting list, lie in different families and collide often enough.
 
-    Lists within one family are skipped. A long list is dealt into blocks, and each pair of blocks is
-    counted by itself; only retained pairs leave a call.
+    Lists within one family are skipped. The calls on a long list are counted by themselves; only retained pairs leave one.
     """
-    named = posted.select("node", "token").join(families, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lists = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    named = named.join(lists.filter("low <> high").select("token", "blocks"), "token")
-    named = named.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))) \
-                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-                 .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
+    named = dealt_lists(posted.select("node", "token").join(families, "node", "left").withColumn("root", F.coalesce("root", "node")))
     named = stored(named, "crossing")
     groups = max(1, -(-named.count() // GROUP_ROWS))
 
@@ -170,11 +191,15 @@ def crossing_pairs(posted: DataFrame, families: DataFrame, nodes: DataFrame, thr
             if len(own) < 2 or own["root"].nunique() < 2:
                 continue
             tokens, node, root = np.stack(own["tokens"].to_numpy()), own["node"].to_numpy(), own["root"].to_numpy()
-            size, block = own["n_shingles"].to_numpy(), own["block"].to_numpy()
-            for k in range(len(own) - 1):
-                near = (root[k + 1:] != root[k]) & (100 * size[k + 1:] >= percent * size[k]) & (100 * size[k] >= percent * size[k + 1:])
-                near &= (i == j) | (block[k + 1:] != block[k])
-                at = np.flatnonzero(near) + k + 1
+            size, side = own["n_shingles"].to_numpy(), own["side"].to_numpy()
+            for k in np.flatnonzero(side != ANY).tolist():
+                near = (root != root[k]) & (100 * size >= percent * size[k]) & (100 * size[k] >= percent * size)
+                if side[k] == OUTER:
+                    near &= side == ANY
+                else:
+                    near[:k + 1] = False
+                    near &= (i == j) | (side != side[k])
+                at = np.flatnonzero(near)
                 at = at[(tokens[at] == tokens[k]).sum(axis=1) >= threshold]
                 found += zip([node[k]] * len(at), node[at], [size[k]] * len(at), size[at])
         return pd.DataFrame(found, columns=["a", "b", "na", "nb"]).astype("int64")

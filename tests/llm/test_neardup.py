@@ -108,6 +108,24 @@ def test_links_between_families(spark):
     assert [(r.a, r.b, r.na, r.nb) for r in got] == [(1, 2, 50, 50)]
 
 
+def test_long_lists_of_several_families(spark, monkeypatch):
+    """Every pair of two families of a list meets in a call; where one family has most of the list, its own pairs don't, and copies stay few."""
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    lists = {1: [1] * 200 + [2, 2, 3, 4], 2: [5] * 6 + [6] * 4, 3: list(range(7, 37)), 4: [8] * 25, 5: [1] * 15 + [2] * 15}
+    rows = [(t, 1000 * t + k, root) for t, roots in lists.items() for k, root in enumerate(roots)]
+    dealt = neardup.dealt_lists(spark.createDataFrame(rows, "token long, node long, root long")).collect()
+    root, met = {n: r for _, n, r in rows}, set()
+    for call in {(r.token, r.i, r.j) for r in dealt}:
+        own = [r for r in dealt if (r.token, r.i, r.j) == call]
+        for x in own:
+            for y in own:
+                if x.side != neardup.ANY and x.node != y.node and root[x.node] != root[y.node] and (x.side != neardup.OUTER or y.side == neardup.ANY):
+                    met.add((min(x.node, y.node), max(x.node, y.node)))
+    assert met == {(a, b) for t, a, r in rows for u, b, q in rows if t == u and a < b and r != q}
+    copies = {t: sum(r.token == t for r in dealt) for t in lists}
+    assert copies == {1: 204 + 4 * 21, 2: 10, 3: 30 * 3, 4: 0, 5: 30 * 2 + 15 * 3} and all(r.side != neardup.OUTER or r.root != 1 for r in dealt if r.token == 1)
+
+
 def test_linked_counts_all_pairs():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 12, rng.integers(1, 12)).astype(np.uint64)) for _ in range(60)]
