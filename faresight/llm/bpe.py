@@ -23,6 +23,7 @@ from faresight.llm.text import held_by, kept, slices
 VOCABULARY = "byte_bpe_50k.json"
 CACHE_CHUNKS, CACHE_LETTERS = 400_000, 200   # distinct chunks whose ids a worker keeps, none longer; beyond it, it starts anew
 TREE_CELLS = 1 << 18                         # leaves of the trees that advance together
+FEW = 8                                      # words of like length, or less, whose trees advance one by one
 NONE = 1 << 30                               # rank of a pair without a merge
 
 # The pre-tokenizer's pattern, and Unicode's white space, which its \s stands for.
@@ -58,6 +59,7 @@ class Codec:
         pairs = np.array([vocab[a] * self.width + vocab[b] for a, b in merges])
         self.pair_ranks = np.argsort(pairs)
         self.pair_keys, self.merged = pairs[self.pair_ranks], np.array([vocab[a + b] for a, b in merges])
+        self.ranks, self.merged_ids = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist())), self.merged.tolist()
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         text = {**{i: bytes(as_byte[c] for c in t) for t, i in vocab.items()}, **{i: t.encode() for t, i in self.special.items()}}
         self.bytes_of = [text.get(i, b"") for i in range(max(text) + 1)]
@@ -106,6 +108,43 @@ class Codec:
         data, ends = ids[left].astype("<u4").tobytes(), (4 * np.cumsum(left.sum(axis=1))).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
+    def merge_one(self, word: bytes) -> bytes:
+        """Ids of one pre-token: the same tree in plain integers. Where few trees advance together, a step's numpy calls cost more than the step."""
+        n = len(word)
+        size = 1 << n.bit_length()
+        shift = size.bit_length() - 1
+        single = self.single[np.frombuffer(word, np.uint8)]
+        level = np.full(size, NONE << shift, np.int64)
+        level[:n - 1] = (self.rank(single[:-1], single[1:]) << shift) | np.arange(n - 1)
+        levels = [level]
+        while len(level) > 1:
+            levels.append(level := np.minimum(level[::2], level[1::2]))
+        tree = [NONE << shift, *np.concatenate(levels[::-1]).tolist()]
+        ids, after, before = single.tolist(), list(range(1, n + 1)), list(range(-1, n))
+        rank = lambda i, j: self.ranks.get(ids[i] * self.width + ids[j], NONE) if j < n else NONE
+
+        def put(place: int, rank: int) -> None:
+            value, node = (rank << shift) | place, size + place
+            tree[node] = value
+            while node > 1:
+                value = min(value, tree[node ^ 1])
+                node >>= 1
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        while (root := tree[1]) < NONE << shift:
+            i = root & (size - 1)
+            j, h = after[i], before[i]
+            k = after[j]
+            ids[i], ids[j] = self.merged_ids[root >> shift], -1
+            after[i], before[k] = k, i
+            put(j, NONE)
+            put(i, rank(i, k))
+            if h >= 0:
+                put(h, rank(h, i))
+        return np.array([x for x in ids if x >= 0], "<u4").tobytes()
+
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct pre-tokens, by groups of like length and bounded size."""
         groups: dict[int, list[tuple[str, bytes]]] = {}
@@ -117,7 +156,7 @@ class Codec:
             step = max(1, TREE_CELLS >> bits)
             for lo in range(0, len(own), step):
                 names, data = zip(*own[lo:lo + step])
-                out.update(zip(names, self.merge(data)))
+                out.update(zip(names, map(self.merge_one, data) if len(data) <= FEW else self.merge(data)))
         return out
 
     def learn(self, texts: list[str]) -> None:

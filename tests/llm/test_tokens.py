@@ -47,6 +47,24 @@ def test_bpe_equals_library():
         assert own.decode(got) == lib.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("few", [0, 1 << 30])
+def test_one_tree_and_many_equal_library(monkeypatch, few):
+    """Trees that advance together, and one by one, on the same words."""
+    monkeypatch.setattr(bpe, "FEW", few)
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    lib, own, rnd = Tokenizer.from_file(path), bpe.Codec(path), random.Random(11)
+    texts = ODD + random_texts(80, 12) + ["".join(rnd.choices("etaoinshé你", k=n)) for n in (1, 2, 3, 63, 64, 65, 700)] + ["ab" * 500, "é" * 300, "Z"]
+    for text, got in zip(texts, own.encode_all(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_long_unbroken_run():
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    text = "".join(random.Random(13).choices("etaoinshrdlu", k=200_000))
+    (got,) = bpe.Codec(path).encode_all([text])
+    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_query_on_odd_rows(spark):
     path = public_tokenizers.path(bpe.VOCABULARY)
     df = spark.createDataFrame([(1, None, 2), (None, "a b", 3), (1, "", 4), (1, "", 4)], "doc_id long, text string, n_tokens int")
