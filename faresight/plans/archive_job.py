@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.constants import BUSINESS_ZONE
+from faresight.functions.time import in_day_window
 from faresight.operators import archive, merge
 from faresight.sources import sinks
 
@@ -44,12 +45,19 @@ def run_archive(spark: SparkSession, flights: DataFrame, airports: DataFrame, fa
 
     Run again after an interruption it writes the documents anew (their folders are replaced) and finishes the
     flight table where it was (:func:`faresight.sources.sinks.publish_snapshot`), with the same counts:
-    documents, and flights scanned, removed, undecided (no departure) and kept, each counted in the plan that writes.
+    documents, and flights scanned, removed, undecided (no departure) and kept, each counted in the plan that writes (again, should
+    Spark not report what it counted there).
     """
     documents, scanned, kept = Observation("documents"), Observation("flights"), Observation("kept")
+    hit = F.coalesce(in_day_window("depart_timestamp", day, zone), F.lit(False))
+
+    def recount() -> dict[str, int]:
+        return flights.agg(F.count(F.when(hit, 1)).alias("removed"), F.count(F.lit(1)).alias("scanned"), F.count(F.when(F.col("depart_timestamp").isNull(), 1)).alias("undecided"),
+                           F.count(F.when(~hit, 1)).alias("kept")).first().asDict()
+
     docs = build_documents(flights, airports, fares, layovers, routes, day, 1, zone)
     sinks.write_archive(docs, archive_path, documents)
     left = merge.delete_departed(flights, day, zone, observation=scanned).observe(kept, F.count(F.lit(1)).alias("kept"))
-    counts = {"documents": 0, "scanned": 0, "removed": 0, "undecided": 0, "kept": 0} | sinks.observed(documents) \
-        | sinks.publish_snapshot(left, flights_path, str(day), [scanned, kept], step)
+    counts = {"documents": 0, "scanned": 0, "removed": 0, "undecided": 0, "kept": 0} | sinks.observed(documents, recount=lambda: {"documents": docs.count()}) \
+        | sinks.publish_snapshot(left, flights_path, str(day), [scanned, kept], step, recount)
     return ArchiveResult(archive_path, flights_path, counts["documents"], counts["removed"], counts["removed"] - counts["documents"], counts)

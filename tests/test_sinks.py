@@ -178,6 +178,24 @@ def test_route_documents_are_read_by_entry(spark):
     assert got == want and any(r["layover_info"] for r in want) and any(not r["prices"] for r in want)
 
 
+def test_counts_that_never_come_are_counted_again(spark):
+    from pyspark.sql import Observation
+    lost = Observation()
+    spark.range(3).observe(lost, F.count(F.lit(1)).alias("n"))       # no action reports it
+    assert sinks.observed(lost, recount=lambda: {"n": 3}, seconds=0.2) == {"n": 3}
+    lost = Observation()
+    spark.range(3).observe(lost, F.count(F.lit(1)).alias("n"))
+    with pytest.raises(TimeoutError):
+        sinks.observed(lost, seconds=0.2)
+
+
+def test_partitions_have_files_by_their_size(spark):
+    path = scratch_path(spark, "few-files")
+    sinks.overwrite_partitions(spark.range(1000).repartition(16).withColumn("p", F.col("id") % 3), path, "p")
+    files = [f for f in sinks.Store(spark, path).files(path) if f.endswith(".parquet")]
+    assert len(files) == 3 and spark.read.parquet(path).count() == 1000
+
+
 def test_tables_have_files_by_their_size():
     from faresight.sources.fixtures import bucket_count
     assert bucket_count(0, 8) == bucket_count(6_000, 8) == 1 and bucket_count(600_000, 8) == 8
