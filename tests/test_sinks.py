@@ -239,6 +239,17 @@ def test_packed_archive_has_the_same_lines_and_documents(spark):
     assert lines(packed) == lines(plain) and _texts(packed).keys() == _texts(plain).keys()
 
 
+def test_written_lines_are_read_from_packed_files(spark):
+    """What archive_sink and archive_text read: small files that hold each document's line as the plain ones do."""
+    from faresight.plans import catalog
+    path, schema = catalog._written_archive(spark, "/root/testdata/sf0.001")
+    docs, plain = _documents(spark), scratch_path(spark, "plain-text")
+    sinks.write_archive(docs, plain)
+    assert schema == docs.drop(*sinks.PARTS).schema and _size(path) * 5 < _size(plain)
+    got, want = (sorted(r.value for r in spark.read.text(p).collect()) for p in (path, plain))
+    assert got == want and len(got) == docs.count()
+
+
 def test_histories_are_not_shuffled_before_they_are_written(spark, tables):
     """Documents of tables that lie by flight: only legs, which come from their segments' places, are dealt out by flight."""
     import re
